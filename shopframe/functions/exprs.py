@@ -13,19 +13,22 @@ from pyspark.sql import functions as F
 
 
 def rnd(c, d: int = 2) -> Column:
-    """Round half up to ``d`` digits with plain IEEE arithmetic.
+    """Round half up to ``d`` digits with plain IEEE arithmetic, in two steps.
 
-    ``floor(x * 10^d + 0.5) / 10^d`` gives the same bits in every engine,
-    unlike ``round`` whose half-way handling differs between engines.
+    ``floor(x * 10^k + 0.5)`` gives the same bits in every engine, unlike
+    ``round`` whose half-way handling differs between engines. Rounding first
+    to ``d + 3`` digits absorbs last-bit noise from summation order, so a
+    value that is exactly half-way (an average of cents, say) rounds the
+    same way whichever engine or partitioning produced it.
     """
     c = F.col(c) if isinstance(c, str) else c
-    p = float(10 ** d)
-    return (F.floor(c * F.lit(p) + F.lit(0.5)) / F.lit(p)).cast("double")
+    g = F.floor(c * F.lit(float(10 ** (d + 3))) + F.lit(0.5))
+    return (F.floor(g / F.lit(1000.0) + F.lit(0.5)) / F.lit(float(10 ** d))).cast("double")
 
 
 def rnd_sql(expr: str, d: int = 2) -> str:
-    p = float(10 ** d)
-    return f"CAST(FLOOR(({expr}) * {p} + 0.5) / {p} AS DOUBLE)"
+    g = f"FLOOR(({expr}) * {float(10 ** (d + 3))} + 0.5)"
+    return f"CAST(FLOOR({g} / 1000.0 + 0.5) / {float(10 ** d)} AS DOUBLE)"
 
 
 def share(count_col="n", by: Sequence[str] = (), d: int = 2) -> Column:
