@@ -5,3 +5,4 @@ from shopframe.catalog import warehouse  # noqa: F401,E402
 from shopframe.catalog import survey  # noqa: F401,E402
 from shopframe.catalog import features  # noqa: F401,E402
 from shopframe.catalog import rules  # noqa: F401,E402
+from shopframe.catalog import prediction  # noqa: F401,E402
