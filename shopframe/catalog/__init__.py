@@ -7,3 +7,4 @@ from shopframe.catalog import features  # noqa: F401,E402
 from shopframe.catalog import rules  # noqa: F401,E402
 from shopframe.catalog import prediction  # noqa: F401,E402
 from shopframe.catalog import etl  # noqa: F401,E402
+from shopframe.catalog import serving  # noqa: F401,E402
