@@ -54,20 +54,20 @@ SELECT rep.user_id, rep.label, {R('w.weight', 9)} AS weight FROM rep JOIN (
     lambda t: p.balanced_weights(_repeat(t), "label").select("user_id", "label", rnd("weight", 9).alias("weight")))
 
 register("pred_pos_weight", W(RV, f"""
-SELECT {R('CAST(COUNT(*) FILTER (WHERE label = 0) AS DOUBLE) / COUNT(*) FILTER (WHERE label = 1)', 9)} AS pos_weight
+SELECT {R('CAST(COUNT(*) FILTER (WHERE label = 0) AS DOUBLE) / NULLIF(COUNT(*) FILTER (WHERE label = 1), 0)', 9)} AS pos_weight
 FROM rep""", [("rep", _REPEAT_SQL)]))(
     lambda t: p.pos_weight(_repeat(t), "label").select(rnd("pos_weight", 9).alias("pos_weight")))
 
 register("pred_auc_first_order_size", W(RV, f"""
-SELECT {R('SUM(pc * (qcum - qc + qc / 2.0)) / (SUM(pc) * SUM(qc))', 9)} AS auc, SUM(pc) AS n_pos, SUM(qc) AS n_neg
+SELECT {R('SUM(pc * (qcum - qc + qc / 2.0)) / NULLIF(SUM(pc) * SUM(qc), 0)', 9)} AS auc, SUM(pc) AS n_pos, SUM(qc) AS n_neg
 FROM (SELECT score, pc, qc, SUM(qc) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING) AS qcum FROM (
   SELECT score, COUNT(*) FILTER (WHERE label = 1) AS pc, COUNT(*) FILTER (WHERE label != 1) AS qc FROM rep
   GROUP BY score) a) b""", [("rep", _REPEAT_SQL)]))(
     lambda t: p.auc(_repeat(t), "label", "score").select(rnd("auc", 9).alias("auc"), "n_pos", "n_neg"))
 
 register("pred_roc_first_order_size", W(RV, f"""
-SELECT score AS threshold, {R('fp / (SELECT COUNT(*) FILTER (WHERE label != 1) FROM rep)', 9)} AS fpr,
-       {R('tp / (SELECT COUNT(*) FILTER (WHERE label = 1) FROM rep)', 9)} AS tpr
+SELECT score AS threshold, {R('fp / NULLIF((SELECT COUNT(*) FILTER (WHERE label != 1) FROM rep), 0)', 9)} AS fpr,
+       {R('tp / NULLIF((SELECT COUNT(*) FILTER (WHERE label = 1) FROM rep), 0)', 9)} AS tpr
 FROM (SELECT score, SUM(pc) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
              SUM(qc) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp
       FROM (SELECT score, COUNT(*) FILTER (WHERE label = 1) AS pc, COUNT(*) FILTER (WHERE label != 1) AS qc

@@ -53,10 +53,12 @@ register("cluster_assign_archetypes", W(FASH, "SELECT * FROM clusters", [CLUSTER
 
 def rules_sql(items_sql: str, min_support: float, metric: str, threshold: float, *, seg: str | None = None,
               min_baskets: int = 0, extra: str = "", top: int | None = None, order: str = "lift",
-              p: str = "") -> tuple:
+              p: str = "", max_len: int | None = 3) -> tuple:
     """CTEs computing rules from ``items_sql`` rows (seg, bid, item); returns (ctes, final select).
 
     ``p`` prefixes the CTE names so two rule sets can live in one statement.
+    ``max_len=None`` enumerates every subset of every basket with bit masks
+    (exact for any itemset length; baskets must be small).
     """
     order_sql = f"{R('lift', 9)} DESC" if order == "lift" else f"{R('lift', 9)} DESC, {R('confidence', 9)} DESC"
     ctes = [
@@ -88,6 +90,15 @@ def rules_sql(items_sql: str, min_support: float, metric: str, threshold: float,
         (f"{p}rk", f"""SELECT *, ROW_NUMBER() OVER (PARTITION BY seg ORDER BY {order_sql}, array_to_string(ant, '|'),
     array_to_string(con, '|')) AS rank FROM {p}rl WHERE {metric} >= {threshold} {extra}"""),
     ]
+    if max_len is None:
+        bit = "lambda x, i: ((m >> (i - 1)) & 1) = 1"
+        nbit = "lambda x, i: ((m >> (i - 1)) & 1) = 0"
+        ctes[3] = (f"{p}cnt", f"""SELECT seg, s AS items, COUNT(*) AS c FROM (
+    SELECT bl.seg, list_filter(bl.items, {bit}) AS s FROM (SELECT seg, bid, list_sort(list(item)) AS items
+      FROM {p}b GROUP BY seg, bid) bl, LATERAL (SELECT unnest(range(1, CAST(pow(2, len(bl.items)) AS BIGINT))) AS m) g) z
+    GROUP BY seg, s""")
+        ctes[5] = (f"{p}sp", f"""SELECT seg, support, list_filter(items, {bit}) AS ant, list_filter(items, {nbit}) AS con
+    FROM {p}fi, LATERAL (SELECT unnest(range(1, CAST(pow(2, len(items)) AS BIGINT) - 1)) AS m) g WHERE len(items) >= 2""")
     final = f"""SELECT {'seg AS ' + seg + ', ' if seg else ''}array_to_string(ant, '|') AS antecedent_key,
   array_to_string(con, '|') AS consequent_key, {R('support', 6)} AS support, {R('confidence', 6)} AS confidence,
   {R('lift', 6)} AS lift{', rank' if top else ''} FROM {p}rk{f' WHERE rank <= {top}' if top else ''}"""
@@ -134,7 +145,7 @@ register("rules_app_counts", W(FASH, f"SELECT cluster_id, COUNT(*) AS n_rules FR
 _register_rules("rules_notebook_per_cluster", FASH, _DAY_ITEMS,
                 lambda t: rules_out(r.mine_notebook(_day_sets(t), ["cluster_id"]), ["cluster_id"], True),
                 pre_ctes=[CLUSTERS_CTE], min_support=0.01, metric="lift", threshold=1.2, seg="cluster_id",
-                min_baskets=100, top=5, order="lift_conf")
+                min_baskets=100, top=5, order="lift_conf", max_len=None)
 
 _VIP = f"""SELECT s.user_id FROM (SELECT user_id, SUM(sale_price) AS sp FROM order_items WHERE {NC} GROUP BY 1) s
   WHERE s.sp > (SELECT quantile_cont(sp, 0.75) FROM (SELECT user_id, SUM(sale_price) AS sp FROM order_items

@@ -46,7 +46,8 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
 
 def pos_weight(df: DataFrame, label: str) -> DataFrame:
     """Negatives / positives (boosting's scale_pos_weight), one row."""
-    return df.agg((F.count_if(F.col(label) == 0) / F.count_if(F.col(label) == 1)).alias("pos_weight"))
+    return df.agg(F.try_divide(F.count_if(F.col(label) == 0).cast("double"), F.count_if(F.col(label) == 1))
+                  .alias("pos_weight"))
 
 
 # ---------------------------------------------------------------- P3-P10 learners
