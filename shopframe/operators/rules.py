@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from shopframe.functions.baskets import item_sets, patterns, pair_array
 from shopframe.functions.exprs import rnd
+from shopframe.session import materialize
 
 RULE_COLS = ["antecedent", "consequent", "antecedent_support", "consequent_support", "support",
              "confidence", "lift", "leverage", "conviction"]
@@ -49,8 +50,10 @@ def frequent_itemsets(sets: DataFrame, min_support: float, max_len: int | None =
     Output: ``by..., items, count, support`` (support base = baskets of the segment).
     """
     if method == "fpgrowth" or (method == "auto" and (max_len is None or max_len > 3)):
-        return _fpgrowth_itemsets(sets, min_support, max_len, by, items)
-    pats = patterns(sets, items, by)
+        return materialize(_fpgrowth_itemsets(sets, min_support, max_len, by, items))
+    # distinct patterns and per-level results are stored: each level reads a
+    # small table instead of re-planning the baskets (bounded by distinct patterns)
+    pats = materialize(patterns(sets, items, by))
     n = pats.groupBy(*by).agg(F.sum("weight").alias("n_baskets"))
 
     def keep(df):
@@ -61,7 +64,7 @@ def frequent_itemsets(sets: DataFrame, min_support: float, max_len: int | None =
               .groupBy(*by, "item").agg(F.sum("weight").alias("count")))
     out = l1.select(*by, F.array("item").alias("items"), "count", "support")
     if max_len == 1:
-        return out
+        return materialize(out)
     # patterns restricted to frequent items (the vocabulary per segment is small)
     vocab = l1.groupBy(*by).agg(F.collect_set("item").alias("_v"))
     fp = _join_by(pats, vocab, by).select(*by, F.array_intersect(items, "_v").alias("items"), "weight") \
@@ -70,13 +73,13 @@ def frequent_itemsets(sets: DataFrame, min_support: float, max_len: int | None =
               .groupBy(*by, F.array(F.col("p.a"), F.col("p.b")).alias("items")).agg(F.sum("weight").alias("count")))
     out = out.unionByName(l2.select(*by, "items", "count", "support"))
     if max_len == 2:
-        return out
+        return materialize(out)
     vocab2 = l2.select(*by, F.explode("items").alias("item")).groupBy(*by).agg(F.collect_set("item").alias("_v"))
     fp3 = _join_by(fp, vocab2, by).select(*by, F.array_intersect(items, "_v").alias("items"), "weight") \
         .filter(F.size("items") >= 3)
     l3 = keep(fp3.select(*by, F.explode(_triples()).alias("items"), "weight")
               .groupBy(*by, "items").agg(F.sum("weight").alias("count")))
-    return out.unionByName(l3.select(*by, "items", "count", "support"))
+    return materialize(out.unionByName(l3.select(*by, "items", "count", "support")))
 
 
 def _fpgrowth_itemsets(sets, min_support, max_len, by, items):

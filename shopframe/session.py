@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of DataFrames that went out of scope are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -54,3 +56,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Cut the lineage of an intermediate result with a reliable checkpoint.
+
+    Written to the shared checkpoint folder, so it survives the loss of the
+    executors that computed it (unlike ``localCheckpoint``). Used between the
+    passes of multi-pass operators (itemset levels) so later passes plan and
+    run against a small stored table instead of re-planning the whole input.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
