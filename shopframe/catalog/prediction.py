@@ -16,6 +16,7 @@ from shopframe.operators import clustering as cl
 from shopframe.operators import features as f
 from shopframe.operators import prediction as p
 from shopframe.plans.oracle import with_views as W
+from shopframe.session import materialize
 
 NC = "status != 'Cancelled'"
 WILL_BUY = ["recency_days", "frequency", "monetary", "avg_price", "pct_online", "pct_ladieswear", "pct_divided",
@@ -119,7 +120,8 @@ SELECT label, COUNT(*) AS n, {R('100.0 * COUNT(*) / SUM(COUNT(*)) OVER ()')} AS
 def _will_buy_data(t):
     ds = f.purchase_dataset(V(t, "transactions"), V(t, "articles"), V(t, "hm_customers"))
     ds = p.stratified_split(ds, "will_buy", "customer_id")
-    return p.assemble(p.balanced_weights(ds, "will_buy"), WILL_BUY)
+    # learners pass over the data many times: train on a stored copy
+    return materialize(p.assemble(p.balanced_weights(ds, "will_buy"), WILL_BUY))
 
 
 def _metrics_rows(t, fits):
@@ -174,7 +176,7 @@ def _p4(t):
                               __import__("pyspark.ml.classification", fromlist=["x"]).DecisionTreeClassifier(
                                   labelCol="is_repeat_buyer", maxDepth=4, minInstancesPerNode=50, seed=42,
                                   maxBins=64))
-    m = pipe.fit(f.impute(ds, median_cols=["age"]))
+    m = pipe.fit(materialize(f.impute(ds, median_cols=["age"])))
     text = m.stages[-1].toDebugString
     return t.spark.createDataFrame([(i, ln) for i, ln in enumerate(text.splitlines())], "line_no int, rule string")
 
@@ -188,7 +190,7 @@ def _p7(t):
     pipe = p.tabular_pipeline(["num_sold"], ["category", "department"],
                               __import__("pyspark.ml.classification", fromlist=["x"]).RandomForestClassifier(
                                   labelCol="tier_label", numTrees=100, maxDepth=6, seed=42, maxBins=64))
-    split = p.stratified_split(ix, "tier_label", "product_id")
+    split = materialize(p.stratified_split(ix, "tier_label", "product_id"))
     m = pipe.fit(split.filter("split = 'train'"))
     return p.macro_ovr_auc(m.transform(split.filter("split = 'test'")), "tier_label")
 
@@ -200,6 +202,7 @@ def _p9(t):
         .join(cu.select("customer_id", "state"), "customer_id") \
         .select(F.col("state"), F.col("quarter").cast("string").alias("quarter"), "weekday", "channel",
                 (F.col("amount") > 50000).cast("int").alias("label"))
+    ctx = materialize(ctx)
     m = p.context_pipeline(["state", "quarter", "weekday", "channel"], "label").fit(ctx)
     contexts = ctx.select("state", "quarter", "weekday", "channel").distinct()
     return p.score_contexts(m, contexts)
@@ -213,3 +216,38 @@ def _p19(t):
     ens = ens.extend(train, "will_buy", 20, max_depth=8, weight="weight", seed=7)
     s = ens.score(data.filter("split = 'test'"))
     return p.auc(s, "will_buy", "score").withColumn("n_trees", F.lit(ens.n_trees))
+
+
+@register("pred_return_model")
+def _p8_returns(t):
+    from pyspark.ml.classification import GBTClassifier
+    ds = f.return_dataset(V(t, "order_items"), V(t, "products"), V(t, "users"))
+    ds = f.impute(ds, median_cols=["age"], text_cols=["gender", "country", "traffic_source"])
+    split = materialize(p.stratified_split(ds, "is_returned", "order_id"))
+    pipe = p.tabular_pipeline(["sale_price", "age"], ["category", "department", "gender", "country", "traffic_source"],
+                              GBTClassifier(labelCol="is_returned", maxIter=50, maxDepth=5, stepSize=0.1, seed=42,
+                                            maxBins=64))
+    m = pipe.fit(split.filter("split = 'train'"))
+    s = p.positive_probability(m.transform(split.filter("split = 'test'")))
+    return p.auc_gate(p.auc(s, "is_returned", "score"))
+
+
+@register("pred_lookalike_model")
+def _p8_lookalike(t):
+    from pyspark.ml.classification import RandomForestClassifier
+    from shopframe.operators import clustering as cl
+    r9 = f.rfm_behaviour_9_fixed(V(t, "order_items"), V(t, "shop_events")).dropna()
+    seg = cl.segments(r9, f.RFM9, 4, 42, "monetary", ["Dormant", "Occasional", "Promising", "VIP"])
+    ds = f.lookalike_dataset(V(t, "order_items"), V(t, "products"), V(t, "shop_events"), V(t, "users"),
+                             seg.select("user_id", "is_vip"))
+    ds = f.impute(ds, median_cols=["age"], text_cols=["gender", "country", "first_traffic_source"])
+    ds = p.balanced_weights(ds, "is_vip")
+    split = materialize(p.stratified_split(ds, "is_vip", "user_id"))
+    pipe = p.tabular_pipeline(["first_order_num_items", "first_order_num_categories", "first_session_depth",
+                               "first_session_products_viewed", "first_session_carted", "age"],
+                              ["gender", "country", "first_traffic_source"],
+                              RandomForestClassifier(labelCol="is_vip", weightCol="weight", numTrees=200, maxDepth=8,
+                                                     seed=42, maxBins=64))
+    m = pipe.fit(split.filter("split = 'train'"))
+    s = p.positive_probability(m.transform(split.filter("split = 'test'")))
+    return p.auc_gate(p.auc(s, "is_vip", "score"))

@@ -306,3 +306,16 @@ SELECT customer_id, cluster_id, rank2 AS rank, recommend, from_key AS from_items
                               r.mine_app(_day_sets(t), ["cluster_id"]))
     .select("customer_id", "cluster_id", "rank", "recommend", F.array_join("from_items", "|").alias("from_items"),
             rnd("support", 6).alias("support"), rnd("confidence", 6).alias("confidence"), rnd("lift", 6).alias("lift")))
+
+
+# ---------------------------------------------------------------- A11 (rows only: segments come from k-means)
+
+@register("rules_profit")
+def _a11(t):
+    from shopframe.operators import clustering as cl
+    oi, p = V(t, "order_items"), V(t, "products")
+    m = f.product_margin(p).join(f.product_sales(p, oi).withColumnRenamed("num_sold", "sales_volume"), "product_id") \
+        .filter(F.col("sales_volume") > 0)
+    seg = cl.portfolio_segment(cl.segments(m, ["margin_amount", "sales_volume"], 4, 42))
+    sets = f.category_segment_labels(oi, p, seg.select("product_id", "segment"))
+    return rules_out(r.profit_rules(sets), ranked=True)

@@ -206,3 +206,17 @@ def _stream(t):
                             V(t, "articles"), name=f"ingest_{uuid.uuid4().hex[:8]}")
     q.awaitTermination()
     return t.spark.read.parquet(f"{base}/out")
+
+
+# ---------------------------------------------------------------- S2: SQL text with bind parameters
+
+@register("source_sql_bind", """
+SELECT o_orderstatus, COUNT(*) AS n_orders, CAST(FLOOR(SUM(o_totalprice) * 100.0 + 0.5) / 100.0 AS DOUBLE) AS total
+FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY o_orderstatus""")
+def _s2(t):
+    from shopframe.sources.tables import sql_source
+    name = f"orders_{uuid.uuid4().hex[:8]}"
+    return sql_source(t.spark, f"""
+        SELECT o_orderstatus, COUNT(*) AS n_orders, CAST(FLOOR(SUM(o_totalprice) * 100.0 + 0.5) / 100.0 AS DOUBLE) AS total
+        FROM {name} WHERE o_orderdate >= CAST(:since AS TIMESTAMP_NTZ) GROUP BY o_orderstatus""",
+                      {"since": "1998-01-01 00:00:00"}, {name: t["orders"]})

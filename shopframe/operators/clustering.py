@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopframe.operators.features import scaling_stats, standardize
+from shopframe.session import materialize
 
 STYLE_COLS = ["pct_ladieswear", "pct_divided", "pct_menswear", "pct_baby", "pct_sport", "pct_online", "avg_price"]
 
@@ -31,7 +32,9 @@ def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42, max_i
     Returns ``(model, stats)``; ``stats`` is the one-row scaling frame (or None).
     """
     from pyspark.ml.clustering import KMeans
-    stats = scaling_stats(df, cols) if scale else None
+    # Lloyd iterations re-read the input: fit on a stored copy, not on the feature lineage
+    df = materialize(df.select(*cols))
+    stats = materialize(scaling_stats(df, cols)) if scale else None
     x = standardize(df, cols, stats) if scale else df
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster_id") \
         .fit(_vec(x, cols))
@@ -194,8 +197,9 @@ def top_categories_per_tier(tiers: DataFrame, n: int = 8) -> DataFrame:
 def segments(df: DataFrame, cols: Sequence[str], k: int = 4, seed: int = 42, rank_metric: str | None = None,
              names: Sequence[str] | None = None) -> DataFrame:
     """K-means segments on any feature frame, optionally named by rank of a metric."""
-    model, stats = fit_kmeans(df.dropna(subset=list(cols)), cols, k, seed)
-    scored = predict(model, df.dropna(subset=list(cols)), cols, stats)
+    base = materialize(df.dropna(subset=list(cols)))
+    model, stats = fit_kmeans(base, cols, k, seed)
+    scored = predict(model, base, cols, stats)
     if rank_metric:
         scored = label_by_rank(scored, rank_metric, names or [f"segment_{i}" for i in range(k)])
     return scored
@@ -235,8 +239,9 @@ def select_k(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(2, 8)
     from pyspark.ml.evaluation import ClusteringEvaluator
     from shopframe.operators.features import sample_customers
     x = sample_customers(df, sample, seed, key) if (sample and key) else df
+    x = materialize(x.select(*cols))
     stats = scaling_stats(x, cols)
-    z = _vec(standardize(x, cols, stats), cols)
+    z = materialize(_vec(standardize(x, cols, stats), cols))
     rows = []
     from pyspark.ml.clustering import KMeans
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id", distanceMeasure="squaredEuclidean")
