@@ -107,11 +107,21 @@ def try_div(a: Column, b: Column) -> Column:
     return F.try_divide(a, b)
 
 
+def epoch_us(c) -> Column:
+    """Microseconds since 1970-01-01 of a wall-clock timestamp, independent of the session time zone.
+
+    (Casting ``timestamp_ntz`` to ``timestamp`` would apply the session zone
+    and its daylight-saving shifts.)
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), c.cast("timestamp_ntz"))
+
+
 def days_between(a, b) -> Column:
-    """Fractional days from ``b`` to ``a`` for timestamps (epoch difference / 86400)."""
+    """Fractional days from ``b`` to ``a`` (wall-clock difference / 86400 s, zone independent)."""
     a = F.col(a) if isinstance(a, str) else a
     b = F.col(b) if isinstance(b, str) else b
-    return (F.unix_micros(a.cast("timestamp")) - F.unix_micros(b.cast("timestamp"))) / F.lit(86400e6)
+    return F.timestamp_diff("MICROSECOND", b.cast("timestamp_ntz"), a.cast("timestamp_ntz")) / F.lit(86400e6)
 
 
 def days_between_sql(a: str, b: str) -> str:

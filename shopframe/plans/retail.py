@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopframe.functions.exprs import epoch_us
+
 INDEX_GROUPS = {"ECONOMY": "Ladieswear", "SMALL": "Divided", "MEDIUM": "Menswear",
                 "LARGE": "Baby/Children", "PROMO": "Sport", "STANDARD": "Other"}
 EVENT_TYPES = {"view": "product", "click": "cart", "purchase": "purchase",
@@ -161,7 +163,7 @@ def sessionize(ev: DataFrame, user: str = "uid", ts: str = "ts", tie: str = "eve
     e = e.join(summ, [user, "_b"], "left")
     prev = F.coalesce(F.col("_lag"), F.col("_prev_bmax"))
     e = e.withColumn("_is_start", prev.isNull() | (
-        F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(prev.cast("timestamp")) > gap_us))
+        epoch_us(F.col(ts)) - epoch_us(prev) > gap_us))
     e = e.withColumn("_run_start", F.max(F.when(F.col("_is_start"), F.col(ts))).over(
         wb.rowsBetween(Window.unboundedPreceding, 0)))
 
@@ -204,7 +206,7 @@ def shop_events(t) -> DataFrame:
         F.when(F.col("uid") % 5 == 0, F.lit(None).cast("long")).otherwise(F.col("uid")).alias("user_id"),
         F.col("uid").alias("visitor_id"),
         F.concat_ws("-", F.col("uid").cast("string"),
-                    F.unix_micros(F.col("session_start").cast("timestamp")).cast("string")).alias("session_id"),
+                    epoch_us("session_start").cast("string")).alias("session_id"),
         "sequence_number",
         _case("raw_type", EVENT_TYPES).alias("event_type"),
         uri.alias("uri"), traffic.alias("traffic_source"), F.col("ts").alias("created_at"))
