@@ -187,3 +187,24 @@ def _c14b(t):
 @register("cluster_davies_bouldin_archetypes", None)
 def _c3(t):
     return c.davies_bouldin(_assigned(t), SHARE_COLS)
+
+
+@register("registry_versions_after_retrain")
+def _r1_r4(t):
+    """Fit the style clusters, register two versions (the second incremental), re-activate
+    the first, and return the layer's history with the active flags."""
+    import datetime as dt
+    import uuid
+
+    from shopframe.operators import registry as reg
+    from shopframe.session import checkpoint_dir
+    base = f"{checkpoint_dir(t.spark)}/registry-{uuid.uuid4().hex}"
+    out, named, model, stats = c.style_clusters(_dna(t), k=5, seed=42)
+    n = out.count()
+    v1 = reg.register_model(t.spark, base, "L1_KMEANS", model, {"k": 5, "inertia": model.summary.trainingCost},
+                            n_samples=n, now=dt.datetime(2024, 1, 1))
+    reg.register_model(t.spark, base, "L1_KMEANS", model, {"k": 5}, n_samples=n, parent=v1, incremental=True,
+                       now=dt.datetime(2024, 1, 2))
+    reg.activate_version(t.spark, base, "L1_KMEANS", v1)
+    return reg.version_history(reg._registry(t.spark, base), "L1_KMEANS") \
+        .select("layer", "version", "is_active", "parent_version", "is_incremental", "n_samples_train")

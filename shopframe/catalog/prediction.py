@@ -251,3 +251,29 @@ def _p8_lookalike(t):
     m = pipe.fit(split.filter("split = 'train'"))
     s = p.positive_probability(m.transform(split.filter("split = 'test'")))
     return p.auc_gate(p.auc(s, "is_vip", "score"))
+
+
+@register("pred_vip_model")
+def _p8_vip(t):
+    """VIP (top-quartile spend) from first-order / first-session / profile features; tree + forest."""
+    from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+    oi = V(t, "order_items")
+    vip = f.vip_by_percentile(oi).select("user_id", F.lit(1).alias("v"))
+    labels = oi.select("user_id").distinct().join(vip, "user_id", "left") \
+        .select("user_id", F.coalesce("v", F.lit(0)).alias("is_vip"))
+    ds = f.vip_dataset(oi, V(t, "products"), V(t, "shop_events"), V(t, "users"), labels)
+    ds = f.impute(ds, median_cols=["age"], text_cols=["gender", "country", "traffic_source", "first_order_department"])
+    split = materialize(p.stratified_split(p.balanced_weights(ds, "is_vip"), "is_vip", "user_id"))
+    num = ["first_order_num_items", "first_order_num_categories", "first_session_depth",
+           "first_session_products_viewed", "age"]
+    cat = ["gender", "country", "traffic_source", "first_order_department"]
+    rows = []
+    for name, learner in [
+            ("tree_depth5", DecisionTreeClassifier(labelCol="is_vip", weightCol="weight", maxDepth=5,
+                                                   minInstancesPerNode=200, seed=42, maxBins=64)),
+            ("forest_200x8", RandomForestClassifier(labelCol="is_vip", weightCol="weight", numTrees=200, maxDepth=8,
+                                                    seed=42, maxBins=64))]:
+        m = p.tabular_pipeline(num, cat, learner).fit(split.filter("split = 'train'"))
+        s = p.positive_probability(m.transform(split.filter("split = 'test'")))
+        rows.append(p.auc(s, "is_vip", "score").withColumn("model", F.lit(name)))
+    return p.auc_gate(rows[0].unionByName(rows[1]))

@@ -48,7 +48,7 @@ def stream_transactions(spark: SparkSession, source: str, target: str, quarantin
 def windowed_sales(stream: DataFrame, watermark: str = "2 days", window: str = "1 day") -> DataFrame:
     """Streaming revenue per day and channel with a watermark for late batches (event time = t_dat)."""
     from pyspark.sql import functions as F
-    ts = F.col("t_dat").cast("timestamp_ntz")
+    ts = F.col("t_dat").cast("timestamp")  # watermarks need TIMESTAMP
     return stream.withColumn("_ts", ts).withWatermark("_ts", watermark) \
         .groupBy(F.window("_ts", window), "sales_channel_id") \
         .agg(F.count(F.lit(1)).alias("n_transactions"), F.sum("price").alias("revenue"))
