@@ -382,9 +382,16 @@ def returned_baskets(oi, p, min_items: int = 2) -> DataFrame:
 
 
 def product_id_baskets(fo: DataFrame, min_len: int = 2) -> DataFrame:
-    """product ids per order with duplicates kept (sorted), length > 1."""
-    g = fo.groupBy("order_id").agg(F.sort_array(F.collect_list(F.col("product_id").cast("string"))).alias("items"))
-    return g.filter(F.size("items") >= min_len)
+    """product ids per order with their multiplicity (duplicates count toward the length).
+
+    Lines are first counted per (order, product), so a basket is a sorted array
+    of (product_id, n) - bounded by the distinct products of an order rather
+    than by its number of lines. ``n_lines`` is the length with duplicates.
+    """
+    c = fo.groupBy("order_id", "product_id").agg(_n().alias("n"))
+    g = c.groupBy("order_id").agg(F.sort_array(F.collect_list(F.struct("product_id", "n"))).alias("items"),
+                                  F.sum("n").alias("n_lines"))
+    return g.filter(F.col("n_lines") >= min_len)
 
 
 def majority_tier(oi: DataFrame, tiers: DataFrame) -> DataFrame:
