@@ -101,7 +101,7 @@ def _mini_batch(t):
     return c.update_clusters(_dna(t), cen, SHARE_COLS)
 
 
-register("cluster_update_step", W(FASH, "SELECT cluster_id, " + ", ".join(
+register("cluster_update_step", W(FASH, "SELECT CAST(cluster_id AS BIGINT) AS cluster_id, " + ", ".join(
     f"{R(f'CASE WHEN m = 0 THEN {x}0 ELSE s_{x} / m END', 9)} AS {x}" for x in SHARE_COLS) + """, m AS n
 FROM (SELECT k.cluster_id, """ + ", ".join(f"k.{x} AS {x}0" for x in SHARE_COLS) + """, COALESCE(b.m, 0) AS m, """ +
     ", ".join(f"b.s_{x}" for x in SHARE_COLS) + """

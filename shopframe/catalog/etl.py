@@ -16,7 +16,7 @@ SRC_ORDERS = ("src_orders", """SELECT o.o_orderkey AS order_id, o.o_custkey AS c
 SRC_ITEMS = ("src_items", "SELECT l_orderkey AS order_id, l_partkey AS product_id, l_extendedprice / l_quantity AS price "
                           "FROM lineitem")
 SRC_PRODUCTS = ("src_products", """SELECT p_partkey AS product_id, lower(p_type) AS category_name,
-  p_size * 100.0 AS weight_g, p_size AS length_cm, p_size % 7 + 1 AS height_cm,
+  CAST(p_size * 100.0 AS DOUBLE) AS weight_g, p_size AS length_cm, p_size % 7 + 1 AS height_cm,
   CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_size % 5 + 10 END AS width_cm FROM part""")
 SRC_TRANSLATION = ("src_translation", """SELECT DISTINCT lower(p_type) AS category_name,
   upper(substr(lower(p_type), 1, 1)) || substr(lower(p_type), 2) AS category_name_english

@@ -60,7 +60,7 @@ FROM rep""", [("rep", _REPEAT_SQL)]))(
     lambda t: p.pos_weight(_repeat(t), "label").select(rnd("pos_weight", 9).alias("pos_weight")))
 
 register("pred_auc_first_order_size", W(RV, f"""
-SELECT {R('SUM(pc * (qcum - qc + qc / 2.0)) / NULLIF(SUM(pc) * SUM(qc), 0)', 9)} AS auc, SUM(pc) AS n_pos, SUM(qc) AS n_neg
+SELECT {R('SUM(pc * (qcum - qc + qc / 2.0)) / NULLIF(SUM(pc) * SUM(qc), 0)', 9)} AS auc, CAST(SUM(pc) AS BIGINT) AS n_pos, CAST(SUM(qc) AS BIGINT) AS n_neg
 FROM (SELECT score, pc, qc, SUM(qc) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING) AS qcum FROM (
   SELECT score, COUNT(*) FILTER (WHERE label = 1) AS pc, COUNT(*) FILTER (WHERE label != 1) AS qc FROM rep
   GROUP BY score) a) b""", [("rep", _REPEAT_SQL)]))(

@@ -101,7 +101,7 @@ def rules_sql(items_sql: str, min_support: float, metric: str, threshold: float,
     FROM {p}fi, LATERAL (SELECT unnest(range(1, CAST(pow(2, len(items)) AS BIGINT) - 1)) AS m) g WHERE len(items) >= 2""")
     final = f"""SELECT {'seg AS ' + seg + ', ' if seg else ''}array_to_string(ant, '|') AS antecedent_key,
   array_to_string(con, '|') AS consequent_key, {R('support', 6)} AS support, {R('confidence', 6)} AS confidence,
-  {R('lift', 6)} AS lift{', rank' if top else ''} FROM {p}rk{f' WHERE rank <= {top}' if top else ''}"""
+  {R('lift', 6)} AS lift{', CAST(rank AS INTEGER) AS rank' if top else ''} FROM {p}rk{f' WHERE rank <= {top}' if top else ''}"""
     return ctes, final
 
 
@@ -291,7 +291,7 @@ _RULES_RAW = _rf.replace("array_to_string(ant, '|') AS antecedent_key", "ant AS
     .replace("array_to_string(con, '|') AS consequent_key", "con AS consequent_arr, array_to_string(con, '|') AS consequent_key") \
     .replace(f"{R('lift', 6)} AS lift", "lift AS raw_lift, " + R('lift', 6) + " AS lift")
 register("rules_recommend_all", W(FASH, f"""
-SELECT customer_id, cluster_id, rank2 AS rank, recommend, from_key AS from_items, support, confidence, lift FROM (
+SELECT customer_id, cluster_id, CAST(rank2 AS INTEGER) AS rank, recommend, from_key AS from_items, support, confidence, lift FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY {R('raw_lift', 9)} DESC, from_key, recommend) AS rank2
   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id, recommend ORDER BY {R('raw_lift', 9)} DESC, from_key) AS r1
         FROM (SELECT rb.customer_id, ru.cluster_id, unnest(ru.consequent_arr) AS recommend, ru.antecedent_key AS from_key,

@@ -143,12 +143,12 @@ SELECT s.s_suppkey AS store_id, s.s_name AS store_name,
 FROM supplier s LEFT JOIN geo g ON s.s_nationkey = g.city_id""",
     "dim_product": """
 SELECT p_partkey AS product_id, p_name AS description, CAST(p_size AS VARCHAR) AS size,
-       p_size * 100.0 AS weight_g, p_retailprice AS price
+       CAST(p_size * 100.0 AS DOUBLE) AS weight_g, p_retailprice AS price
 FROM part""",
     "customer_max_weight": """
-SELECT c.c_custkey AS customer_id, COALESCE(m.max_weight_g, 0.0) AS max_weight_g
+SELECT c.c_custkey AS customer_id, CAST(COALESCE(m.max_weight_g, 0.0) AS DOUBLE) AS max_weight_g
 FROM customer c LEFT JOIN (
-  SELECT o.o_custkey, MAX(p.p_size * 100.0) AS max_weight_g
+  SELECT o.o_custkey, CAST(MAX(p.p_size * 100.0) AS DOUBLE) AS max_weight_g
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey
   GROUP BY o.o_custkey) m ON c.c_custkey = m.o_custkey""",
     "customer_subtypes": f"""
@@ -179,7 +179,8 @@ SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id, l.l_partkey AS prod
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     "dim_time": """
 SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS time_id, d AS date,
-       day(d) AS day, month(d) AS month, quarter(d) AS quarter, year(d) AS year, dayname(d) AS weekday
+       CAST(day(d) AS INTEGER) AS day, CAST(month(d) AS INTEGER) AS month, CAST(quarter(d) AS INTEGER) AS quarter,
+       CAST(year(d) AS INTEGER) AS year, dayname(d) AS weekday
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) x""",
 }
 
