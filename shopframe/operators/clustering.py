@@ -19,6 +19,14 @@ from shopframe.session import materialize
 
 STYLE_COLS = ["pct_ladieswear", "pct_divided", "pct_menswear", "pct_baby", "pct_sport", "pct_online", "avg_price"]
 
+# ---------------------------------------------------------------- fixed values
+# Cluster names of the application rule (C5), in rule order, and its fallback prefix.
+THRESHOLD_NAMES = ("Family/Moms", "Sporty Active", "Menswear", "GenZ Trend", "Classic Ladieswear", "Mixed (top: ")
+# Cluster names of the notebook rule (C6), in rule order.
+NOTEBOOK_NAMES = ("Family/Moms", "GenZ Trend", "Menswear", "Sporty Active", "Classic Offline", "Classic Online")
+# Portfolio segments (C8): high margin & volume, low margin & high volume, high margin & low volume, rest.
+PORTFOLIO_NAMES = ("Stars", "Cash Cows", "Question Marks", "Dogs")
+
 
 def _vec(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
@@ -112,18 +120,20 @@ def label_by_threshold(centroids: DataFrame, cols: Sequence[str] = STYLE_COLS) -
     The top feature is the largest centroid value over all columns, price included.
     """
     top = F.array_max(F.array(*[F.struct(F.col(c).alias("v"), F.lit(c).alias("n")) for c in cols]))["n"]
-    lab = (F.when(F.col("pct_baby") > 0.40, "Family/Moms").when(F.col("pct_sport") > 0.40, "Sporty Active")
-           .when(F.col("pct_menswear") > 0.40, "Menswear").when(F.col("pct_divided") > 0.40, "GenZ Trend")
-           .when(F.col("pct_ladieswear") > 0.40, "Classic Ladieswear")
-           .otherwise(F.concat(F.lit("Mixed (top: "), top, F.lit(")"))))
+    n = THRESHOLD_NAMES
+    lab = (F.when(F.col("pct_baby") > 0.40, n[0]).when(F.col("pct_sport") > 0.40, n[1])
+           .when(F.col("pct_menswear") > 0.40, n[2]).when(F.col("pct_divided") > 0.40, n[3])
+           .when(F.col("pct_ladieswear") > 0.40, n[4])
+           .otherwise(F.concat(F.lit(n[5]), top, F.lit(")"))))
     return centroids.withColumn("cluster_label", lab)
 
 
 def label_by_threshold_nb(profile: DataFrame) -> DataFrame:
     """Notebook naming on percentage profiles (0-100)."""
-    lab = (F.when(F.col("pct_baby") > 30, "Family/Moms").when(F.col("pct_divided") > 40, "GenZ Trend")
-           .when(F.col("pct_menswear") > 40, "Menswear").when(F.col("pct_sport") > 20, "Sporty Active")
-           .when(F.col("pct_online") < 50, "Classic Offline").otherwise("Classic Online"))
+    n = NOTEBOOK_NAMES
+    lab = (F.when(F.col("pct_baby") > 30, n[0]).when(F.col("pct_divided") > 40, n[1])
+           .when(F.col("pct_menswear") > 40, n[2]).when(F.col("pct_sport") > 20, n[3])
+           .when(F.col("pct_online") < 50, n[4]).otherwise(n[5]))
     return profile.withColumn("cluster_name", lab)
 
 
@@ -146,7 +156,8 @@ def portfolio_segment(products: DataFrame, cluster: str = "cluster_id",
     th = cm.agg(F.percentile("_x", 0.5).alias("_tx"), F.percentile("_y", 0.5).alias("_ty"))
     j = products.crossJoin(th)
     hx, hy = F.col(x) > F.col("_tx"), F.col(y) > F.col("_ty")
-    seg = F.when(hx & hy, "Stars").when(~hx & hy, "Cash Cows").when(hx & ~hy, "Question Marks").otherwise("Dogs")
+    n = PORTFOLIO_NAMES
+    seg = F.when(hx & hy, n[0]).when(~hx & hy, n[1]).when(hx & ~hy, n[2]).otherwise(n[3])
     return j.withColumn("segment", seg).drop("_tx", "_ty")
 
 

@@ -16,6 +16,32 @@ from pyspark.sql import functions as F
 from shopframe.functions.baskets import first_by, item_sets, pair_counts, patterns
 from shopframe.functions.exprs import bucket, days_between, rate, rnd, share
 
+# ---------------------------------------------------------------- fixed values
+# Report labels that must read exactly as in the reports, in band order.
+PROCESSING_LABELS = ("Under 1 day", "1-2 days", "2-3 days", "Over 3 days")
+EVENT_COUNT_LABELS = ("1 event", "2-5 events", "6-10 events", "11+ events")
+BUYER_TYPE_LABELS = ("Repeat (>=2 orders)", "One-time (1 order)")
+PAIR_TYPE_LABELS = ("Same Department", "Cross Department")
+ORDER_GROUP_LABELS = ("1 order", "2 orders", "3 orders", "4 orders")
+TIER_LABELS = ("Budget", "Mid-range", "Premium")
+DEPTH_LABELS = ("01. 1-5", "02. 6-10", "03. 11-20", "04. 21-50", "05. 50+")
+URI_LABELS = ("product_page", "category_page", "home", "other: ")
+MARGIN_LABELS = ("1. Low (<30%)", "2. Mid (30-50%)", "3. High (50-70%)", "4. Premium (>70%)")
+RETURN_BAND_LABELS = ("0%", "1-5%", "6-10%", "11-15%", "16-20%", ">20%")
+LOGIN_LABELS = ("Anonymous", "Logged-in")
+BROWSE_LABELS = ("1 product", "2-3 products", "4-5 products", "6+ products")
+SEGMENT_LABELS = ("Newbie", "VIP", "Normal")
+SALES_BAND_LABELS = ("0 (not sold)", "1-5", "6-10", "11+")
+MARGIN_RETURN_LABELS = ("Low Margin (<40%)", "Mid Margin (40-55%)", "High Margin (>55%)")
+AGE_GROUP_LABELS = ("< 20", "20-29", "30-39", "40-49", "50-59", "60+")
+FREQUENCY_LABELS = ("1 (one-time)", "2-5", "6-10", "11-20", "21-50", "51+")
+TRIP_LABELS = ("1 item", "2-3 items", "4-5 items", "6-10 items", "11+ items")
+STYLE_AGE_LABELS = ("GenZ (< 25)", "Young (25-34)", "Middle (35-49)", "Senior (50+)")
+PRICE_BAND_LABELS = ("01. <20", "02. 20-50", "03. 50-100", "04. 100-200", "05. 200+")
+AGE_BAND_LABELS = ("18-24", "25-34", "35-44", "45-54", "55+")
+CANCEL_BAND_LABELS = ("Under $20", "$20 - $50", "$50 - $100", "Over $100")
+
+
 def _n() -> Column:
     return F.count(F.lit(1))
 
@@ -70,7 +96,7 @@ def days_to_sell_by_category(ii, p):
 
 def processing_time_buckets(oi):
     d = days_between("shipped_at", "created_at")
-    b = bucket(d, [1, 2, 3], ["Under 1 day", "1-2 days", "2-3 days", "Over 3 days"])
+    b = bucket(d, [1, 2, 3], PROCESSING_LABELS)
     return oi.filter(F.col("shipped_at").isNotNull()).groupBy(b.alias("processing_time_bucket")) \
         .agg(_n().alias("num_orders"))
 
@@ -80,8 +106,8 @@ def session_length_vs_purchase(ev):
         _n().alias("total_events"),
         F.max(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).alias("has_purchase"))
     te = F.col("total_events")
-    b = (F.when(te == 1, "1 event").when(te.between(2, 5), "2-5 events")
-         .when(te.between(6, 10), "6-10 events").otherwise("11+ events"))
+    e = EVENT_COUNT_LABELS
+    b = F.when(te == 1, e[0]).when(te.between(2, 5), e[1]).when(te.between(6, 10), e[2]).otherwise(e[3])
     return s.groupBy(b.alias("event_count_bucket")).agg(
         _n().alias("total_sessions"),
         rnd(F.lit(100.0) * F.sum("has_purchase") / _n(), 2).alias("purchase_rate"))
@@ -116,7 +142,7 @@ def repeat_vs_onetime_profile(oi, p):
     fof = fo.join(lines, "order_id").groupBy("fuser").agg(
         _n().alias("first_order_num_items"), F.count_distinct("category").alias("first_order_num_categories"))
     j = fof.join(user_order_totals(oi), F.col("fuser") == F.col("user_id"))
-    bt = F.when(F.col("total_orders") >= 2, "Repeat (>=2 orders)").otherwise("One-time (1 order)")
+    bt = F.when(F.col("total_orders") >= 2, BUYER_TYPE_LABELS[0]).otherwise(BUYER_TYPE_LABELS[1])
     return j.groupBy(bt.alias("buyer_type")).agg(
         _n().alias("num_users"), rnd(F.avg("first_order_num_items"), 3).alias("avg_first_items"),
         rnd(F.avg("first_order_num_categories"), 3).alias("avg_first_cats"))
@@ -136,7 +162,7 @@ def same_vs_cross_department_pairs(oi, p):
     j = _items(not_cancelled(oi), p, ("department", "category"))
     sets = item_sets(j, "order_id", F.struct("category", "department"), min_size=2)
     pc = pair_counts(patterns(sets), cond=lambda pr: pr["a"]["category"] < pr["b"]["category"])
-    t = F.when(F.col("a.department") == F.col("b.department"), "Same Department").otherwise("Cross Department")
+    t = F.when(F.col("a.department") == F.col("b.department"), PAIR_TYPE_LABELS[0]).otherwise(PAIR_TYPE_LABELS[1])
     g = pc.groupBy(t.alias("pair_type")).agg(F.sum("n").alias("pair_count"))
     return g.withColumn("pct", share("pair_count"))
 
@@ -147,7 +173,8 @@ def order_count_profile(oi, p):
         F.count_distinct("order_id").alias("total_orders"), F.sum("sale_price").alias("monetary"),
         F.avg("sale_price").alias("aov"), F.count_distinct("category").alias("num_categories"))
     t = F.col("total_orders")
-    label = (F.when(t == 1, "1 order").when(t == 2, "2 orders").when(t == 3, "3 orders").when(t == 4, "4 orders"))
+    og = ORDER_GROUP_LABELS
+    label = F.when(t == 1, og[0]).when(t == 2, og[1]).when(t == 3, og[2]).when(t == 4, og[3])
     g = u.groupBy("total_orders").agg(
         _n().alias("num_users"), rnd(F.avg("monetary"), 2).alias("avg_monetary"),
         rnd(F.avg("aov"), 2).alias("avg_aov"), rnd(F.avg("num_categories"), 2).alias("avg_categories"))
@@ -199,7 +226,7 @@ def price_tier_counts_by_category(p, lo: float = 28, hi: float = 58):
 
 
 def price_tier(rp: Column, lo: float, hi: float) -> Column:
-    return F.when(rp < lo, "Budget").when(rp <= hi, "Mid-range").otherwise("Premium")
+    return F.when(rp < lo, TIER_LABELS[0]).when(rp <= hi, TIER_LABELS[1]).otherwise(TIER_LABELS[2])
 
 
 def tier_share_by_department(p, lo: float = 28, hi: float = 58):
@@ -257,8 +284,6 @@ def return_rate_by_category(oi, p, top: int = 15):
 
 
 PRICE_BAND_EDGES = (20, 50, 100, 200)
-PRICE_BAND_LABELS = ("01. <20", "02. 20-50", "03. 50-100", "04. 100-200", "05. 200+")
-
 
 def return_rate_by_price_band(oi, edges=PRICE_BAND_EDGES, labels=PRICE_BAND_LABELS):
     return _returns(oi.groupBy(bucket("sale_price", edges, labels).alias("price_range")))
@@ -285,7 +310,6 @@ def orders_per_user(oi, top: int = 15):
 
 
 AGE_BAND_EDGES = (25, 35, 45, 55)
-AGE_BAND_LABELS = ("18-24", "25-34", "35-44", "45-54", "55+")
 
 
 def return_rate_by_age_band(oi, u):
@@ -296,7 +320,7 @@ def return_rate_by_age_band(oi, u):
 
 def session_depth_bands(ev):
     s = ev.filter(F.col("user_id").isNotNull()).groupBy("session_id").agg(F.max("sequence_number").alias("m"))
-    b = bucket("m", [5, 10, 20, 50], ["01. 1-5", "02. 6-10", "03. 11-20", "04. 21-50", "05. 50+"], right_open=False)
+    b = bucket("m", [5, 10, 20, 50], DEPTH_LABELS, right_open=False)
     return distribution(s, "m", b.alias("depth_range"), n="num_sessions")
 
 
@@ -382,8 +406,8 @@ def department_share(p):
 def uri_pattern_counts(ev, top: int = 20):
     e = ev.filter(F.col("user_id").isNotNull())
     u = F.col("uri")
-    pat = (F.when(u.like("/product/%"), "product_page").when(u.like("/category/%"), "category_page")
-           .when(u.like("/"), "home").otherwise(F.concat(F.lit("other: "), F.left(u, F.lit(30)))))
+    pat = (F.when(u.like("/product/%"), URI_LABELS[0]).when(u.like("/category/%"), URI_LABELS[1])
+           .when(u.like("/"), URI_LABELS[2]).otherwise(F.concat(F.lit(URI_LABELS[3]), F.left(u, F.lit(30)))))
     return e.groupBy(pat.alias("uri_pattern")).agg(_n().alias("cnt")).orderBy(F.desc("cnt"), "uri_pattern").limit(top)
 
 
@@ -417,8 +441,7 @@ def _priced(p):
 
 def margin_bands(p):
     x = _priced(p).withColumn("margin_pct", margin(p))
-    b = bucket("margin_pct", [0.3, 0.5, 0.7], ["1. Low (<30%)", "2. Mid (30-50%)", "3. High (50-70%)",
-                                               "4. Premium (>70%)"])
+    b = bucket("margin_pct", [0.3, 0.5, 0.7], MARGIN_LABELS)
     rp = F.col("retail_price")
     return x.groupBy(b.alias("margin_band")).agg(
         _n().alias("num_products"), rnd(F.min(rp), 2).alias("min_price"), rnd(F.max(rp), 2).alias("max_price"),
@@ -453,8 +476,9 @@ def product_return_bands(oi, p, min_sales: int = 10):
     ps = ps.filter(F.col("total_sold") >= min_sales).withColumn(
         "return_pct", rnd(F.lit(100.0) * F.col("total_returned") / F.col("total_sold"), 1))
     r = F.col("return_pct")
-    b = (F.when(r == 0, "0%").when(r <= 5, "1-5%").when(r <= 10, "6-10%").when(r <= 15, "11-15%")
-         .when(r <= 20, "16-20%").otherwise(">20%"))
+    rb = RETURN_BAND_LABELS
+    b = (F.when(r == 0, rb[0]).when(r <= 5, rb[1]).when(r <= 10, rb[2]).when(r <= 15, rb[3])
+         .when(r <= 20, rb[4]).otherwise(rb[5]))
     return ps.groupBy(b.alias("return_band")).agg(_n().alias("num_products"),
                                                   rnd(F.avg("return_pct"), 2).alias("avg_return_pct"))
 
@@ -466,7 +490,7 @@ def brands_per_order(oi, p):
 
 
 def funnel_by_login_state(ev):
-    ut = F.when(F.col("user_id").isNull(), "Anonymous").otherwise("Logged-in")
+    ut = F.when(F.col("user_id").isNull(), LOGIN_LABELS[0]).otherwise(LOGIN_LABELS[1])
     return ev.groupBy(ut.alias("user_type"), "event_type").agg(
         _n().alias("total_events"), F.count_distinct("session_id").alias("sessions_with_this_event"))
 
@@ -474,7 +498,7 @@ def funnel_by_login_state(ev):
 def browse_depth(ev):
     s = ev.filter((F.col("event_type") == "product") & F.col("user_id").isNotNull()) \
         .groupBy("session_id").agg(F.count_distinct("uri").alias("up"))
-    b = bucket("up", [1, 3, 5], ["1 product", "2-3 products", "4-5 products", "6+ products"], right_open=False)
+    b = bucket("up", [1, 3, 5], BROWSE_LABELS, right_open=False)
     return distribution(s, "up", b.alias("browse_depth"), n="num_sessions")
 
 
@@ -517,7 +541,6 @@ def abandonment_by_category(ev, p):
 
 
 CANCEL_BAND_EDGES = (20, 50, 100)
-CANCEL_BAND_LABELS = ("Under $20", "$20 - $50", "$50 - $100", "Over $100")
 
 
 def cancel_rate_by_price_band(ev, p, edges=CANCEL_BAND_EDGES, labels=CANCEL_BAND_LABELS):
@@ -548,9 +571,10 @@ def category_mix_by_country(u, oi, p, countries: Sequence[str], names: Sequence[
 def category_mix_newbie_vs_vip(o, oi, p):
     uc = o.groupBy("user_id").agg(F.count_distinct("order_id").alias("num_orders"))
     n = F.col("num_orders")
-    seg = uc.select("user_id", F.when(n == 1, "Newbie").when(n > 3, "VIP").otherwise("Normal").alias("segment"))
-    j = _items(seg.filter(F.col("segment").isin("Newbie", "VIP")).join(oi.select("user_id", "product_id"), "user_id"), p)
-    return _mix(j, "segment", ["Newbie", "VIP"], ["newbie_pct", "vip_pct"])
+    new, vip, normal = SEGMENT_LABELS
+    seg = uc.select("user_id", F.when(n == 1, new).when(n > 3, vip).otherwise(normal).alias("segment"))
+    j = _items(seg.filter(F.col("segment").isin(new, vip)).join(oi.select("user_id", "product_id"), "user_id"), p)
+    return _mix(j, "segment", [new, vip], ["newbie_pct", "vip_pct"])
 
 
 # ---------------------------------------------------------------- V57-V62
@@ -578,7 +602,8 @@ def sales_volume_bands(p, oi):
     j = p.select(F.col("id").alias("product_id")).join(sold, "product_id", "left") \
         .select(F.coalesce("num_sold", F.lit(0)).alias("num_sold"))
     s = F.col("num_sold")
-    b = F.when(s == 0, "0 (not sold)").when(s <= 5, "1-5").when(s <= 10, "6-10").otherwise("11+")
+    sb = SALES_BAND_LABELS
+    b = F.when(s == 0, sb[0]).when(s <= 5, sb[1]).when(s <= 10, sb[2]).otherwise(sb[3])
     return j.groupBy(b.alias("sales_band")).agg(_n().alias("num_products"))
 
 
@@ -609,7 +634,7 @@ def margin_vs_return_rate(oi, p, min_sales: int = 50):
                                      / _n(), 2).alias("return_rate"))
     ps = ps.filter(F.col("total_sold") >= min_sales).withColumn(
         "margin_pct", (F.col("retail_price") - F.col("cost")) / F.col("retail_price"))
-    b = bucket("margin_pct", [0.4, 0.55], ["Low Margin (<40%)", "Mid Margin (40-55%)", "High Margin (>55%)"])
+    b = bucket("margin_pct", [0.4, 0.55], MARGIN_RETURN_LABELS)
     return ps.groupBy(b.alias("margin_band")).agg(
         _n().alias("num_products"), rnd(F.avg("return_rate"), 2).alias("avg_return_rate"),
         rnd(F.min("return_rate"), 2).alias("min_return_rate"), rnd(F.max("return_rate"), 2).alias("max_return_rate"))
@@ -653,7 +678,7 @@ def numeric_profile(df: DataFrame, col: str, d: int = 4, exact: bool = True) ->
 
 
 def age_groups(c: DataFrame) -> DataFrame:
-    b = bucket("age", [20, 30, 40, 50, 60], ["< 20", "20-29", "30-39", "40-49", "50-59", "60+"])
+    b = bucket("age", [20, 30, 40, 50, 60], AGE_GROUP_LABELS)
     return distribution(c.filter(F.col("age").isNotNull()), "age", b.alias("age_group"), n="n_customers")
 
 
@@ -669,7 +694,7 @@ def monthly_sales(t: DataFrame) -> DataFrame:
 
 def purchase_frequency_bands(t: DataFrame) -> DataFrame:
     per = t.groupBy("customer_id").agg(_n().alias("n_purchases"))
-    b = bucket("n_purchases", [1, 5, 10, 20, 50], ["1 (one-time)", "2-5", "6-10", "11-20", "21-50", "51+"],
+    b = bucket("n_purchases", [1, 5, 10, 20, 50], FREQUENCY_LABELS,
                right_open=False)
     g = per.groupBy(b.alias("freq_bucket")).agg(_n().alias("n_customers"), F.min("n_purchases").alias("_o"))
     return g.withColumn("pct", share("n_customers")).orderBy("_o").drop("_o")
@@ -681,7 +706,7 @@ def channel_share(t: DataFrame) -> DataFrame:
 
 def trip_size(t: DataFrame) -> DataFrame:
     per = t.groupBy("customer_id", "t_dat").agg(_n().alias("n_items"))
-    b = bucket("n_items", [1, 3, 5, 10], ["1 item", "2-3 items", "4-5 items", "6-10 items", "11+ items"],
+    b = bucket("n_items", [1, 3, 5, 10], TRIP_LABELS,
                right_open=False)
     g = per.groupBy(b.alias("trip_size")).agg(_n().alias("n_trips"), F.min("n_items").alias("_o"))
     return g.withColumn("pct", share("n_trips")).orderBy("_o").drop("_o")
@@ -690,7 +715,7 @@ def trip_size(t: DataFrame) -> DataFrame:
 def age_by_style(t: DataFrame, a: DataFrame, c: DataFrame) -> DataFrame:
     j = t.join(a.select("article_id", "index_group_name"), "article_id") \
         .join(c.filter(F.col("age").isNotNull()).select("customer_id", "age"), "customer_id")
-    ag = bucket("age", [25, 35, 50], ["GenZ (< 25)", "Young (25-34)", "Middle (35-49)", "Senior (50+)"])
+    ag = bucket("age", [25, 35, 50], STYLE_AGE_LABELS)
     g = j.groupBy(ag.alias("age_group"), "index_group_name").agg(_n().alias("n_purchases"))
     return g.withColumn("pct_within_age", share("n_purchases", by=["age_group"]))
 
