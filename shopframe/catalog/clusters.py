@@ -184,9 +184,17 @@ def _c14b(t):
     return c.cluster_profile(seg, ["price", "weight_g"])
 
 
-@register("cluster_davies_bouldin_archetypes", None)
-def _c3(t):
-    return c.davies_bouldin(_assigned(t), SHARE_COLS)
+_DIST = " + ".join(f"(a.{x} - c.{x}) * (a.{x} - c.{x})" for x in SHARE_COLS)
+_CDIST = " + ".join(f"(p.{x} - q.{x}) * (p.{x} - q.{x})" for x in SHARE_COLS)
+register("cluster_davies_bouldin_archetypes", W(FASH, f"""
+SELECT {R('AVG(worst)', 9)} AS davies_bouldin FROM (
+  SELECT p.cluster_id, MAX((p.s + q.s) / sqrt({_CDIST})) AS worst
+  FROM sc p JOIN sc q ON p.cluster_id != q.cluster_id GROUP BY p.cluster_id) z""",
+    [CLUSTERS_CTE, _DNA_FULL, _ASSIGNED,
+     ("cen", "SELECT cluster_id, " + ", ".join(f"AVG({x}) AS {x}" for x in SHARE_COLS) + " FROM asg GROUP BY 1"),
+     ("sc", f"""SELECT c.*, s.s FROM cen c JOIN (SELECT a.cluster_id, AVG(sqrt({_DIST})) AS s FROM asg a
+                JOIN cen c ON a.cluster_id = c.cluster_id GROUP BY 1) s ON c.cluster_id = s.cluster_id""")]))(
+    lambda t: c.davies_bouldin(_assigned(t), SHARE_COLS).select(rnd("davies_bouldin", 9).alias("davies_bouldin")))
 
 
 @register("registry_versions_after_retrain")
