@@ -11,7 +11,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from shopframe.session import build_session
     s = build_session("local[4]", "shopframe-tests", 4,
-                      {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="shopframe-test-ckpt-")})
+                      {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="shopframe-test-ckpt-"),
+                       "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="shopframe-test-wh-")})
     yield s
     s.stop()
 

@@ -85,3 +85,27 @@ def test_stream_ingest_quarantines_bad_batch(spark, tmpdir_path):
                             os.path.join(tmpdir_path, "bad"), cust, art, name="t_ingest")
     q.awaitTermination()
     assert spark.read.parquet(os.path.join(tmpdir_path, "out")).count() == 1
+
+
+def test_bucketed_conformed_join_has_no_shuffle(spark, tmpdir_path):
+    from shopframe.operators import olap
+    from shopframe.plans.conformed import build_conformed, tables_from_catalog
+    from shopframe.sources.tables import Tables
+    sf = "/root/testdata/sf0.001"
+    t = Tables(spark, sf)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        build_conformed(t, "conf_test", 4, tmpdir_path, views=("fact_order", "dim_customer"))
+        ct = tables_from_catalog(spark, sf, "conf_test")
+        j = ct.view("fact_order").join(ct.view("dim_customer"), "customer_id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        fresh = olap.order_detail(t.view("fact_order"), t.view("dim_customer"), t.view("dim_product"),
+                                  t.view("dim_location"), order=False)
+        bucketed = olap.order_detail(ct.view("fact_order"), ct.view("dim_customer"), ct.view("dim_product"),
+                                     ct.view("dim_location"), order=False)
+        assert sorted(map(tuple, fresh.collect())) == sorted(map(tuple, bucketed.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
