@@ -136,52 +136,96 @@ def inventory_items(t) -> DataFrame:
         F.col("l_shipdate").alias("sold_at"))
 
 
+HEAVY_USER_ROWS = 2_000_000
+
+
 def sessionize(ev: DataFrame, user: str = "uid", ts: str = "ts", tie: str = "event_id",
-               gap_us: int = SESSION_GAP_US, bucket: str = "day") -> DataFrame:
-    """Gap sessions without a per-user window.
+               gap_us: int = SESSION_GAP_US, heavy_rows: int = HEAVY_USER_ROWS) -> DataFrame:
+    """Gap sessions with hot users split off.
+
+    Users with more than ``heavy_rows`` events (counted with a map-side
+    combined aggregate) take the bucketed path, with time buckets sized to
+    hold about ``heavy_rows`` of that user's events each; the others use one
+    per-user window (a single shuffle). The hot-user list is broadcast: it
+    has at most ``rows / heavy_rows`` entries.
+    """
+    stats = ev.groupBy(user).agg(F.count(F.lit(1)).alias("_c"), F.min(ts).alias("_t0"), F.max(ts).alias("_t1"))
+    # bucket width per hot user: its time span split into about count / heavy_rows buckets
+    span = epoch_us(F.col("_t1")) - epoch_us(F.col("_t0"))
+    heavy = stats.filter(F.col("_c") > heavy_rows).select(
+        user, F.greatest(F.lit(1_000_000), F.floor(span / F.ceil(F.col("_c") / F.lit(max(heavy_rows, 1))))).alias("_w"))
+    heavy = F.broadcast(heavy)  # at most rows / heavy_rows entries
+    cold = ev.join(heavy, user, "left_anti")
+    hot = ev.join(heavy, user, "inner")
+    return _sessionize_by_user(cold, user, ts, tie, gap_us).unionByName(
+        _sessionize_by_bucket(hot, user, ts, tie, gap_us).drop("_w"))
+
+
+def _sessionize_by_user(ev: DataFrame, user: str, ts: str, tie: str, gap_us: int) -> DataFrame:
+    w = Window.partitionBy(user).orderBy(ts, tie)
+    e = ev.withColumn("_lag", F.lag(ts).over(w))
+    e = e.withColumn("_is_start", F.col("_lag").isNull() | (epoch_us(F.col(ts)) - epoch_us("_lag") > gap_us))
+    e = e.withColumn("session_start", F.max(F.when(F.col("_is_start"), F.col(ts))).over(
+        w.rowsBetween(Window.unboundedPreceding, 0)))
+    ws = Window.partitionBy(user, "session_start").orderBy(ts, tie)
+    return e.withColumn("sequence_number", F.row_number().over(ws).cast("int")).drop("_lag", "_is_start")
+
+
+def _sessionize_by_bucket(ev: DataFrame, user: str = "uid", ts: str = "ts", tie: str = "event_id",
+                          gap_us: int = SESSION_GAP_US, bucket: str | None = None) -> DataFrame:
+    """Gap sessions without a per-user window (for users too large for one task).
 
     A window over the whole history of a user puts a heavy user into one task.
-    Here every window is over (user, time bucket); what crosses a bucket edge
-    is carried by small per-(user, bucket) summaries:
+    Here the events are shuffled once, on (user, time bucket); every window is
+    over that key and what crosses a bucket edge is carried by small
+    per-(user, bucket) summaries joined back on exactly that key (so the event
+    side is never shuffled again):
       1. lag inside the bucket; the first row of a bucket takes the last ts of
          the user's previous non-empty bucket;
       2. a session starts when the gap exceeds ``gap_us``;
-      3. session start = running max of start ts in the bucket, else the last
-         start of earlier buckets;
-      4. sequence number = rank in (user, bucket, session) + rows of the same
-         session in earlier buckets.
+      3. session start = running max of start ts in the bucket, else the
+         session carried in from earlier buckets;
+      4. sequence number = rank inside (user, bucket, session), plus, for the
+         carried session, its rows in earlier buckets.
+    Buckets are ``date_trunc(bucket, ts)`` when ``bucket`` is given, else
+    ``floor(epoch / _w)`` with a per-user width column ``_w`` (microseconds).
     Adds ``session_start`` and ``sequence_number``.
     """
-    b = F.date_trunc(bucket, F.col(ts))
+    key = [user, "_b"]
+    b = F.date_trunc(bucket, F.col(ts)) if bucket else F.floor(epoch_us(F.col(ts)) / F.col("_w"))
     e = ev.withColumn("_b", b)
-    wb = Window.partitionBy(user, "_b").orderBy(ts, tie)
+    wb = Window.partitionBy(*key).orderBy(ts, tie)
     e = e.withColumn("_lag", F.lag(ts).over(wb))
 
-    summ = e.groupBy(user, "_b").agg(F.max(ts).alias("_bmax"))
-    wu = Window.partitionBy(user).orderBy("_b")
-    summ = summ.withColumn("_prev_bmax", F.lag("_bmax").over(wu)).select(user, "_b", "_prev_bmax")
-    e = e.join(summ, [user, "_b"], "left")
+    wu = Window.partitionBy(user).orderBy("_b")  # over buckets of a user: one row per bucket
+    s1 = e.groupBy(*key).agg(F.max(ts).alias("_bmax"))
+    s1 = s1.select(*key, F.lag("_bmax").over(wu).alias("_prev_bmax"))
+    e = e.join(s1, key, "left")
     prev = F.coalesce(F.col("_lag"), F.col("_prev_bmax"))
-    e = e.withColumn("_is_start", prev.isNull() | (
-        epoch_us(F.col(ts)) - epoch_us(prev) > gap_us))
+    e = e.withColumn("_is_start", prev.isNull() | (epoch_us(F.col(ts)) - epoch_us(prev) > gap_us))
     e = e.withColumn("_run_start", F.max(F.when(F.col("_is_start"), F.col(ts))).over(
         wb.rowsBetween(Window.unboundedPreceding, 0)))
 
-    starts = e.groupBy(user, "_b").agg(F.max(F.when(F.col("_is_start"), F.col(ts))).alias("_bstart"))
-    starts = starts.withColumn("_carry", F.max("_bstart").over(
-        wu.rowsBetween(Window.unboundedPreceding, -1))).select(user, "_b", "_carry")
-    e = e.join(starts, [user, "_b"], "left")
+    # per bucket: the last start in it, and how many rows each session has in it
+    per = e.groupBy(*key, "_run_start").agg(F.count(F.lit(1)).alias("_n"))
+    s2 = per.groupBy(*key).agg(F.max("_run_start").alias("_last_start"),
+                               F.sum(F.when(F.col("_run_start").isNull(), F.col("_n"))).alias("_n_carried"))
+    s2 = s2.withColumn("_carry", F.max("_last_start").over(wu.rowsBetween(Window.unboundedPreceding, -1)))
+    # rows of the carried session in earlier buckets: its own start bucket's tail plus carried parts between
+    s2 = s2.withColumn("_own_n", F.lit(None).cast("long"))
+    tail = per.filter(F.col("_run_start").isNotNull()).select(user, F.col("_run_start").alias("_carry"),
+                                                              F.col("_n").alias("_tail"))
+    s2 = s2.join(tail, [user, "_carry"], "left")
+    # carried rows of the same session in the buckets between its start and this one
+    grp = Window.partitionBy(user, "_carry").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    s2 = s2.withColumn("_between", F.coalesce(F.sum("_n_carried").over(grp), F.lit(0)))
+    s2 = s2.select(*key, "_carry", (F.coalesce("_tail", F.lit(0)) + F.col("_between")).alias("_before"))
+    e = e.join(s2, key, "left")
     e = e.withColumn("session_start", F.coalesce("_run_start", "_carry"))
-
-    ws = Window.partitionBy(user, "_b", "session_start").orderBy(ts, tie)
-    e = e.withColumn("_rn", F.row_number().over(ws))
-    cnt = e.groupBy(user, "session_start", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    wsb = Window.partitionBy(user, "session_start").orderBy("_b")
-    cnt = cnt.withColumn("_before", F.coalesce(F.sum("_n").over(
-        wsb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(user, "session_start", "_b", "_before")
-    e = e.join(cnt, [user, "session_start", "_b"], "left")
-    e = e.withColumn("sequence_number", (F.col("_rn") + F.col("_before")).cast("int"))
-    return e.drop("_b", "_lag", "_prev_bmax", "_is_start", "_run_start", "_carry", "_rn", "_before")
+    ws = Window.partitionBy(*key, "session_start").orderBy(ts, tie)
+    e = e.withColumn("sequence_number", (F.row_number().over(ws) + F.when(F.col("_run_start").isNull(),
+                                                                          F.col("_before")).otherwise(0)).cast("int"))
+    return e.drop("_b", "_lag", "_prev_bmax", "_is_start", "_run_start", "_carry", "_before")
 
 
 def shop_events(t) -> DataFrame:

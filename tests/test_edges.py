@@ -40,7 +40,10 @@ def test_sessionize_matches_brute_force_across_days(spark):
             rows.append((eid, t, u))
             eid += 1
     df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, uid long")
-    got = {r.event_id: (r.session_start, r.sequence_number) for r in sessionize(df).collect()}
+    runs = [{r.event_id: (r.session_start, r.sequence_number) for r in sessionize(df, heavy_rows=h).collect()}
+            for h in (100, 0, 10 ** 9)]  # hot user split off / everyone bucketed / nobody bucketed
+    got = runs[0]
+    assert runs[1] == got and runs[2] == got
     # brute force
     exp = {}
     for u in range(4):
