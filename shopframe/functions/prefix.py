@@ -1,9 +1,10 @@
 """Distributed running totals and dense row numbers without a single-partition window.
 
-``Window.orderBy(...)`` without ``partitionBy`` moves every row into one task.
-Here rows are range-partitioned on the order key, each partition's total is
-computed, the (#partitions-sized) table of offsets is broadcast, and the
-running total inside a partition is a window over that partition only.
+``Window.orderBy(...)`` without ``partitionBy`` moves every row into one task,
+and ``Window.partitionBy(g)`` moves a whole group into one task. Here rows are
+range-partitioned on (group, order key), each partition's total per group is
+computed, the small table of offsets (partitions x groups) is joined back, and
+the running total inside a partition is a window over that partition only.
 """
 
 from __future__ import annotations
@@ -19,21 +20,29 @@ def _parts(df: DataFrame, n: int | None) -> int:
 
 
 def running_total(df: DataFrame, order: Sequence[str | Column], value: str | Column, out: str = "running",
-                  num_partitions: int | None = None) -> DataFrame:
-    """Inclusive running sum of ``value`` in ``order`` (ties: order columns must make rows unique)."""
+                  num_partitions: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Inclusive running sum of ``value`` in ``order`` (within each ``by`` group when given).
+
+    Rows are range-partitioned on (by, order), so one big group spans many
+    partitions; each partition's total per group is computed and the
+    earlier partitions' totals of the same group become that partition's
+    offset (a table of at most partitions x groups-per-partition rows).
+    Ties: the order columns must make rows unique.
+    """
     v = F.col(value) if isinstance(value, str) else value
-    r = df.repartitionByRange(_parts(df, num_partitions), *order).withColumn("_pid", F.spark_partition_id()) \
-        .withColumn("_v", v)
-    tot = r.groupBy("_pid").agg(F.sum("_v").alias("_t"))
-    off = tot.withColumn("_off", F.coalesce(F.sum("_t").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    # the offsets table has one row per partition: a bounded broadcast
-    j = r.join(F.broadcast(off.select("_pid", "_off")), "_pid")
+    keys = list(by)
+    r = df.repartitionByRange(_parts(df, num_partitions), *keys, *order) \
+        .withColumn("_pid", F.spark_partition_id()).withColumn("_v", v)
+    tot = r.groupBy("_pid", *keys).agg(F.sum("_v").alias("_t"))
+    wo = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_pid") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.withColumn("_off", F.coalesce(F.sum("_t").over(wo), F.lit(0)))
+    w = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    j = r.join(off.select("_pid", *keys, "_off"), ["_pid", *keys])
     return j.withColumn(out, F.sum("_v").over(w) + F.col("_off")).drop("_pid", "_v", "_off")
 
 
 def row_numbers(df: DataFrame, order: Sequence[str | Column], out: str = "row_id",
-                num_partitions: int | None = None) -> DataFrame:
-    """1..n in ``order`` (E10 surrogate keys), distributed."""
-    return running_total(df, order, F.lit(1), out, num_partitions).withColumn(out, F.col(out).cast("long"))
+                num_partitions: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """1..n in ``order`` (within each ``by`` group), distributed (E10 surrogate keys)."""
+    return running_total(df, order, F.lit(1), out, num_partitions, by).withColumn(out, F.col(out).cast("long"))

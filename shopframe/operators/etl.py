@@ -154,12 +154,12 @@ def dim_product_etl(products: DataFrame, translation: DataFrame, items: DataFram
     j = products.join(F.broadcast(translation), "category_name", "left") \
         .join(median_price(items), "product_id", "left")
     cat = F.coalesce("category_name_english", "category_name", F.lit("unknown"))
-    j = j.withColumn("category", cat)
-    w = Window.partitionBy("category").orderBy("product_id")
+    # number within category, distributed: a category holding most products still spans many tasks
+    j = row_numbers(j.withColumn("category", cat), ["product_id"], "_no", by=["category"])
     size = F.concat_ws("x", *[F.coalesce(F.col(c).cast("int"), F.lit(0)).cast("string")
                               for c in ("length_cm", "height_cm", "width_cm")])
     return j.select("product_id", F.concat(F.col("category"), F.lit(" #"),
-                                           F.lpad(F.row_number().over(w).cast("string"), 4, "0")).alias("description"),
+                                           F.lpad(F.col("_no").cast("string"), 4, "0")).alias("description"),
                     F.concat(size, F.lit(" cm")).alias("size"),
                     F.coalesce(F.col("weight_g").cast("int"), F.lit(0)).alias("weight_g"),
                     F.coalesce(rnd("median_price", 2), F.lit(0.0)).alias("price"))

@@ -167,3 +167,15 @@ def test_empty_string_timestamps(spark):
     df = spark.createDataFrame([("",), ("2024-01-02 03:04:05",), (None,)], "t string")
     got = [r[0] for r in df.select(ts_or_null("t")).collect()]
     assert got[0] is None and got[2] is None and got[1] is not None
+
+
+def test_row_numbers_within_groups_hot_group(spark):
+    rows = [("hot", i) for i in range(3000)] + [("a", i) for i in range(5)] + [("b", i) for i in range(7)]
+    df = spark.createDataFrame(rows, "g string, k long")
+    out = row_numbers(df, ["k"], "n", 6, by=["g"]).collect()
+    got = {}
+    for r in out:
+        got.setdefault(r.g, []).append((r.k, r.n))
+    for g, pairs in got.items():
+        pairs.sort()
+        assert [n for _, n in pairs] == list(range(1, len(pairs) + 1)), g
