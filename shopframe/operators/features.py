@@ -346,10 +346,16 @@ def product_sales(p: DataFrame, oi: DataFrame) -> DataFrame:
         .withColumn("num_sold", F.coalesce("num_sold", F.lit(0)))
 
 
-def vip_by_percentile(oi: DataFrame, p: float = 0.75) -> DataFrame:
-    """users whose non-cancelled spend exceeds the p-th percentile of user spend."""
+def vip_by_percentile(oi: DataFrame, p: float = 0.75, exact: bool = True, accuracy: int = 100_000) -> DataFrame:
+    """users whose non-cancelled spend exceeds the p-th percentile of user spend.
+
+    The exact percentile merges every distinct spend value in one task;
+    ``exact=False`` uses ``percentile_approx`` (a bounded sketch) for very
+    many users.
+    """
     spend = _nc(oi).groupBy("user_id").agg(F.sum("sale_price").alias("total_spend"))
-    th = spend.agg(F.percentile("total_spend", p).alias("_th"))
+    q = F.percentile("total_spend", p) if exact else F.percentile_approx("total_spend", p, accuracy)
+    th = spend.agg(q.cast("double").alias("_th"))
     return spend.crossJoin(th).filter(F.col("total_spend") > F.col("_th")).select("user_id", "total_spend")
 
 

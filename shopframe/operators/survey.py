@@ -588,11 +588,12 @@ def price_quartiles_by_category(p, exact: bool = True):
         rnd(F.avg("retail_price"), 2).alias("avg_price"))
 
 
-def price_cutoffs(p):
+def price_cutoffs(p, exact: bool = True):
     rp = F.col("retail_price")
+    q = (lambda v: F.percentile(rp, v)) if exact else (lambda v: F.percentile_approx(rp, v, 100_000))
     return p.filter(rp > 0).agg(
-        rnd(F.percentile(rp, 0.33), 2).alias("p33_budget_cutoff"),
-        rnd(F.percentile(rp, 0.67), 2).alias("p67_premium_cutoff"),
+        rnd(q(0.33), 2).alias("p33_budget_cutoff"),
+        rnd(q(0.67), 2).alias("p67_premium_cutoff"),
         rnd(F.min(rp), 2).alias("min_price"), rnd(F.max(rp), 2).alias("max_price"),
         rnd(F.avg(rp), 2).alias("avg_price"), _n().alias("total_products"))
 
