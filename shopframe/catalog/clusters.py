@@ -25,7 +25,7 @@ def V(t, name):
 
 
 def _dna(t):
-    return f.style_dna(V(t, "transactions"), V(t, "articles"), V(t, "hm_customers"))
+    return f.style_dna(V(t, "transactions"), V(t, "articles"), V(t, "fashion_customers"))
 
 
 def _assigned(t):
@@ -35,7 +35,7 @@ def _assigned(t):
 _DNA_FULL = ("dna", """SELECT t.customer_id, COUNT(*) AS total_items, AVG(t.price) AS avg_price, """ + ", ".join(
     f"AVG(CASE WHEN a.index_group_name = '{g}' THEN 1.0 ELSE 0.0 END) AS {x}" for x, g in zip(SHARE_COLS, GROUPS)) +
     """, AVG(CASE WHEN t.sales_channel_id = 2 THEN 1.0 ELSE 0.0 END) AS pct_online, MAX(hc.age) AS age
-  FROM transactions t JOIN articles a ON t.article_id = a.article_id JOIN hm_customers hc ON t.customer_id = hc.customer_id
+  FROM transactions t JOIN articles a ON t.article_id = a.article_id JOIN fashion_customers hc ON t.customer_id = hc.customer_id
   WHERE hc.age IS NOT NULL GROUP BY t.customer_id HAVING COUNT(*) >= 3""")
 _ASSIGNED = ("asg", "SELECT d.*, cl.cluster_id FROM dna d JOIN clusters cl ON d.customer_id = cl.customer_id")
 _PROFILE_SQL = f"""SELECT cluster_id, COUNT(*) AS n_customers, quantile_cont(age, 0.5) AS median_age,
@@ -116,9 +116,9 @@ FROM (SELECT k.cluster_id, """ + ", ".join(f"k.{x} AS {x}0" for x in SHARE_COLS)
 register("cluster_lookup", W(FASH, """
 SELECT hc.customer_id, COALESCE(s.cluster_id, cl.cluster_id) AS cluster_id,
        CASE WHEN s.cluster_id IS NOT NULL THEN 'stored' WHEN cl.cluster_id IS NOT NULL THEN 'computed' END AS source
-FROM hm_customers hc LEFT JOIN (SELECT * FROM clusters WHERE customer_id % 2 = 0) s ON hc.customer_id = s.customer_id
+FROM fashion_customers hc LEFT JOIN (SELECT * FROM clusters WHERE customer_id % 2 = 0) s ON hc.customer_id = s.customer_id
 LEFT JOIN clusters cl ON hc.customer_id = cl.customer_id""", [CLUSTERS_CTE]))(
-    lambda t: c.cluster_lookup(V(t, "hm_customers"), clusters(t).filter(F.col("customer_id") % 2 == 0),
+    lambda t: c.cluster_lookup(V(t, "fashion_customers"), clusters(t).filter(F.col("customer_id") % 2 == 0),
                                _dna(t), ARCHETYPES, SHARE_COLS))
 
 

@@ -118,7 +118,7 @@ SELECT label, COUNT(*) AS n, {R('100.0 * COUNT(*) / SUM(COUNT(*)) OVER ()')} AS
 # ---------------------------------------------------------------- trained models (rows-only checks)
 
 def _will_buy_data(t):
-    ds = f.purchase_dataset(V(t, "transactions"), V(t, "articles"), V(t, "hm_customers"))
+    ds = f.purchase_dataset(V(t, "transactions"), V(t, "articles"), V(t, "fashion_customers"))
     ds = p.stratified_split(ds, "will_buy", "customer_id")
     # learners pass over the data many times: train on a stored copy
     return materialize(p.assemble(p.balanced_weights(ds, "will_buy"), WILL_BUY))
@@ -154,7 +154,7 @@ register("pred_compare_will_buy_models")(lambda t: _metrics_rows(t, [
 def _p20(t):
     data = _will_buy_data(t)
     m = p.train_forest(data.filter("split = 'train'"), "will_buy", 200, 8, 0.4, "weight")
-    feats = f.fill_features(f.customer_features(V(t, "transactions"), V(t, "articles"), V(t, "hm_customers"),
+    feats = f.fill_features(f.customer_features(V(t, "transactions"), V(t, "articles"), V(t, "fashion_customers"),
                                                 f.latest_cutoff(V(t, "transactions"))))
     return p.score_will_buy(m, feats, WILL_BUY)
 

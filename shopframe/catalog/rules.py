@@ -32,7 +32,7 @@ def V(t, name):
 # ---------------------------------------------------------------- segments (C4)
 
 def clusters(t):
-    dna = f.style_dna(V(t, "transactions"), V(t, "articles"), V(t, "hm_customers"))
+    dna = f.style_dna(V(t, "transactions"), V(t, "articles"), V(t, "fashion_customers"))
     return c.assign_clusters(dna, ARCHETYPES, SHARE_COLS).select("customer_id", "cluster_id")
 
 
@@ -41,10 +41,10 @@ FROM (SELECT t.customer_id, COUNT(*) AS n, """ + ", ".join(
     f"CAST(SUM(CASE WHEN a.index_group_name = '{g}' THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) AS {x}"
     for x, g in zip(SHARE_COLS, GROUPS)) + """
       FROM transactions t JOIN articles a ON t.article_id = a.article_id GROUP BY t.customer_id HAVING COUNT(*) >= 3) cs
-JOIN hm_customers hc ON cs.customer_id = hc.customer_id WHERE hc.age IS NOT NULL"""
+JOIN fashion_customers hc ON cs.customer_id = hc.customer_id WHERE hc.age IS NOT NULL"""
 CLUSTERS_CTE = ("clusters", "SELECT customer_id, cluster_id FROM (" +
                 c.assign_clusters_sql(SHARE_COLS, ARCHETYPES, f"({_DNA_SQL}) dna") + ") q")
-FASH = ["transactions", "articles", "hm_customers"]
+FASH = ["transactions", "articles", "fashion_customers"]
 
 register("cluster_assign_archetypes", W(FASH, "SELECT * FROM clusters", [CLUSTERS_CTE]))(clusters)
 

@@ -42,10 +42,10 @@ SELECT p.customer_id, p.cluster_id, p.cluster_label, c.age, c.club_member_status
        (SELECT COUNT(*) FROM lcl WHERE cluster_id = 0) AS total,
        CAST(CEIL((SELECT COUNT(*) FROM lcl WHERE cluster_id = 0) / 10.0) AS BIGINT) AS total_pages
 FROM (SELECT * FROM lcl WHERE cluster_id = 0 ORDER BY customer_id LIMIT 10 OFFSET 10) p
-LEFT JOIN hm_customers c ON c.customer_id = p.customer_id
+LEFT JOIN fashion_customers c ON c.customer_id = p.customer_id
 LEFT JOIN (SELECT customer_id, COUNT(*) AS n_tx, SUM(price) AS spent, MAX(t_dat) AS last_purchase
            FROM transactions GROUP BY 1) s ON s.customer_id = p.customer_id""", [CLUSTERS_CTE, LCL]))(
-    lambda t: reg.customers_in_cluster(labelled(t), V(t, "hm_customers"), V(t, "transactions"), 0, page=2, size=10)
+    lambda t: reg.customers_in_cluster(labelled(t), V(t, "fashion_customers"), V(t, "transactions"), 0, page=2, size=10)
     .withColumn("total_pages", F.col("total_pages").cast("long")))
 
 register("serve_customer_profiles", W(FASH, f"""
@@ -53,7 +53,7 @@ SELECT c.customer_id, c.age, c.club_member_status, c.fashion_news_frequency, c.p
        s.n_days_active, {R('s.total_spent', 6)} AS total_spent, {R('s.avg_price', 6)} AS avg_price, s.first_purchase,
        s.last_purchase, {R('s.pct_online', 6)} AS pct_online, g.top_key AS top_product_groups, l.cluster_id,
        l.cluster_label
-FROM hm_customers c
+FROM fashion_customers c
 LEFT JOIN (SELECT customer_id, COUNT(*) AS n_transactions, COUNT(DISTINCT t_dat) AS n_days_active,
                   SUM(price) AS total_spent, AVG(price) AS avg_price, MIN(t_dat) AS first_purchase,
                   MAX(t_dat) AS last_purchase, AVG(CASE WHEN sales_channel_id = 2 THEN 1.0 ELSE 0.0 END) AS pct_online
@@ -65,7 +65,7 @@ LEFT JOIN (SELECT customer_id, string_agg(product_group_name || ':' || CAST(n AS
                        JOIN articles a ON t.article_id = a.article_id GROUP BY 1, 2) x) y WHERE r <= 5 GROUP BY 1) g
   ON c.customer_id = g.customer_id
 LEFT JOIN lcl l ON c.customer_id = l.customer_id""", [CLUSTERS_CTE, LCL]))(
-    lambda t: reg.customer_profiles(V(t, "hm_customers"), V(t, "transactions"), V(t, "articles"), labelled(t))
+    lambda t: reg.customer_profiles(V(t, "fashion_customers"), V(t, "transactions"), V(t, "articles"), labelled(t))
     .select("customer_id", "age", "club_member_status", "fashion_news_frequency", "postal_code", "n_transactions",
             "n_days_active", rnd("total_spent", 6).alias("total_spent"), rnd("avg_price", 6).alias("avg_price"),
             "first_purchase", "last_purchase", rnd("pct_online", 6).alias("pct_online"),
@@ -74,10 +74,10 @@ LEFT JOIN lcl l ON c.customer_id = l.customer_id""", [CLUSTERS_CTE, LCL]))(
             "cluster_id", "cluster_label"))
 
 register("serve_mining_summary", W(FASH, """
-SELECT (SELECT COUNT(*) FROM hm_customers) AS n_customers, (SELECT COUNT(*) FROM articles) AS n_articles,
+SELECT (SELECT COUNT(*) FROM fashion_customers) AS n_customers, (SELECT COUNT(*) FROM articles) AS n_articles,
        (SELECT COUNT(*) FROM transactions) AS n_transactions, (SELECT MAX(t_dat) FROM transactions)
          AS latest_transaction_date, (SELECT COUNT(*) FROM clusters) AS n_clustered_customers""", [CLUSTERS_CTE]))(
-    lambda t: reg.mining_summary(V(t, "hm_customers"), V(t, "articles"), V(t, "transactions"), clusters(t)))
+    lambda t: reg.mining_summary(V(t, "fashion_customers"), V(t, "articles"), V(t, "transactions"), clusters(t)))
 
 # a rule model (online share above one half) logged at the 7-day cutoff, then resolved
 _CUT = "(SELECT MAX(t_dat) - 7 FROM transactions)"
@@ -86,7 +86,7 @@ _CUT = "(SELECT MAX(t_dat) - 7 FROM transactions)"
 def _rule_predictions(t):
     tx = V(t, "transactions")
     cut = tx.agg(F.date_sub(F.max("t_dat"), 7).alias("cutoff"))
-    feats = f.customer_features(tx, V(t, "articles"), V(t, "hm_customers"), cut)
+    feats = f.customer_features(tx, V(t, "articles"), V(t, "fashion_customers"), cut)
     pred = feats.select("customer_id", (F.col("pct_online") > 0.5).cast("int").alias("will_buy"))
     at = cut.first()["cutoff"]  # one scalar: the log's timestamp
     return reg.prediction_rows(pred, "L3_RANDOMFOREST", "rule-online-v1", ["will_buy"], at)
@@ -127,7 +127,7 @@ def _last_day_batch(t):
 _B = ("b", """SELECT t_dat, customer_id, CAST(CASE WHEN customer_id % 3 = 0 THEN article_id + 100000000
   ELSE article_id END AS VARCHAR) AS article_id, price, sales_channel_id FROM transactions
   WHERE t_dat = (SELECT MAX(t_dat) FROM transactions)""")
-_MC = ("mc", "SELECT DISTINCT customer_id FROM b WHERE customer_id NOT IN (SELECT customer_id FROM hm_customers)")
+_MC = ("mc", "SELECT DISTINCT customer_id FROM b WHERE customer_id NOT IN (SELECT customer_id FROM fashion_customers)")
 _MA = ("ma", """SELECT DISTINCT TRY_CAST(article_id AS BIGINT) AS article_id FROM b
   WHERE TRY_CAST(article_id AS BIGINT) IS NOT NULL AND TRY_CAST(article_id AS BIGINT) NOT IN (SELECT article_id FROM articles)""")
 register("ingest_validate_batch", W(FASH, """
@@ -144,7 +144,7 @@ FROM (SELECT (SELECT COUNT(*) FROM b) AS n_rows,
              (SELECT list_sort(list(customer_id)) FROM (SELECT customer_id FROM mc ORDER BY 1 LIMIT 20) x) AS missing_customers,
              (SELECT list_sort(list(article_id)) FROM (SELECT article_id FROM ma ORDER BY 1 LIMIT 20) y) AS missing_articles) z""",
     [_B, _MC, _MA]))(
-    lambda t: ing.validate_transactions(_last_day_batch(t), V(t, "hm_customers"), V(t, "articles"))
+    lambda t: ing.validate_transactions(_last_day_batch(t), V(t, "fashion_customers"), V(t, "articles"))
     .select("n_rows", "bad_article_ids", "bad_channels", "n_missing_customers", "n_missing_articles",
             F.array_join(F.col("missing_customers").cast("array<string>"), "|").alias("missing_customers"),
             F.array_join(F.col("missing_articles").cast("array<string>"), "|").alias("missing_articles"),
@@ -152,7 +152,7 @@ FROM (SELECT (SELECT COUNT(*) FROM b) AS n_rows,
 
 
 def _updates(t):
-    c = V(t, "hm_customers")
+    c = V(t, "fashion_customers")
     return c.filter(F.col("customer_id") % 7 == 0).select(
         "customer_id", (F.col("age") + 1).alias("age"), F.lit(None).cast("string").alias("club_member_status"),
         F.lit("Monthly").alias("fashion_news_frequency"), F.lit(None).cast("string").alias("postal_code")) \
@@ -162,23 +162,23 @@ def _updates(t):
 
 
 _U = ("u", """SELECT customer_id, age + 1 AS age, CAST(NULL AS VARCHAR) AS club_member_status,
-  'Monthly' AS fashion_news_frequency, CAST(NULL AS VARCHAR) AS postal_code FROM hm_customers WHERE customer_id % 7 = 0
+  'Monthly' AS fashion_news_frequency, CAST(NULL AS VARCHAR) AS postal_code FROM fashion_customers WHERE customer_id % 7 = 0
   UNION ALL SELECT customer_id + 1000000000, age, club_member_status, fashion_news_frequency, postal_code
-  FROM hm_customers WHERE customer_id % 97 = 0""")
-register("ingest_upsert_customers", W(["hm_customers"], """
+  FROM fashion_customers WHERE customer_id % 97 = 0""")
+register("ingest_upsert_customers", W(["fashion_customers"], """
 SELECT COALESCE(t.customer_id, u.customer_id) AS customer_id, COALESCE(u.age, t.age) AS age,
        COALESCE(u.club_member_status, t.club_member_status) AS club_member_status,
        COALESCE(u.fashion_news_frequency, t.fashion_news_frequency) AS fashion_news_frequency,
        COALESCE(u.postal_code, t.postal_code) AS postal_code
-FROM hm_customers t FULL OUTER JOIN u ON t.customer_id = u.customer_id""", [_U]))(
-    lambda t: ing.upsert_customers(V(t, "hm_customers"), _updates(t)))
+FROM fashion_customers t FULL OUTER JOIN u ON t.customer_id = u.customer_id""", [_U]))(
+    lambda t: ing.upsert_customers(V(t, "fashion_customers"), _updates(t)))
 
-register("sink_upsert_customers", W(["hm_customers"], """
-SELECT * FROM hm_customers WHERE customer_id % 7 != 0
+register("sink_upsert_customers", W(["fashion_customers"], """
+SELECT * FROM fashion_customers WHERE customer_id % 7 != 0
 UNION ALL SELECT customer_id, age + 1, CAST(NULL AS VARCHAR), 'Monthly', CAST(NULL AS VARCHAR)
-FROM hm_customers WHERE customer_id % 7 = 0
+FROM fashion_customers WHERE customer_id % 7 = 0
 UNION ALL SELECT customer_id + 1000000000, age, club_member_status, fashion_news_frequency, postal_code
-FROM hm_customers WHERE customer_id % 97 = 0"""))(lambda t: sinks.upsert(V(t, "hm_customers"), _updates(t), "customer_id"))
+FROM fashion_customers WHERE customer_id % 97 = 0"""))(lambda t: sinks.upsert(V(t, "fashion_customers"), _updates(t), "customer_id"))
 
 register("sink_insert_statements", """
 SELECT CAST(FLOOR((rn - 1) / 100) AS BIGINT) AS batch_id,
@@ -202,7 +202,7 @@ def _stream(t):
         "t_dat", "customer_id", F.col("article_id").cast("string").alias("article_id"), "price",
         F.col("sales_channel_id").cast("int").alias("sales_channel_id"))
     good.write.parquet(f"{base}/in/batch1")
-    q = stream_transactions(t.spark, f"{base}/in/batch1", f"{base}/out", f"{base}/bad", V(t, "hm_customers"),
+    q = stream_transactions(t.spark, f"{base}/in/batch1", f"{base}/out", f"{base}/bad", V(t, "fashion_customers"),
                             V(t, "articles"), name=f"ingest_{uuid.uuid4().hex[:8]}")
     q.awaitTermination()
     return t.spark.read.parquet(f"{base}/out")

@@ -19,7 +19,7 @@ from shopframe.sources.tables import Tables
 # per-customer features, per-user features, the star schema's customer join.
 LAYOUT: dict[str, tuple[str, ...]] = {
     "transactions": ("customer_id",),
-    "hm_customers": ("customer_id",),
+    "fashion_customers": ("customer_id",),
     "order_items": ("user_id",),
     "users": ("id",),
     "fact_order": ("customer_id",),

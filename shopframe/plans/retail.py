@@ -43,7 +43,7 @@ def _case_sql(col: str, mapping: dict, default=None) -> str:
 # ---------------------------------------------------------------- fashion retail
 
 def transactions(t) -> DataFrame:
-    """H&M-style transactions: one row per order line."""
+    """Fashion-retail transactions: one row per order line."""
     li = t["lineitem"].select("l_orderkey", "l_partkey", "l_extendedprice", "l_linestatus")
     o = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
@@ -67,7 +67,7 @@ def _age(key: str):
     return F.when(F.col(key) % 11 == 0, F.lit(None)).otherwise(F.lit(18) + F.col(key) % 60)
 
 
-def hm_customers(t) -> DataFrame:
+def fashion_customers(t) -> DataFrame:
     c = t["customer"]
     return c.select(
         F.col("c_custkey").alias("customer_id"), _age("c_custkey").alias("age"),
@@ -292,7 +292,7 @@ SELECT p_partkey AS article_id, p_name AS prod_name, p_type AS product_type_name
        p_brand AS product_group_name, {_IG} AS index_group_name,
        CASE WHEN p_size <= 25 THEN 'Men' ELSE 'Women' END AS department_name
 FROM part""",
-    "hm_customers": f"""
+    "fashion_customers": f"""
 SELECT c_custkey AS customer_id, {_AGE.format(k='c_custkey')} AS age,
        CASE WHEN c_mktsegment IN ('AUTOMOBILE','BUILDING','HOUSEHOLD') THEN 'ACTIVE'
             WHEN c_mktsegment = 'FURNITURE' THEN 'PRE-CREATE' ELSE 'LEFT CLUB' END AS club_member_status,
