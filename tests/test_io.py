@@ -3,8 +3,6 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
-
 from shopframe.operators import ingest, registry as reg
 from shopframe.sources import sinks
 from shopframe.streaming.ingest_stream import stream_transactions

@@ -1,6 +1,5 @@
 """Every registered query with an oracle agrees with DuckDB on the smallest fixture (sf0.001)."""
 
-import math
 import os
 
 import duckdb
