@@ -197,7 +197,16 @@ SELECT {R('AVG(worst)', 9)} AS davies_bouldin FROM (
     lambda t: c.davies_bouldin(_assigned(t), SHARE_COLS).select(rnd("davies_bouldin", 9).alias("davies_bouldin")))
 
 
-@register("registry_versions_after_retrain")
+_N_DNA = "(SELECT COUNT(*) FROM dna)"
+register_sql_registry = W(FASH, f"""
+SELECT 'L1_KMEANS' AS layer, 'L1_KMEANS_20240101_000000_000000' AS version, TRUE AS is_active,
+       CAST(NULL AS VARCHAR) AS parent_version, FALSE AS is_incremental, {_N_DNA} AS n_samples_train
+UNION ALL
+SELECT 'L1_KMEANS', 'L1_KMEANS_20240102_000000_000000', FALSE, 'L1_KMEANS_20240101_000000_000000', TRUE, {_N_DNA}""",
+    [_DNA_FULL])
+
+
+@register("registry_versions_after_retrain", register_sql_registry)
 def _r1_r4(t):
     """Fit the style clusters, register two versions (the second incremental), re-activate
     the first, and return the layer's history with the active flags."""

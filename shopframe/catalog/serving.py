@@ -190,7 +190,10 @@ FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY c_custkey, c_name, c_mktsegment) AS
     lambda t: sinks.insert_statements(t["customer"].select("c_custkey", "c_name", "c_mktsegment"), "customer", 100))
 
 
-@register("ingest_stream_replay")
+@register("ingest_stream_replay", W(FASH, """
+SELECT t_dat, customer_id, CAST(article_id AS VARCHAR) AS article_id, price,
+       CAST(sales_channel_id AS INTEGER) AS sales_channel_id, CAST(0 AS BIGINT) AS batch_epoch
+FROM transactions WHERE t_dat = (SELECT MAX(t_dat) FROM transactions)"""))
 def _stream(t):
     """I4 end to end: the newest day's transactions are dropped as files; the stream validates and
     appends them; the appended rows are returned."""
