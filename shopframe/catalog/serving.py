@@ -208,7 +208,8 @@ def _stream(t):
     q = stream_transactions(t.spark, f"{base}/in/batch1", f"{base}/out", f"{base}/bad", V(t, "fashion_customers"),
                             V(t, "articles"), name=f"ingest_{uuid.uuid4().hex[:8]}")
     q.awaitTermination()
-    return t.spark.read.parquet(f"{base}/out")
+    out = t.spark.read.parquet(f"{base}/out")
+    return out.withColumn("batch_epoch", F.col("batch_epoch").cast("long"))
 
 
 # ---------------------------------------------------------------- S2: SQL text with bind parameters

@@ -48,15 +48,21 @@ def validate_transactions(batch: DataFrame, customers: DataFrame, articles: Data
 
 
 def append_transactions(batch: DataFrame, customers: DataFrame, articles: DataFrame, path: str,
-                        quarantine: str | None = None) -> dict:
-    """Append the whole batch when valid, nothing otherwise (optionally to a quarantine folder)."""
+                        quarantine: str | None = None, batch_id: str | None = None) -> dict:
+    """Add the whole batch when valid, nothing otherwise (optionally to a quarantine folder).
+
+    The batch lands in its own ``ingest_batch=<id>`` folder (overwritten on a
+    retry with the same id), so a resubmitted batch is never counted twice.
+    """
+    import uuid
+    bid = batch_id or uuid.uuid4().hex
     rep = validate_transactions(batch, customers, articles).first().asDict()
     clean = batch.withColumn("article_id", F.col("article_id").cast("string").try_cast("long"))
     if rep["ok"]:
-        clean.write.mode("append").parquet(path)
+        clean.write.mode("overwrite").parquet(f"{path}/ingest_batch={bid}")
     elif quarantine:
-        batch.write.mode("append").parquet(quarantine)
-    return rep
+        batch.write.mode("overwrite").parquet(f"{quarantine}/ingest_batch={bid}")
+    return {**rep, "batch_id": bid}
 
 
 def retrain_chain(steps: Sequence[tuple[str, object]]) -> list[tuple[str, object]]:

@@ -2,10 +2,12 @@
 
 A file source (new parquet/json batches dropped in a folder) feeds
 ``foreachBatch``: each micro-batch is validated like an HTTP batch (I2) and
-appended whole (I3) or sent whole to a quarantine folder. The checkpoint
-(offsets + commit log) lives in the shared checkpoint folder, so a restarted
-or failed query resumes without losing or duplicating batches; with
-``Trigger.AvailableNow`` it drains the backlog and stops (scheduled runs).
+written whole (I3) or sent whole to a quarantine folder. The checkpoint
+(offsets + commit log) lives in the shared checkpoint folder. Each epoch is
+written to its own ``batch_epoch=<id>`` folder with overwrite, so an epoch
+that is replayed after a failure replaces its earlier partial or complete
+output instead of appending it twice (exactly-once effect on the files).
+With ``Trigger.AvailableNow`` the query drains the backlog and stops.
 """
 
 from __future__ import annotations
@@ -33,12 +35,8 @@ def stream_transactions(spark: SparkSession, source: str, target: str, quarantin
         rep = validate_transactions(batch, customers, articles).first()
         if rep is None or rep["n_rows"] == 0:
             return
-        from pyspark.sql import functions as F
-        out = batch.withColumn("batch_epoch", F.lit(epoch_id).cast("long"))
-        if rep["ok"]:
-            out.write.mode("append").parquet(target)
-        else:
-            out.write.mode("append").parquet(quarantine)
+        dest = target if rep["ok"] else quarantine
+        batch.write.mode("overwrite").parquet(f"{dest}/batch_epoch={epoch_id}")
 
     w = src.writeStream.foreachBatch(handle).option("checkpointLocation", ckpt).queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

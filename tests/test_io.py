@@ -63,6 +63,10 @@ def test_validate_and_append_all_or_nothing(spark, tmpdir_path):
     assert not rep["ok"] and rep["bad_article_ids"] == 1 and rep["bad_channels"] == 1
     assert rep["missing_customers"] == [3] and rep["missing_articles"] == [99]
     assert spark.read.parquet(path).count() == 1
+    # resubmitting the same batch id replaces it instead of adding it twice
+    ingest.append_transactions(good, cust, art, path, batch_id="b-1")
+    ingest.append_transactions(good, cust, art, path, batch_id="b-1")
+    assert spark.read.parquet(path).count() == 2
 
 
 def test_upsert_customers_keeps_old_fields(spark):
