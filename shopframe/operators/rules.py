@@ -298,6 +298,11 @@ def recent_basket(tx: DataFrame, articles: DataFrame, days: int = 30) -> DataFra
 
 
 def recommend_all(tx, articles, clusters, rules, top_k: int = 5, days: int = 30) -> DataFrame:
-    """Recent basket + cluster + rules for every customer."""
+    """Recent basket + cluster + rules for every customer.
+
+    ``rules`` come from ``mine_app`` (at most ``top`` rules for each of the k
+    clusters), so they are broadcast: a cluster holding a third of all
+    customers is then joined without a shuffle on the cluster key.
+    """
     b = recent_basket(tx, articles, days).join(clusters.select("customer_id", "cluster_id"), "customer_id")
-    return recommend(rules, b, "customer_id", ["cluster_id"], top_k)
+    return recommend(F.broadcast(rules), b, "customer_id", ["cluster_id"], top_k)
