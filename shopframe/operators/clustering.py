@@ -146,7 +146,7 @@ def label_by_rank(assigned: DataFrame, metric: str, names: Sequence[str], cluste
     ranked = ranked.withColumn("segment", F.element_at(lut, F.col("_r") + 1))
     if top_flag:
         ranked = ranked.withColumn(top_flag, (F.col("_r") == len(names) - 1).cast("int"))
-    return assigned.join(ranked.drop("_m", "_r"), cluster)
+    return assigned.join(F.broadcast(ranked.drop("_m", "_r")), cluster)  # k rows
 
 
 def portfolio_segment(products: DataFrame, cluster: str = "cluster_id",

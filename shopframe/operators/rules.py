@@ -54,7 +54,9 @@ def frequent_itemsets(sets: DataFrame, min_support: float, max_len: int | None =
     # distinct patterns and per-level results are stored: each level reads a
     # small table instead of re-planning the baskets (bounded by distinct patterns)
     pats = materialize(patterns(sets, items, by))
-    n = pats.groupBy(*by).agg(F.sum("weight").alias("n_baskets"))
+    # per-segment summaries have one row per segment: broadcast, so a segment
+    # holding most baskets is never a single shuffle partition
+    n = F.broadcast(pats.groupBy(*by).agg(F.sum("weight").alias("n_baskets")))
 
     def keep(df):
         df = _join_by(df, n, by).withColumn("support", F.col("count") / F.col("n_baskets"))
@@ -66,7 +68,7 @@ def frequent_itemsets(sets: DataFrame, min_support: float, max_len: int | None =
     if max_len == 1:
         return materialize(out)
     # patterns restricted to frequent items (the vocabulary per segment is small)
-    vocab = l1.groupBy(*by).agg(F.collect_set("item").alias("_v"))
+    vocab = F.broadcast(l1.groupBy(*by).agg(F.collect_set("item").alias("_v")))
     fp = _join_by(pats, vocab, by).select(*by, F.array_intersect(items, "_v").alias("items"), "weight") \
         .filter(F.size("items") >= 2).groupBy(*by, "items").agg(F.sum("weight").alias("weight"))
     l2 = keep(fp.select(*by, F.explode(pair_array("items")).alias("p"), "weight")
@@ -74,7 +76,8 @@ def frequent_itemsets(sets: DataFrame, min_support: float, max_len: int | None =
     out = out.unionByName(l2.select(*by, "items", "count", "support"))
     if max_len == 2:
         return materialize(out)
-    vocab2 = l2.select(*by, F.explode("items").alias("item")).groupBy(*by).agg(F.collect_set("item").alias("_v"))
+    vocab2 = F.broadcast(l2.select(*by, F.explode("items").alias("item")).groupBy(*by)
+                         .agg(F.collect_set("item").alias("_v")))
     fp3 = _join_by(fp, vocab2, by).select(*by, F.array_intersect(items, "_v").alias("items"), "weight") \
         .filter(F.size("items") >= 3)
     l3 = keep(fp3.select(*by, F.explode(_triples()).alias("items"), "weight")
@@ -154,7 +157,7 @@ def top_rules(rules: DataFrame, n: int, by: Sequence[str] = (), order: Sequence[
 def _enough(sets: DataFrame, by: Sequence[str], min_baskets: int) -> DataFrame:
     if min_baskets <= 0:
         return sets
-    ok = basket_counts(sets, by).filter(F.col("n_baskets") >= min_baskets).drop("n_baskets")
+    ok = F.broadcast(basket_counts(sets, by).filter(F.col("n_baskets") >= min_baskets).drop("n_baskets"))
     return sets.join(ok, list(by), "left_semi") if by else \
         sets.crossJoin(ok.select(F.lit(1).alias("_ok"))).drop("_ok")
 
