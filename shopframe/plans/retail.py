@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopframe.functions.exprs import epoch_us
+from shopframe.session import materialize
 
 INDEX_GROUPS = {"ECONOMY": "Ladieswear", "SMALL": "Divided", "MEDIUM": "Menswear",
                 "LARGE": "Baby/Children", "PROMO": "Sport", "STANDARD": "Other"}
@@ -154,7 +155,12 @@ def sessionize(ev: DataFrame, user: str = "uid", ts: str = "ts", tie: str = "eve
     span = epoch_us(F.col("_t1")) - epoch_us(F.col("_t0"))
     heavy = stats.filter(F.col("_c") > heavy_rows).select(
         user, F.greatest(F.lit(1_000_000), F.floor(span / F.ceil(F.col("_c") / F.lit(max(heavy_rows, 1))))).alias("_w"))
-    heavy = F.broadcast(heavy)  # at most rows / heavy_rows entries
+    # stored once (tiny: at most rows / heavy_rows entries), so the branches
+    # below do not each recount the events; no hot user -> one-window plan
+    heavy = materialize(heavy)
+    if heavy.isEmpty():
+        return _sessionize_by_user(ev, user, ts, tie, gap_us)
+    heavy = F.broadcast(heavy)
     cold = ev.join(heavy, user, "left_anti")
     hot = ev.join(heavy, user, "inner")
     return _sessionize_by_user(cold, user, ts, tie, gap_us).unionByName(
