@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shopframe.catalog.base import register
 from shopframe.operators import olap, quality as q
+from shopframe.functions.exprs import rnd, rnd_sql
 from shopframe.plans.oracle import with_views as W
 
 
@@ -36,10 +37,10 @@ def _o1(t):
     return olap.stock_listing(fi, loc, p)
 
 
-@register("olap_order_totals", W(["fact_order", "dim_customer", "dim_time"], """
+@register("olap_order_totals", W(["fact_order", "dim_customer", "dim_time"], f"""
 SELECT fo.order_id, c.customer_name,
        CAST(tm.day AS VARCHAR) || '/' || CAST(tm.month AS VARCHAR) || '/' || CAST(tm.year AS VARCHAR) AS order_date,
-       tm.weekday, fo.channel, SUM(fo.amount) AS order_total
+       tm.weekday, fo.channel, {rnd_sql('SUM(fo.amount)', 2)} AS order_total
 FROM fact_order fo JOIN dim_customer c ON fo.customer_id = c.customer_id
 JOIN dim_time tm ON fo.time_id = tm.time_id
 GROUP BY fo.order_id, c.customer_name, tm.day, tm.month, tm.year, tm.weekday, fo.channel"""))
@@ -194,8 +195,8 @@ def _checks(t):
                     "orders with lines"),
         q.reconcile("physical_stock_qty", q.scalar(fi.join(phys, "store_id", "left_semi"), F.sum("stock_qty")),
                     q.scalar(src_phys, F.sum("l_quantity")), "stock of physical stores"),
-        q.reconcile("order_amount", q.scalar(fo, F.round(F.sum("amount"), 2)),
-                    q.scalar(src_l, F.round(F.sum(F.col("l_quantity") * (F.col("l_extendedprice") / F.col("l_quantity"))), 2)),
+        q.reconcile("order_amount", q.scalar(fo, rnd(F.sum("amount"), 2)),
+                    q.scalar(src_l, rnd(F.sum(F.col("l_quantity") * (F.col("l_extendedprice") / F.col("l_quantity"))), 2)),
                     "rounded revenue"),
         q.reconcile("orphan_order_customer", q.orphan_count(fo, c, "customer_id"), q.constant(t.spark, 0.0), "expect 0"),
         q.reconcile("orphan_order_product", q.orphan_count(fo, p, "product_id"), q.constant(t.spark, 0.0), "expect 0"),
@@ -229,8 +230,9 @@ UNION ALL SELECT 'physical_stock_qty',
        (SELECT CAST(SUM(stock_qty) AS DOUBLE) FROM fact_inventory WHERE store_id IN
           (SELECT store_id FROM dim_location WHERE store_type = 'physical')),
        (SELECT CAST(SUM(l_quantity) AS DOUBLE) FROM lineitem WHERE l_suppkey % 2 = 0), 'stock of physical stores'
-UNION ALL SELECT 'order_amount', (SELECT CAST(ROUND(SUM(amount), 2) AS DOUBLE) FROM fact_order),
-       (SELECT CAST(ROUND(SUM(l_quantity * (l_extendedprice / l_quantity)), 2) AS DOUBLE) FROM lineitem), 'rounded revenue'
+UNION ALL SELECT 'order_amount', (SELECT CAST(FLOOR(FLOOR(SUM(amount) * 100000.0 + 0.5) / 1000.0 + 0.5) / 100.0 AS DOUBLE)
+       FROM fact_order), (SELECT CAST(FLOOR(FLOOR(SUM(l_quantity * (l_extendedprice / l_quantity)) * 100000.0 + 0.5)
+       / 1000.0 + 0.5) / 100.0 AS DOUBLE) FROM lineitem), 'rounded revenue'
 UNION ALL SELECT 'orphan_order_customer', (SELECT CAST(COUNT(*) AS DOUBLE) FROM fact_order f
        WHERE NOT EXISTS (SELECT 1 FROM dim_customer d WHERE d.customer_id = f.customer_id)), 0.0, 'expect 0'
 UNION ALL SELECT 'orphan_order_product', (SELECT CAST(COUNT(*) AS DOUBLE) FROM fact_order f

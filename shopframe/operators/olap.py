@@ -56,12 +56,16 @@ def stock_listing(fi: DataFrame, loc: DataFrame, prod: DataFrame, order: bool =
     return out.orderBy("store_id", "product_id") if order else out
 
 
-def order_totals(fo: DataFrame, cust: DataFrame, time: DataFrame, order: bool = True) -> DataFrame:
-    """O2: amount per order, customer, day and channel; date as d/m/y text."""
+def order_totals(fo: DataFrame, cust: DataFrame, time: DataFrame, order: bool = True, digits: int = 2) -> DataFrame:
+    """O2: amount per order, customer, day and channel; date as d/m/y text.
+
+    The money sum is rounded to cents, which makes it independent of the
+    summation order (partitioning) of the lines.
+    """
     j = fo.join(cust.select("customer_id", "customer_name"), "customer_id") \
         .join(time.select("time_id", "day", "month", "year", "weekday"), "time_id")
     out = j.groupBy("order_id", "customer_name", "day", "month", "year", "weekday", "channel") \
-        .agg(F.sum("amount").alias("order_total"))
+        .agg(rnd(F.sum("amount"), digits).alias("order_total"))
     out = out.select("order_id", "customer_name",
                      F.concat_ws("/", F.col("day").cast("string"), F.col("month").cast("string"),
                                  F.col("year").cast("string")).alias("order_date"),
