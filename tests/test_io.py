@@ -111,3 +111,19 @@ def test_bucketed_conformed_join_has_no_shuffle(spark, tmpdir_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_csv_source_declared_schema_and_empty_timestamps(spark, tmpdir_path):
+    from pyspark.sql import types as T
+
+    from shopframe.functions.exprs import days_between, ts_or_null
+    from shopframe.sources.tables import read_csv
+    p = os.path.join(tmpdir_path, "items.csv")
+    with open(p, "w") as fh:
+        fh.write("id,shipped_at,delivered_at\n1,2024-01-01 00:00:00,2024-01-03 12:00:00\n2,2024-01-02 00:00:00,\n")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("shipped_at", T.StringType()),
+                           T.StructField("delivered_at", T.StringType())])
+    df = read_csv(spark, p, schema)
+    out = {r.id: r.d for r in df.select("id", days_between(ts_or_null("delivered_at"), ts_or_null("shipped_at"))
+                                         .alias("d")).collect()}
+    assert out == {1: 2.5, 2: None}
