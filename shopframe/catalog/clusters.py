@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shopframe.catalog.base import register
-from shopframe.catalog.rules import ARCHETYPES, CLUSTERS_CTE, FASH, GROUPS, SHARE_COLS, clusters
+from shopframe.catalog.rules import _DNA_SQL, ARCHETYPES, CLUSTERS_CTE, FASH, GROUPS, SHARE_COLS, clusters
 from shopframe.functions.exprs import rnd, rnd_sql as R
 from shopframe.operators import clustering as c
 from shopframe.operators import features as f
@@ -113,13 +113,27 @@ FROM (SELECT k.cluster_id, """ + ", ".join(f"k.{x} AS {x}0" for x in SHARE_COLS)
     [CLUSTERS_CTE, _DNA_FULL, _ASSIGNED]))(
     lambda t: _mini_batch(t).select("cluster_id", *[rnd(x, 9).alias(x) for x in SHARE_COLS], "n"))
 
+# stored assignments are those an earlier run made from purchases up to the cutoff
+LOOKUP_CUTOFF = "1998-12-31"
+_DNA_OLD = _DNA_SQL.replace("ON t.article_id = a.article_id GROUP BY t.customer_id",
+                            f"ON t.article_id = a.article_id WHERE t.t_dat <= DATE '{LOOKUP_CUTOFF}' GROUP BY t.customer_id")
+assert _DNA_OLD != _DNA_SQL
+
+
+def _stored(t):
+    old_tx = V(t, "transactions").filter(F.col("t_dat") <= F.lit(LOOKUP_CUTOFF).cast("date"))
+    dna = f.style_dna(old_tx, V(t, "articles"), V(t, "fashion_customers"))
+    return c.assign_clusters(dna, ARCHETYPES, SHARE_COLS).select("customer_id", "cluster_id")
+
+
 register("cluster_lookup", W(FASH, """
 SELECT hc.customer_id, COALESCE(s.cluster_id, cl.cluster_id) AS cluster_id,
        CASE WHEN s.cluster_id IS NOT NULL THEN 'stored' WHEN cl.cluster_id IS NOT NULL THEN 'computed' END AS source
-FROM fashion_customers hc LEFT JOIN (SELECT * FROM clusters WHERE customer_id % 2 = 0) s ON hc.customer_id = s.customer_id
-LEFT JOIN clusters cl ON hc.customer_id = cl.customer_id""", [CLUSTERS_CTE]))(
-    lambda t: c.cluster_lookup(V(t, "fashion_customers"), clusters(t).filter(F.col("customer_id") % 2 == 0),
-                               _dna(t), ARCHETYPES, SHARE_COLS))
+FROM fashion_customers hc LEFT JOIN stored s ON hc.customer_id = s.customer_id
+LEFT JOIN clusters cl ON hc.customer_id = cl.customer_id""",
+    [CLUSTERS_CTE, ("stored", "SELECT customer_id, cluster_id FROM (" + c.assign_clusters_sql(
+        SHARE_COLS, ARCHETYPES, f"({_DNA_OLD}) d") + ") z")]))(
+    lambda t: c.cluster_lookup(V(t, "fashion_customers"), _stored(t), _dna(t), ARCHETYPES, SHARE_COLS))
 
 
 # ---------------------------------------------------------------- k-means fits (rows-only)
