@@ -115,16 +115,16 @@ SELECT model_version, COUNT(*) AS n_resolved, {R('AVG(CAST(correct AS DOUBLE))',
 
 
 def _last_day_batch(t):
-    """Transactions of the newest day in ingest form; every third customer's article id is shifted
-    out of range so the report has unknown articles."""
+    """Transactions of the newest day in ingest form; the online lines carry an article id outside
+    the catalogue, so the report has unknown articles."""
     tx = V(t, "transactions")
     last = tx.agg(F.max("t_dat").alias("_d"))
     b = tx.join(last, tx.t_dat == last._d).drop("_d")
-    aid = F.when(F.col("customer_id") % 3 == 0, F.col("article_id") + 100000000).otherwise(F.col("article_id"))
+    aid = F.when(F.col("sales_channel_id") == 2, F.col("article_id") + 100000000).otherwise(F.col("article_id"))
     return b.select("t_dat", "customer_id", aid.cast("string").alias("article_id"), "price", "sales_channel_id")
 
 
-_B = ("b", """SELECT t_dat, customer_id, CAST(CASE WHEN customer_id % 3 = 0 THEN article_id + 100000000
+_B = ("b", """SELECT t_dat, customer_id, CAST(CASE WHEN sales_channel_id = 2 THEN article_id + 100000000
   ELSE article_id END AS VARCHAR) AS article_id, price, sales_channel_id FROM transactions
   WHERE t_dat = (SELECT MAX(t_dat) FROM transactions)""")
 _MC = ("mc", "SELECT DISTINCT customer_id FROM b WHERE customer_id NOT IN (SELECT customer_id FROM fashion_customers)")
@@ -151,34 +151,46 @@ FROM (SELECT (SELECT COUNT(*) FROM b) AS n_rows,
             "too_many", "ok"))
 
 
+def _active_on(t, which):
+    """Customers with a purchase on the newest (or first) day of the transactions."""
+    tx = V(t, "transactions")
+    d = tx.agg((F.max("t_dat") if which == "last" else F.min("t_dat")).alias("_d"))
+    return tx.join(d, tx.t_dat == d._d).select("customer_id").distinct()
+
+
 def _updates(t):
+    """An update batch derived from activity: customers active on the newest day get age + 1 and a
+    monthly newsletter (other fields null = unchanged); customers active on the first day come back
+    as new sign-ups under a new id."""
     c = V(t, "fashion_customers")
-    return c.filter(F.col("customer_id") % 7 == 0).select(
+    upd = c.join(_active_on(t, "last"), "customer_id", "left_semi").select(
         "customer_id", (F.col("age") + 1).alias("age"), F.lit(None).cast("string").alias("club_member_status"),
-        F.lit("Monthly").alias("fashion_news_frequency"), F.lit(None).cast("string").alias("postal_code")) \
-        .unionByName(c.filter(F.col("customer_id") % 97 == 0).select(
-            (F.col("customer_id") + 1000000000).alias("customer_id"), "age", "club_member_status",
-            "fashion_news_frequency", "postal_code"))
+        F.lit("Monthly").alias("fashion_news_frequency"), F.lit(None).cast("string").alias("postal_code"))
+    new = c.join(_active_on(t, "first"), "customer_id", "left_semi").select(
+        (F.col("customer_id") + 1000000000).alias("customer_id"), "age", "club_member_status",
+        "fashion_news_frequency", "postal_code")
+    return upd.unionByName(new)
 
 
+_ACT_LAST = ("act_last", "SELECT DISTINCT customer_id FROM transactions WHERE t_dat = (SELECT MAX(t_dat) FROM transactions)")
+_ACT_FIRST = ("act_first", "SELECT DISTINCT customer_id FROM transactions WHERE t_dat = (SELECT MIN(t_dat) FROM transactions)")
 _U = ("u", """SELECT customer_id, age + 1 AS age, CAST(NULL AS VARCHAR) AS club_member_status,
-  'Monthly' AS fashion_news_frequency, CAST(NULL AS VARCHAR) AS postal_code FROM fashion_customers WHERE customer_id % 7 = 0
+  'Monthly' AS fashion_news_frequency, CAST(NULL AS VARCHAR) AS postal_code FROM fashion_customers
+  WHERE customer_id IN (SELECT customer_id FROM act_last)
   UNION ALL SELECT customer_id + 1000000000, age, club_member_status, fashion_news_frequency, postal_code
-  FROM fashion_customers WHERE customer_id % 97 = 0""")
-register("ingest_upsert_customers", W(["fashion_customers"], """
+  FROM fashion_customers WHERE customer_id IN (SELECT customer_id FROM act_first)""")
+register("ingest_upsert_customers", W(FASH, """
 SELECT COALESCE(t.customer_id, u.customer_id) AS customer_id, COALESCE(u.age, t.age) AS age,
        COALESCE(u.club_member_status, t.club_member_status) AS club_member_status,
        COALESCE(u.fashion_news_frequency, t.fashion_news_frequency) AS fashion_news_frequency,
        COALESCE(u.postal_code, t.postal_code) AS postal_code
-FROM fashion_customers t FULL OUTER JOIN u ON t.customer_id = u.customer_id""", [_U]))(
+FROM fashion_customers t FULL OUTER JOIN u ON t.customer_id = u.customer_id""", [_ACT_LAST, _ACT_FIRST, _U]))(
     lambda t: ing.upsert_customers(V(t, "fashion_customers"), _updates(t)))
 
-register("sink_upsert_customers", W(["fashion_customers"], """
-SELECT * FROM fashion_customers WHERE customer_id % 7 != 0
-UNION ALL SELECT customer_id, age + 1, CAST(NULL AS VARCHAR), 'Monthly', CAST(NULL AS VARCHAR)
-FROM fashion_customers WHERE customer_id % 7 = 0
-UNION ALL SELECT customer_id + 1000000000, age, club_member_status, fashion_news_frequency, postal_code
-FROM fashion_customers WHERE customer_id % 97 = 0"""))(lambda t: sinks.upsert(V(t, "fashion_customers"), _updates(t), "customer_id"))
+register("sink_upsert_customers", W(FASH, """
+SELECT * FROM fashion_customers WHERE customer_id NOT IN (SELECT customer_id FROM u)
+UNION ALL SELECT * FROM u""", [_ACT_LAST, _ACT_FIRST, _U]))(
+    lambda t: sinks.upsert(V(t, "fashion_customers"), _updates(t), "customer_id"))
 
 register("sink_insert_statements", """
 SELECT CAST(FLOOR((rn - 1) / 100) AS BIGINT) AS batch_id,
