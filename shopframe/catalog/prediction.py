@@ -177,8 +177,9 @@ def _p4(t):
                                   labelCol="is_repeat_buyer", maxDepth=4, minInstancesPerNode=50, seed=42,
                                   maxBins=64))
     m = pipe.fit(materialize(f.impute(ds, median_cols=["age"])))
-    text = m.stages[-1].toDebugString
-    return t.spark.createDataFrame([(i, ln) for i, ln in enumerate(text.splitlines())], "line_no int, rule string")
+    tree = m.stages[-1]
+    return t.spark.createDataFrame([(tree.depth, tree.numNodes, tree.toDebugString)],
+                                   "depth int, num_nodes int, rules string")
 
 
 @register("pred_tier_model_ovr_auc")
