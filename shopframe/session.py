@@ -18,6 +18,13 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # checkpoint files of DataFrames that went out of scope are removed
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # partition sizing: AQE coalesces shuffle output towards 128 MB per task,
+    # scans split files at 256 MB, a partition 5x the median and above 256 MB
+    # counts as skewed and is split for joins
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
 }
 
 
