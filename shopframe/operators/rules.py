@@ -86,30 +86,45 @@ def frequent_itemsets(sets: DataFrame, min_support: float, max_len: int | None =
 
 
 def _fpgrowth_itemsets(sets, min_support, max_len, by, items):
+    """FP-Growth for itemsets of any length.
+
+    FP-Growth has one global threshold, so segments are grouped into size
+    classes (powers of two of their basket count) and each class is mined in
+    one run with segment-prefixed items at the threshold of its smallest
+    segment - at most twice too low for any segment of the class, never a
+    tiny segment's threshold applied to a huge one. The loop is over size
+    classes (at most ~40), not segments; supports are then filtered exactly
+    per segment.
+    """
     from pyspark.ml.fpm import FPGrowth
     n = basket_counts(sets, by)
-    if by:
-        key = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in by])
-        tagged = sets.select(*by, F.transform(items, lambda x: F.concat(key, F.lit("\u0002"), x)).alias("items"))
-        # one run for all segments: the global threshold is the smallest segment threshold
-        total = sets.count()
-        smallest = n.agg(F.min("n_baskets")).first()[0] or 0
-        global_min = max(min_support * smallest / total, 1.0 / total) if total else 1.0
-    else:
-        tagged = sets.select(F.col(items).alias("items"))
-        global_min = min_support
-    model = FPGrowth(itemsCol="items", minSupport=float(global_min), minConfidence=1.0).fit(tagged)
-    fi = model.freqItemsets
-    if by:
-        first = F.element_at("items", 1)
-        fi = fi.withColumn("_key", F.substring_index(first, "\u0002", 1)) \
+    if not by:
+        model = FPGrowth(itemsCol="items", minSupport=float(min_support), minConfidence=1.0) \
+            .fit(sets.select(F.col(items).alias("items")))
+        fi = model.freqItemsets.withColumn("items", F.sort_array("items"))
+        return _finish_fp(fi, n, by, min_support, max_len)
+    n = n.withColumn("_class", F.floor(F.log2(F.col("n_baskets"))).cast("int"))
+    classes = [r["_class"] for r in n.select("_class").distinct().collect()]  # <= ~40 values
+    key = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in by])
+    out = None
+    for cls in sorted(classes):
+        seg = n.filter(F.col("_class") == cls)
+        stats = seg.agg(F.sum("n_baskets").alias("tot"), F.min("n_baskets").alias("lo")).first()
+        part = sets.join(F.broadcast(seg.select(*by)), list(by), "left_semi")  # segments of one class
+        tagged = part.select(F.transform(items, lambda x: F.concat(key, F.lit("\u0002"), x)).alias("items"))
+        thr = max(min_support * stats["lo"] / stats["tot"], 1.0 / stats["tot"])
+        fi = FPGrowth(itemsCol="items", minSupport=float(thr), minConfidence=1.0).fit(tagged).freqItemsets
+        fi = fi.withColumn("_key", F.substring_index(F.element_at("items", 1), "\u0002", 1)) \
             .withColumn("items", F.sort_array(F.transform("items", lambda x: F.substring_index(x, "\u0002", -1))))
         parts = F.split("_key", "\u0001")
         for i, c in enumerate(by):
             fi = fi.withColumn(c, F.element_at(parts, i + 1).cast(sets.schema[c].dataType))
         fi = fi.drop("_key")
-    else:
-        fi = fi.withColumn("items", F.sort_array("items"))
+        out = fi if out is None else out.unionByName(fi)
+    return _finish_fp(out, n.drop("_class"), by, min_support, max_len)
+
+
+def _finish_fp(fi, n, by, min_support, max_len):
     if max_len:
         fi = fi.filter(F.size("items") <= max_len)
     fi = _join_by(fi.withColumnRenamed("freq", "count"), n, by).withColumn("support", F.col("count") / F.col("n_baskets"))
