@@ -127,3 +127,18 @@ def test_csv_source_declared_schema_and_empty_timestamps(spark, tmpdir_path):
     out = {r.id: r.d for r in df.select("id", days_between(ts_or_null("delivered_at"), ts_or_null("shipped_at"))
                                          .alias("d")).collect()}
     assert out == {1: 2.5, 2: None}
+
+
+def test_bucketed_single_customer_reads_one_bucket(spark, tmpdir_path):
+    from shopframe.operators import features as f
+    from shopframe.plans.conformed import build_conformed, tables_from_catalog
+    from shopframe.sources.tables import Tables
+    sf = "/root/testdata/sf0.001"
+    build_conformed(Tables(spark, sf), "bp_test", 8, tmpdir_path, views=("transactions",))
+    ct = tables_from_catalog(spark, sf, "bp_test")
+    df = f.customer_features(ct.view("transactions"), ct.view("articles"), ct.view("fashion_customers"),
+                             "2001-12-31", customer_id=42)
+    assert "SelectedBucketsCount: 1 out of 8" in df._jdf.queryExecution().executedPlan().toString()
+    fresh = f.customer_features(Tables(spark, sf).view("transactions"), ct.view("articles"),
+                                ct.view("fashion_customers"), "2001-12-31", customer_id=42)
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, fresh.collect()))
