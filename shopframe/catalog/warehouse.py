@@ -172,41 +172,56 @@ def _o13(t):
 # ---------------------------------------------------------------- Q1-Q11 reconciliation
 
 def _checks(t):
+    """Q1-Q9: each table is aggregated once into a one-row frame; the checks are unpivoted from them."""
     fo, fi, c, p, loc, tm = _star(t)
     src_c, src_p, src_o, src_l = t["customer"], t["part"], t["orders"], t["lineitem"]
     st = t.view("customer_subtypes")
     cnt = F.count(F.lit(1))
+    key_null = (F.col("order_id").isNull() | F.col("customer_id").isNull() | F.col("product_id").isNull()
+                | F.col("store_id").isNull() | F.col("time_id").isNull())
+    neg = (F.col("qty") < 0) | (F.col("unit_price") < 0) | (F.col("amount") < 0)
+    # orphans in the same pass: left joins to the (unique) dimension keys, misses counted
+    fx = fo
+    for d, k in ((c, "customer_id"), (p, "product_id"), (loc, "store_id")):
+        fx = fx.join(d.select(k, F.lit(1).alias(f"_has_{k}")), k, "left")
+    fo_row = fx.agg(cnt.alias("fo_n"), F.count_distinct("order_id").alias("fo_orders"),
+                    rnd(F.sum("amount"), 2).alias("fo_amount"), F.count_if(neg).alias("fo_negative"),
+                    F.count_if(key_null).alias("fo_nulls"),
+                    *[F.count_if(F.col(f"_has_{k}").isNull()).alias(f"orph_{k}")
+                      for k in ("customer_id", "product_id", "store_id")])
     phys = loc.filter(F.col("store_type") == "physical").select("store_id")
-    src_phys = src_l.filter(F.col("l_suppkey") % 2 == 0)
-    checks = [
-        q.reconcile("customer_count", q.scalar(c, cnt), q.scalar(src_c, cnt), "dim_customer vs customer"),
-        q.reconcile("tourist_customers", q.scalar(c, F.count("guide")),
-                    q.scalar(st.filter("is_tourist"), cnt), "guide not null vs tourist subtype"),
-        q.reconcile("postal_customers", q.scalar(c, F.count("postal_address")),
-                    q.scalar(st.filter("is_postal"), cnt), "address not null vs postal subtype"),
-        q.reconcile("product_count", q.scalar(p, cnt), q.scalar(src_p, cnt), "dim_product vs part"),
-        q.reconcile("order_line_count", q.scalar(fo, cnt), q.scalar(src_l, cnt), "fact_order vs lineitem"),
-        q.reconcile("distinct_customer_key", q.scalar(c, F.count_distinct("customer_id")),
-                    q.scalar(src_c, cnt), "distinct keys vs rows"),
-        q.reconcile("distinct_product_key", q.scalar(p, F.count_distinct("product_id")),
-                    q.scalar(src_p, cnt), "distinct keys vs rows"),
-        q.reconcile("distinct_order_key", q.scalar(fo, F.count_distinct("order_id")),
-                    q.scalar(src_o.join(src_l, src_o.o_orderkey == src_l.l_orderkey, "left_semi"), cnt),
-                    "orders with lines"),
-        q.reconcile("physical_stock_qty", q.scalar(fi.join(phys, "store_id", "left_semi"), F.sum("stock_qty")),
-                    q.scalar(src_phys, F.sum("l_quantity")), "stock of physical stores"),
-        q.reconcile("order_amount", q.scalar(fo, rnd(F.sum("amount"), 2)),
-                    q.scalar(src_l, rnd(F.sum(F.col("l_quantity") * (F.col("l_extendedprice") / F.col("l_quantity"))), 2)),
-                    "rounded revenue"),
-        q.reconcile("orphan_order_customer", q.orphan_count(fo, c, "customer_id"), q.constant(t.spark, 0.0), "expect 0"),
-        q.reconcile("orphan_order_product", q.orphan_count(fo, p, "product_id"), q.constant(t.spark, 0.0), "expect 0"),
-        q.reconcile("orphan_order_store", q.orphan_count(fo, loc, "store_id"), q.constant(t.spark, 0.0), "expect 0"),
-        q.reconcile("negative_values", q.negative_values(fo, ["qty", "unit_price", "amount"]),
-                    q.constant(t.spark, 0.0), "expect 0"),
-        q.reconcile("critical_nulls", q.critical_nulls(fo, ["order_id", "customer_id", "product_id", "store_id", "time_id"]),
-                    q.constant(t.spark, 0.0), "expect 0"),
-    ]
-    return q.stack(checks)
+    dw = fo_row \
+        .crossJoin(c.agg(cnt.alias("c_n"), F.count("guide").alias("c_guide"), F.count("postal_address").alias("c_addr"),
+                         F.count_distinct("customer_id").alias("c_keys"))) \
+        .crossJoin(p.agg(cnt.alias("p_n"), F.count_distinct("product_id").alias("p_keys"))) \
+        .crossJoin(fi.join(F.broadcast(phys), "store_id", "left_semi").agg(F.sum("stock_qty").alias("fi_phys"))) \
+        .withColumn("zero", F.lit(0.0))
+    li_row = src_l.agg(cnt.alias("l_n"),
+                       rnd(F.sum(F.col("l_quantity") * (F.col("l_extendedprice") / F.col("l_quantity"))), 2)
+                       .alias("l_amount"),
+                       F.sum(F.when(F.col("l_suppkey") % 2 == 0, F.col("l_quantity"))).alias("l_phys"))
+    src = src_c.agg(cnt.alias("sc_n")).crossJoin(src_p.agg(cnt.alias("sp_n"))).crossJoin(li_row) \
+        .crossJoin(st.agg(F.count_if("is_tourist").alias("st_t"), F.count_if("is_postal").alias("st_p"))) \
+        .crossJoin(src_o.join(src_l.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_semi")
+                   .agg(cnt.alias("so_n"))) \
+        .withColumn("zero_src", F.lit(0.0))
+    return q.reconcile_many(dw, src, [
+        ("customer_count", "c_n", "sc_n", "dim_customer vs customer"),
+        ("tourist_customers", "c_guide", "st_t", "guide not null vs tourist subtype"),
+        ("postal_customers", "c_addr", "st_p", "address not null vs postal subtype"),
+        ("product_count", "p_n", "sp_n", "dim_product vs part"),
+        ("order_line_count", "fo_n", "l_n", "fact_order vs lineitem"),
+        ("distinct_customer_key", "c_keys", "sc_n", "distinct keys vs rows"),
+        ("distinct_product_key", "p_keys", "sp_n", "distinct keys vs rows"),
+        ("distinct_order_key", "fo_orders", "so_n", "orders with lines"),
+        ("physical_stock_qty", "fi_phys", "l_phys", "stock of physical stores"),
+        ("order_amount", "fo_amount", "l_amount", "rounded revenue"),
+        ("orphan_order_customer", "orph_customer_id", "zero_src", "expect 0"),
+        ("orphan_order_product", "orph_product_id", "zero_src", "expect 0"),
+        ("orphan_order_store", "orph_store_id", "zero_src", "expect 0"),
+        ("negative_values", "fo_negative", "zero_src", "expect 0"),
+        ("critical_nulls", "fo_nulls", "zero_src", "expect 0"),
+    ])
 
 
 _CHECKS_SQL = """

@@ -48,6 +48,26 @@ def reconcile(name: str, dw: DataFrame, src: DataFrame | None, note: str = "",
         F.lit(note).alias("note"))
 
 
+def reconcile_many(dw_row: DataFrame, src_row: DataFrame,
+                   checks: Sequence[tuple[str, str, str | None, str]], tol: float = 0.01) -> DataFrame:
+    """Q1 for many checks at once: one row of warehouse scalars, one row of source scalars.
+
+    ``checks``: (name, dw column, source column or None, note). The two rows
+    are aggregated once per table and unpivoted with ``stack``, so every table
+    is scanned once however many checks read it.
+    """
+    row = dw_row.crossJoin(src_row)
+    args = []
+    for name, dw_col, src_col, note in checks:
+        src = F.col(src_col).cast("double") if src_col else F.lit(None).cast("double")
+        args += [F.lit(name), F.col(dw_col).cast("double"), src, F.lit(note)]
+    out = row.select(F.stack(F.lit(len(checks)), *args).alias("name", "dw_value", "source_value", "note"))
+    return out.select(
+        "name", "dw_value", "source_value",
+        F.when(F.col("dw_value").isNull() | F.col("source_value").isNull(), F.lit(None).cast("boolean"))
+         .otherwise(F.abs(F.col("dw_value") - F.col("source_value")) < tol).alias("is_match"), "note")
+
+
 def stack(checks: Sequence[DataFrame]) -> DataFrame:
     out = checks[0]
     for c in checks[1:]:
