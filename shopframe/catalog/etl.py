@@ -216,13 +216,13 @@ FROM src_items i JOIN src_orders o ON i.order_id = o.order_id GROUP BY i.order_i
 
 register("etl_fk_report", W(["fact_order", "dim_customer", "dim_product", "dim_location"], """
 SELECT 'order_customer' AS edge, COUNT(*) AS n_orphans FROM (SELECT DISTINCT customer_id FROM fact_order) c
-  WHERE customer_id NOT IN (SELECT customer_id FROM dim_customer)
+  WHERE customer_id IS NULL OR customer_id NOT IN (SELECT customer_id FROM dim_customer)
 UNION ALL SELECT 'order_product', COUNT(*) FROM (SELECT DISTINCT product_id FROM fact_order) c
-  WHERE product_id NOT IN (SELECT product_id FROM dim_product)
+  WHERE product_id IS NULL OR product_id NOT IN (SELECT product_id FROM dim_product)
 UNION ALL SELECT 'order_store', COUNT(*) FROM (SELECT DISTINCT store_id FROM fact_order) c
-  WHERE store_id NOT IN (SELECT store_id FROM dim_location)
+  WHERE store_id IS NULL OR store_id NOT IN (SELECT store_id FROM dim_location)
 UNION ALL SELECT 'item_order', COUNT(*) FROM (SELECT DISTINCT l_orderkey FROM lineitem) c
-  WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)"""))(
+  WHERE l_orderkey IS NULL OR l_orderkey NOT IN (SELECT o_orderkey FROM orders)"""))(
     lambda t: e.fk_report([
         ("order_customer", t.view("fact_order"), "customer_id", t.view("dim_customer"), "customer_id"),
         ("order_product", t.view("fact_order"), "product_id", t.view("dim_product"), "product_id"),

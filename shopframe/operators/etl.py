@@ -236,15 +236,32 @@ def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- E20-E24
 
 def fk_report(edges: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """For each (name, child, child_key, parent, parent_key) the distinct orphan keys."""
+    """For each (name, child, child_key, parent, parent_key) the number of distinct orphan keys.
+
+    Edges that share a child table are checked in one pass over it: left joins
+    to each parent's distinct keys (unique, so no row is multiplied), then one
+    aggregate counts the distinct keys that found no parent.
+    """
+    groups: dict[int, list] = {}
+    for e in edges:
+        groups.setdefault(id(e[1]), []).append(e)
     parts = []
-    for name, child, ck, parent, pk in edges:
-        orphans = child.select(F.col(ck).alias("_k")).distinct() \
-            .join(parent.select(F.col(pk).alias("_k")), "_k", "left_anti")
-        parts.append(orphans.agg(_n().alias("n_orphans")).select(F.lit(name).alias("edge"), "n_orphans"))
+    for grp in groups.values():
+        child = grp[0][1]
+        x = child
+        for i, (name, _, ck, parent, pk) in enumerate(grp):
+            keys = parent.select(F.col(pk).alias(f"_pk{i}")).distinct().withColumn(f"_has{i}", F.lit(1))
+            x = x.join(keys, F.col(ck) == F.col(f"_pk{i}"), "left")
+        # a null child key counts as one orphan (a set difference keeps it)
+        agg = x.agg(*[(F.count_distinct(F.when(F.col(f"_has{i}").isNull(), F.col(ck)))
+                       + F.max(F.when(F.col(ck).isNull(), 1).otherwise(0))).cast("long").alias(f"_n{i}")
+                      for i, (_, _, ck, _, _) in enumerate(grp)])
+        parts.append(agg.select(F.stack(F.lit(len(grp)), *[v for i, e in enumerate(grp)
+                                                             for v in (F.lit(e[0]), F.col(f"_n{i}"))])
+                                .alias("edge", "n_orphans")))
     out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
     return out
 
 

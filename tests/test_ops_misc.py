@@ -98,3 +98,12 @@ def test_windowed_sales_stream(spark, tmpdir_path):
     q.awaitTermination()
     got = {(r.sales_channel_id, r.n_transactions) for r in spark.sql("SELECT * FROM ws_test").collect()}
     assert (1, 2) in got and (2, 1) in got
+
+
+def test_fk_report_counts_distinct_orphans_and_null(spark):
+    child = spark.createDataFrame([(1, 10), (2, 10), (3, 99), (4, 99), (5, None), (6, 11)], "id long, k long")
+    parent = spark.createDataFrame([(10,), (11,), (11,)], "k long")
+    other = spark.createDataFrame([(1,)], "id long")
+    rep = {r.edge: r.n_orphans for r in etl.fk_report([("k_edge", child, "k", parent, "k"),
+                                                        ("id_edge", child, "id", other, "id")]).collect()}
+    assert rep == {"k_edge": 2, "id_edge": 5}
