@@ -6,6 +6,9 @@ bytes inside a longer character, so splitting bytes is splitting the text.
 
 from __future__ import annotations
 
+import sys
+import types
+
 import numpy as np
 import pyarrow as pa
 
@@ -19,21 +22,25 @@ IS_WORD = np.ones(256, bool)
 IS_WORD[[9, 10, 11, 12, 13, 32]] = False
 
 
+def worker_memory(name: str) -> dict:
+    """A dictionary that lasts as long as the Python worker, whichever task asks."""
+    module = sys.modules.setdefault("_llm_worker_memory", types.ModuleType("_llm_worker_memory"))
+    return module.__dict__.setdefault(name, {})
+
+
 def powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base & (2**64 - 1), np.uint64)
     out[:1] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
-_POW: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
 def base_powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64, at least n of each."""
-    if base not in _POW or len(_POW[base][0]) < n:
+    kept = worker_memory("powers")
+    if base not in kept or len(kept[base][0]) < n:
         n = max(n, 1 << 16)
-        _POW[base] = powers(base, n), powers(pow(base, -1, 2**64), n)
-    return _POW[base]
+        kept[base] = powers(base, n), powers(pow(base, -1, 2**64), n)
+    return kept[base]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
