@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopframe.llm import mixture, quality, secrets
+from shopframe.llm import minhash, mixture, packing, quality, secrets
 from shopframe.llm.common import Work, read
+from shopframe.llm.queries import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -37,6 +38,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return both.select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("cut").isNull(), F.col("n_chars")).otherwise(F.length(text)).cast("long").alias("n_chars"))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group stays; rows without an id, which no group can name, stay as well."""
+    kept = minhash.near_duplicates(docs, Work(spark, "stage2")).where("kept and doc_id is not null").select("doc_id").distinct()
+    named = docs.select(*COLUMNS).join(kept, "doc_id").dropDuplicates(["doc_id"])
+    return named.select(*COLUMNS).unionAll(docs.where("doc_id is null").select(*COLUMNS))
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span of a secret is masked."""
     spans = secrets.scan(docs, Work(spark, "stage3")).where(F.size("spans") > 0).dropDuplicates(["doc_id", "h1", "h2"])
@@ -53,10 +61,18 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return m.select(*COLUMNS, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy")).drop("_copy")
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their sequences and offsets."""
+    p = packing.pack(docs, Work(spark, "stage5"), tokenizer_path())
+    return p.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("near duplicates", near_dedup),
     ("secret scan", secret_scan),
     ("mix", mix_sources),
+    ("packing", pack_sequences),
 ]
 #: Packing and verified near-duplicate grouping are not expressible in SQL.
 ORACLE_SQL = None
