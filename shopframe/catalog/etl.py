@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shopframe.catalog.base import register
-from shopframe.functions.exprs import draw_sql, rnd, rnd_sql as R
+from shopframe.functions.exprs import draw_sql, padded_sql, rnd, rnd_sql as R
 from shopframe.operators import etl as e
 from shopframe.plans.oracle import with_views as W
 
@@ -118,8 +118,7 @@ SELECT product_id, {R('quantile_cont(price, 0.5)', 6)} AS median_price FROM src_
 register("etl_dim_product", W([], f"""
 SELECT p.product_id,
        COALESCE(tr.category_name_english, p.category_name, 'unknown') || ' #' ||
-         lpad(CAST(ROW_NUMBER() OVER (PARTITION BY COALESCE(tr.category_name_english, p.category_name, 'unknown')
-                                      ORDER BY p.product_id) AS VARCHAR), 4, '0') AS description,
+         {padded_sql("ROW_NUMBER() OVER (PARTITION BY COALESCE(tr.category_name_english, p.category_name, 'unknown') ORDER BY p.product_id)", 4)} AS description,
        CAST(COALESCE(CAST(p.length_cm AS INTEGER), 0) AS VARCHAR) || 'x' || CAST(COALESCE(CAST(p.height_cm AS INTEGER), 0)
          AS VARCHAR) || 'x' || CAST(COALESCE(CAST(p.width_cm AS INTEGER), 0) AS VARCHAR) || ' cm' AS size,
        COALESCE(CAST(p.weight_g AS INTEGER), 0) AS weight_g, COALESCE({R('m.mp', 2)}, 0.0) AS price
@@ -196,7 +195,7 @@ gen AS (SELECT sk.store_sk, ((1000003 * g.i + sk.off) % sk.P) + 1 AS product_sk
 stocked AS (SELECT g.store_sk, p.product_id FROM gen g JOIN prods p ON g.product_sk = p.product_sk),
 missing AS (SELECT (p.product_sk % (SELECT COUNT(*) FROM stores)) + 1 AS store_sk, p.product_id FROM prods p
             WHERE p.product_id NOT IN (SELECT product_id FROM stocked))
-SELECT store_sk, product_id, CAST(10 + FLOOR({draw_sql('store_sk * 1000003 + product_id', 33)} * 191) AS INTEGER)
+SELECT store_sk, product_id, CAST(10 + FLOOR({draw_sql("(store_sk || ':' || product_id)", 33)} * 191) AS INTEGER)
        AS stock_qty FROM (SELECT * FROM stocked UNION ALL SELECT * FROM missing) u""")
 register("etl_store_inventory", W([], "SELECT * FROM inv", S(SRC_ORDERS, SRC_ITEMS, TOP30, _Q, _ALLOC, _STORES, _PRODS, _INV)))(
     _inventory)

@@ -44,7 +44,9 @@ JOIN (SELECT user_id, CASE WHEN COUNT(DISTINCT order_id) >= 2 THEN 1 ELSE 0 END
 RV = ["order_items", "products"]
 
 register("pred_stratified_split", W(RV, f"""
-SELECT user_id, label, CASE WHEN {draw_sql('user_id', 42)} < 0.8 THEN 'train' ELSE 'test' END AS split FROM rep""",
+SELECT user_id, label, CASE WHEN rn <= n - FLOOR(0.2 * n + 0.5) THEN 'train' ELSE 'test' END AS split FROM (
+  SELECT user_id, label, COUNT(*) OVER (PARTITION BY label) AS n,
+         ROW_NUMBER() OVER (PARTITION BY label ORDER BY {draw_sql('user_id', 42)}, user_id) AS rn FROM rep) x""",
     [("rep", _REPEAT_SQL)]))(
     lambda t: p.stratified_split(_repeat(t), "label", "user_id").select("user_id", "label", "split"))
 

@@ -144,7 +144,7 @@ FROM (SELECT (SELECT COUNT(*) FROM b) AS n_rows,
              (SELECT list_sort(list(customer_id)) FROM (SELECT customer_id FROM mc ORDER BY 1 LIMIT 20) x) AS missing_customers,
              (SELECT list_sort(list(article_id)) FROM (SELECT article_id FROM ma ORDER BY 1 LIMIT 20) y) AS missing_articles) z""",
     [_B, _MC, _MA]))(
-    lambda t: ing.validate_transactions(_last_day_batch(t), V(t, "fashion_customers"), V(t, "articles"))
+    lambda t: ing.validate_transactions(_last_day_batch(t), V(t, "fashion_customers"), V(t, "articles"), ing.MAX_REQUEST_ROWS)
     .select("n_rows", "bad_article_ids", "bad_channels", "n_missing_customers", "n_missing_articles",
             F.array_join(F.col("missing_customers").cast("array<string>"), "|").alias("missing_customers"),
             F.array_join(F.col("missing_articles").cast("array<string>"), "|").alias("missing_articles"),
@@ -227,12 +227,12 @@ def _stream(t):
 # ---------------------------------------------------------------- S2: SQL text with bind parameters
 
 @register("source_sql_bind", """
-SELECT o_orderstatus, COUNT(*) AS n_orders, CAST(FLOOR(SUM(o_totalprice) * 100.0 + 0.5) / 100.0 AS DOUBLE) AS total
+SELECT o_orderstatus, COUNT(*) AS n_orders, CAST(ROUND(SUM(CAST(o_totalprice AS DECIMAL(28, 6))), 2) AS DOUBLE) AS total
 FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY o_orderstatus""")
 def _s2(t):
     from shopframe.sources.tables import sql_source
     name = f"orders_{uuid.uuid4().hex[:8]}"
     return sql_source(t.spark, f"""
-        SELECT o_orderstatus, COUNT(*) AS n_orders, CAST(FLOOR(SUM(o_totalprice) * 100.0 + 0.5) / 100.0 AS DOUBLE) AS total
+        SELECT o_orderstatus, COUNT(*) AS n_orders, CAST(ROUND(SUM(CAST(o_totalprice AS DECIMAL(28, 6))), 2) AS DOUBLE) AS total
         FROM {name} WHERE o_orderdate >= CAST(:since AS TIMESTAMP_NTZ) GROUP BY o_orderstatus""",
                       {"since": "1998-01-01 00:00:00"}, {name: t["orders"]})

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shopframe.catalog.base import register
 from shopframe.operators import olap, quality as q
-from shopframe.functions.exprs import rnd, rnd_sql
+from shopframe.functions.exprs import exact_sum, rnd, rnd_sql
 from shopframe.plans.oracle import with_views as W
 
 
@@ -185,7 +185,7 @@ def _checks(t):
     for d, k in ((c, "customer_id"), (p, "product_id"), (loc, "store_id")):
         fx = fx.join(d.select(k, F.lit(1).alias(f"_has_{k}")), k, "left")
     fo_row = fx.agg(cnt.alias("fo_n"), F.count_distinct("order_id").alias("fo_orders"),
-                    rnd(F.sum("amount"), 2).alias("fo_amount"), F.count_if(neg).alias("fo_negative"),
+                    rnd(exact_sum("amount"), 2).alias("fo_amount"), F.count_if(neg).alias("fo_negative"),
                     F.count_if(key_null).alias("fo_nulls"),
                     *[F.count_if(F.col(f"_has_{k}").isNull()).alias(f"orph_{k}")
                       for k in ("customer_id", "product_id", "store_id")])
@@ -194,10 +194,10 @@ def _checks(t):
         .crossJoin(c.agg(cnt.alias("c_n"), F.count("guide").alias("c_guide"), F.count("postal_address").alias("c_addr"),
                          F.count_distinct("customer_id").alias("c_keys"))) \
         .crossJoin(p.agg(cnt.alias("p_n"), F.count_distinct("product_id").alias("p_keys"))) \
-        .crossJoin(fi.join(F.broadcast(phys), "store_id", "left_semi").agg(F.sum("stock_qty").alias("fi_phys"))) \
+        .crossJoin(fi.join(phys, "store_id", "left_semi").agg(F.sum("stock_qty").alias("fi_phys"))) \
         .withColumn("zero", F.lit(0.0))
     li_row = src_l.agg(cnt.alias("l_n"),
-                       rnd(F.sum(F.col("l_quantity") * (F.col("l_extendedprice") / F.col("l_quantity"))), 2)
+                       rnd(exact_sum(F.col("l_quantity") * (F.col("l_extendedprice") / F.col("l_quantity"))), 2)
                        .alias("l_amount"),
                        F.sum(F.when(F.col("l_suppkey") % 2 == 0, F.col("l_quantity"))).alias("l_phys"))
     src = src_c.agg(cnt.alias("sc_n")).crossJoin(src_p.agg(cnt.alias("sp_n"))).crossJoin(li_row) \
@@ -245,9 +245,9 @@ UNION ALL SELECT 'physical_stock_qty',
        (SELECT CAST(SUM(stock_qty) AS DOUBLE) FROM fact_inventory WHERE store_id IN
           (SELECT store_id FROM dim_location WHERE store_type = 'physical')),
        (SELECT CAST(SUM(l_quantity) AS DOUBLE) FROM lineitem WHERE l_suppkey % 2 = 0), 'stock of physical stores'
-UNION ALL SELECT 'order_amount', (SELECT CAST(FLOOR(FLOOR(SUM(amount) * 100000.0 + 0.5) / 1000.0 + 0.5) / 100.0 AS DOUBLE)
-       FROM fact_order), (SELECT CAST(FLOOR(FLOOR(SUM(l_quantity * (l_extendedprice / l_quantity)) * 100000.0 + 0.5)
-       / 1000.0 + 0.5) / 100.0 AS DOUBLE) FROM lineitem), 'rounded revenue'
+UNION ALL SELECT 'order_amount', (SELECT CAST(ROUND(SUM(CAST(amount AS DECIMAL(28, 6))), 2) AS DOUBLE)
+       FROM fact_order), (SELECT CAST(ROUND(SUM(CAST(l_quantity * (l_extendedprice / l_quantity) AS DECIMAL(28, 6))), 2) AS DOUBLE)
+       FROM lineitem), 'rounded revenue'
 UNION ALL SELECT 'orphan_order_customer', (SELECT CAST(COUNT(*) AS DOUBLE) FROM fact_order f
        WHERE NOT EXISTS (SELECT 1 FROM dim_customer d WHERE d.customer_id = f.customer_id)), 0.0, 'expect 0'
 UNION ALL SELECT 'orphan_order_product', (SELECT CAST(COUNT(*) AS DOUBLE) FROM fact_order f

@@ -13,22 +13,41 @@ from pyspark.sql import functions as F
 
 
 def rnd(c, d: int = 2) -> Column:
-    """Round half up to ``d`` digits with plain IEEE arithmetic, in two steps.
+    """Round half away from zero to ``d`` digits, once.
 
-    ``floor(x * 10^k + 0.5)`` gives the same bits in every engine, unlike
-    ``round`` whose half-way handling differs between engines. Rounding first
-    to ``d + 3`` digits absorbs last-bit noise from summation order, so a
-    value that is exactly half-way (an average of cents, say) rounds the
-    same way whichever engine or partitioning produced it.
+    A value just under a half-way point (5e-10, less for nine digits) counts as
+    half-way, so that the last-bit noise of summation orders does not decide the digit. Above 2**52
+    units of the last digit a double has no further digits to round; it is
+    returned as it is, so sums of any size keep their value.
     """
     c = F.col(c) if isinstance(c, str) else c
-    g = F.floor(c * F.lit(float(10 ** (d + 3))) + F.lit(0.5))
-    return (F.floor(g / F.lit(1000.0) + F.lit(0.5)) / F.lit(float(10 ** d))).cast("double")
+    c = c.cast("double")
+    units = F.abs(c) * F.lit(float(10 ** d))
+    near = 5e-10 * 10 ** d if d < 9 else 1e-6
+    whole = F.floor(units + F.lit(0.5 + near)) / F.lit(float(10 ** d))
+    return F.when(units < F.lit(float(2 ** 52)), F.signum(c) * whole + F.lit(0.0)).otherwise(c)
 
 
 def rnd_sql(expr: str, d: int = 2) -> str:
-    g = f"FLOOR(({expr}) * {float(10 ** (d + 3))} + 0.5)"
-    return f"CAST(FLOOR({g} / 1000.0 + 0.5) / {float(10 ** d)} AS DOUBLE)"
+    """The same value by the other engine's own decimal rounding."""
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38, 9)), {d}) AS DOUBLE)"
+
+
+def exact_sum(c) -> Column:
+    """Sum of amounts in decimals of 12 digits after the point: the same whatever the order of the rows."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.sum(c.cast("decimal(30,12)")).cast("double")
+
+
+def padded(c: Column, n: int) -> Column:
+    """A number with leading zeros up to ``n`` digits; longer numbers keep all their digits."""
+    t = c.cast("string")
+    return F.when(F.length(t) < n, F.lpad(t, n, "0")).otherwise(t)
+
+
+def padded_sql(expr: str, n: int) -> str:
+    t = f"CAST({expr} AS VARCHAR)"
+    return f"(repeat('0', GREATEST({n} - length({t}), 0)) || {t})"
 
 
 def share(count_col="n", by: Sequence[str] = (), d: int = 2) -> Column:
@@ -80,26 +99,20 @@ def bucket_sql(expr: str, edges: Sequence[float], labels: Sequence[str], right_o
     return "CASE " + " ".join(parts) + tail + " END"
 
 
-# Deterministic pseudo-random draw in [0, 1) from an integer key and a salt:
-# two multiplicative steps modulo the prime 2^31-1. Operands stay below 2^31,
-# so every product is below 2^62 and never overflows a 64-bit integer.
-_M = 2147483647
-_A1 = 1583458089
-_A2 = 784588716
+# A draw hashes the key's text together with the salt: the whole key counts,
+# and draws with different salts are independent of each other.
+_DRAWS = float(16 ** 12)
 
 
 def draw(key, salt: int = 0) -> Column:
+    """Deterministic draw in [0, 1) from a key and a salt."""
     k = F.col(key) if isinstance(key, str) else key
-    x = F.pmod(k.cast("long") + F.lit(salt * 7919), F.lit(_M))
-    y = F.pmod(x * F.lit(_A1) + F.lit(salt), F.lit(_M))
-    z = F.pmod(y * F.lit(_A2), F.lit(_M))
-    return z / F.lit(float(_M))
+    text = F.concat(k.cast("string"), F.lit(f":{salt}"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("long") / F.lit(_DRAWS)
 
 
 def draw_sql(key: str, salt: int = 0) -> str:
-    x = f"((CAST({key} AS BIGINT) + {salt * 7919}) % {_M})"
-    y = f"(({x} * {_A1} + {salt}) % {_M})"
-    return f"((({y} * {_A2}) % {_M}) / {float(_M)})"
+    return f"(CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{salt}'), 1, 12) AS BIGINT) / {_DRAWS})"
 
 
 def try_div(a: Column, b: Column) -> Column:

@@ -5,6 +5,10 @@ and ``Window.partitionBy(g)`` moves a whole group into one task. Here rows are
 range-partitioned on (group, order key), each partition's total per group is
 computed, the small table of offsets (partitions x groups) is joined back, and
 the running total inside a partition is a window over that partition only.
+
+The range partition of each row is stored before it is used: two range
+exchanges would sample their bounds separately, and the totals and the rows
+would then mean different ranges.
 """
 
 from __future__ import annotations
@@ -14,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopframe.session import materialize
+
 
 def _parts(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -27,19 +33,24 @@ def running_total(df: DataFrame, order: Sequence[str | Column], value: str | Col
     partitions; each partition's total per group is computed and the
     earlier partitions' totals of the same group become that partition's
     offset (a table of at most partitions x groups-per-partition rows).
-    Ties: the order columns must make rows unique.
+    The partitioned rows are stored (reliable checkpoint), so the frame is
+    computed once. Ties: the order columns must make rows unique. A null group
+    is a group of its own.
     """
     v = F.col(value) if isinstance(value, str) else value
     keys = list(by)
-    r = df.repartitionByRange(_parts(df, num_partitions), *keys, *order) \
-        .withColumn("_pid", F.spark_partition_id()).withColumn("_v", v)
+    r = materialize(df.repartitionByRange(_parts(df, num_partitions), *keys, *order)
+                    .withColumn("_pid", F.spark_partition_id()).withColumn("_v", v))
     tot = r.groupBy("_pid", *keys).agg(F.sum("_v").alias("_t"))
     wo = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_pid") \
         .rowsBetween(Window.unboundedPreceding, -1)
     off = tot.withColumn("_off", F.coalesce(F.sum("_t").over(wo), F.lit(0)))
     w = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    j = r.join(off.select("_pid", *keys, "_off"), ["_pid", *keys])
-    return j.withColumn(out, F.sum("_v").over(w) + F.col("_off")).drop("_pid", "_v", "_off")
+    names = {c: f"_of_{c}" for c in ("_pid", *keys)}
+    off = off.select(*[F.col(c).alias(a) for c, a in names.items()], "_off")
+    same = [F.col(c).eqNullSafe(F.col(a)) for c, a in names.items()]
+    j = r.join(off, same)
+    return j.withColumn(out, F.sum("_v").over(w) + F.col("_off")).drop("_pid", "_v", "_off", *names.values())
 
 
 def row_numbers(df: DataFrame, order: Sequence[str | Column], out: str = "row_id",

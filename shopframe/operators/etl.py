@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopframe.functions.baskets import first_by
-from shopframe.functions.exprs import draw, rnd
+from shopframe.functions.exprs import draw, rnd, padded
 from shopframe.functions.prefix import row_numbers
 
 
@@ -151,7 +151,7 @@ def median_price(items: DataFrame) -> DataFrame:
 def dim_product_etl(products: DataFrame, translation: DataFrame, items: DataFrame) -> DataFrame:
     """English category (fallback: source name, then 'unknown'), ``cat #0001`` names,
     ``LxHxW cm`` size (null -> 0), integer weight, median price rounded to 2 (null -> 0)."""
-    j = products.join(F.broadcast(translation), "category_name", "left") \
+    j = products.join(translation, "category_name", "left") \
         .join(median_price(items), "product_id", "left")
     cat = F.coalesce("category_name_english", "category_name", F.lit("unknown"))
     # number within category, distributed: a category holding most products still spans many tasks
@@ -159,7 +159,7 @@ def dim_product_etl(products: DataFrame, translation: DataFrame, items: DataFram
     size = F.concat_ws("x", *[F.coalesce(F.col(c).cast("int"), F.lit(0)).cast("string")
                               for c in ("length_cm", "height_cm", "width_cm")])
     return j.select("product_id", F.concat(F.col("category"), F.lit(" #"),
-                                           F.lpad(F.col("_no").cast("string"), 4, "0")).alias("description"),
+                                           padded(F.col("_no"), 4)).alias("description"),
                     F.concat(size, F.lit(" cm")).alias("size"),
                     F.coalesce(F.col("weight_g").cast("int"), F.lit(0)).alias("weight_g"),
                     F.coalesce(rnd("median_price", 2), F.lit(0.0)).alias("price"))
@@ -214,7 +214,7 @@ def store_inventory(stores: DataFrame, products: DataFrame, lo: int = 400, hi: i
     missing = products.join(stocked.select("product_id"), "product_id", "left_anti").crossJoin(n_stores) \
         .select((F.pmod(F.col("product_sk"), F.col("_S")) + 1).alias("store_sk"), "product_id")
     allrows = stocked.unionByName(missing)
-    qty = (F.lit(qlo) + F.floor(draw(F.col("store_sk") * 1000003 + F.col("product_id"), 33) * (qhi - qlo + 1)))
+    qty = (F.lit(qlo) + F.floor(draw(F.concat_ws(":", "store_sk", "product_id"), 33) * (qhi - qlo + 1)))
     return allrows.withColumn("stock_qty", qty.cast("int"))
 
 

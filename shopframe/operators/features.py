@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopframe.functions.baskets import first_by, item_sets
-from shopframe.functions.exprs import days_between, draw, rnd
+from shopframe.functions.exprs import days_between, draw, exact_sum, rnd
 
 STYLE_GROUPS = {"pct_ladieswear": "Ladieswear", "pct_divided": "Divided", "pct_menswear": "Menswear",
                 "pct_baby": "Baby/Children", "pct_sport": "Sport"}
@@ -65,7 +65,7 @@ def customer_features(tx: DataFrame, articles: DataFrame, customers: DataFrame,
     j = t.join(articles.select("article_id", "index_group_name"), "article_id")
     keys = ["customer_id", "_cutoff"] if isinstance(cutoff, DataFrame) else ["customer_id"]
     agg = j.groupBy(*keys).agg(
-        _n().alias("total_items"), F.avg("price").alias("avg_price"), F.sum("price").alias("monetary"),
+        _n().alias("total_items"), F.avg("price").alias("avg_price"), exact_sum("price").alias("monetary"),
         F.count_distinct("t_dat").alias("frequency"), F.max("t_dat").alias("last_purchase"),
         _share(F.col("sales_channel_id") == 2).alias("pct_online"), *_style_aggs())
     out = agg.join(customers.select("customer_id", "age"), "customer_id", "left")
@@ -154,7 +154,7 @@ def purchase_features_nb(tx, articles, upper: str = "2021-01-01", window: int =
         .join(articles.select("article_id", "index_group_name"), "article_id")
     groups = {k: v for k, v in STYLE_GROUPS.items() if k != "pct_sport"}
     feats = j.groupBy("customer_id", "cutoff").agg(
-        F.max("t_dat").alias("_last"), _n().alias("frequency"), F.sum("price").alias("monetary"),
+        F.max("t_dat").alias("_last"), _n().alias("frequency"), exact_sum("price").alias("monetary"),
         F.avg("price").alias("avg_price"), *_style_aggs(groups),
         _share(F.col("sales_channel_id") == 2).alias("pct_online"))
     feats = feats.withColumn("recency_days", F.datediff("cutoff", "_last")).drop("_last", "cutoff")
@@ -172,7 +172,7 @@ def _nc(oi):
 def rfm(oi: DataFrame, ref_date) -> DataFrame:
     """recency (days), frequency (distinct orders), monetary, order value; cancelled excluded."""
     g = _nc(oi).groupBy("user_id").agg(
-        F.count_distinct("order_id").alias("frequency"), F.sum("sale_price").alias("monetary"),
+        F.count_distinct("order_id").alias("frequency"), exact_sum("sale_price").alias("monetary"),
         F.max("created_at").alias("last_purchase_date"))
     return g.withColumn("avg_order_value", F.col("monetary") / F.col("frequency")) \
         .withColumn("recency", F.datediff(_date(ref_date), F.to_date("last_purchase_date")).cast("long"))
@@ -204,7 +204,7 @@ def rfm_behaviour_9(oi: DataFrame, ev: DataFrame, ref_ts) -> DataFrame:
     """RFM joined to behaviour; recency = whole days to ``ref_ts``; conversion clipped at 1."""
     r = _nc(oi).groupBy("user_id").agg(
         F.max("created_at").alias("last_purchase_date"), F.count_distinct("order_id").alias("frequency"),
-        F.sum("sale_price").alias("monetary"))
+        exact_sum("sale_price").alias("monetary"))
     b = user_behaviour(session_stats(ev))
     j = r.join(b, "user_id")
     ref = F.lit(ref_ts).cast("timestamp_ntz")
@@ -219,7 +219,7 @@ def rfm_behaviour_9_fixed(oi: DataFrame, ev: DataFrame, ref_date="2024-01-01") -
     """recency to a fixed date, abandon = share of sessions with a cart, conversion unclipped."""
     r = _nc(oi).groupBy("user_id").agg(
         F.max("created_at").alias("last_purchase_date"), F.count_distinct("order_id").alias("frequency"),
-        F.sum("sale_price").alias("monetary"))
+        exact_sum("sale_price").alias("monetary"))
     s = session_stats(ev)
     b = s.groupBy("user_id").agg(
         F.count_distinct("session_id").alias("total_sessions"), F.avg("session_depth").alias("avg_session_depth"),
@@ -239,7 +239,7 @@ def customer_360(u: DataFrame, o: DataFrame, oi: DataFrame, p: DataFrame) -> Dat
         .join(oi.select("order_id", "product_id", "sale_price", "status"), "order_id") \
         .join(p.select(F.col("id").alias("product_id"), "category"), "product_id")
     g = j.groupBy("user_id", "age").agg(
-        F.count_distinct("order_id").alias("total_orders"), F.sum("sale_price").alias("total_spend"),
+        F.count_distinct("order_id").alias("total_orders"), exact_sum("sale_price").alias("total_spend"),
         F.count_distinct("category").alias("unique_categories"),
         (F.sum(F.when(F.col("status") == "Returned", 1).otherwise(0)) * 1.0 / _n()).alias("return_rate"))
     return g.filter(F.col("total_orders") > 0)
@@ -265,7 +265,7 @@ def first_order_features(oi: DataFrame, p: DataFrame, by_item: bool = False) ->
     j = fo.join(oi.select("user_id", "order_id", "product_id", "sale_price"), ["user_id", "order_id"]) \
         .join(pp, "product_id")
     return j.groupBy("user_id").agg(
-        F.sum("sale_price").alias("first_order_value"), _n().alias("first_order_num_items"),
+        exact_sum("sale_price").alias("first_order_value"), _n().alias("first_order_num_items"),
         F.count_distinct("category").alias("first_order_num_categories"))
 
 
@@ -353,7 +353,7 @@ def vip_by_percentile(oi: DataFrame, p: float = 0.75, exact: bool = True, accura
     ``exact=False`` uses ``percentile_approx`` (a bounded sketch) for very
     many users.
     """
-    spend = _nc(oi).groupBy("user_id").agg(F.sum("sale_price").alias("total_spend"))
+    spend = _nc(oi).groupBy("user_id").agg(exact_sum("sale_price").alias("total_spend"))
     q = F.percentile("total_spend", p) if exact else F.percentile_approx("total_spend", p, accuracy)
     th = spend.agg(q.cast("double").alias("_th"))
     return spend.crossJoin(th).filter(F.col("total_spend") > F.col("_th")).select("user_id", "total_spend")

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BATCH = 10_000
+#: limit of the request form of ingest; streams and files have none
+MAX_REQUEST_ROWS = 10_000
 REPORT_IDS = 20
 
 
@@ -27,8 +28,8 @@ def _smallest(df: DataFrame, col: str, n: int) -> DataFrame:
 
 
 def validate_transactions(batch: DataFrame, customers: DataFrame, articles: DataFrame,
-                          max_rows: int = MAX_BATCH) -> DataFrame:
-    """One-row report: size limit, article ids castable to int, channel in {1, 2},
+                          max_rows: int | None = None) -> DataFrame:
+    """One-row report: size limit (if any), article ids castable to int, channel in {1, 2},
     unknown customers and articles (the first 20 of each, sorted), and ``ok``."""
     b = batch.withColumn("_aid", F.col("article_id").cast("string").try_cast("long"))
     head = b.agg(F.count(F.lit(1)).alias("n_rows"),
@@ -42,13 +43,13 @@ def validate_transactions(batch: DataFrame, customers: DataFrame, articles: Data
         .crossJoin(ma.agg(F.count(F.lit(1)).alias("n_missing_articles"))) \
         .crossJoin(_smallest(mc, "customer_id", REPORT_IDS).withColumnRenamed("customer_id", "missing_customers")) \
         .crossJoin(_smallest(ma, "article_id", REPORT_IDS).withColumnRenamed("article_id", "missing_articles"))
-    return rep.withColumn("too_many", F.col("n_rows") > max_rows).withColumn(
+    return rep.withColumn("too_many", F.col("n_rows") > max_rows if max_rows else F.lit(False)).withColumn(
         "ok", (F.col("n_rows") > 0) & ~F.col("too_many") & (F.col("bad_article_ids") == 0)
         & (F.col("bad_channels") == 0) & (F.col("n_missing_customers") == 0) & (F.col("n_missing_articles") == 0))
 
 
 def append_transactions(batch: DataFrame, customers: DataFrame, articles: DataFrame, path: str,
-                        quarantine: str | None = None, batch_id: str | None = None) -> dict:
+                        quarantine: str | None = None, batch_id: str | None = None, max_rows: int | None = None) -> dict:
     """Add the whole batch when valid, nothing otherwise (optionally to a quarantine folder).
 
     The batch lands in its own ``ingest_batch=<id>`` folder (overwritten on a
@@ -56,7 +57,7 @@ def append_transactions(batch: DataFrame, customers: DataFrame, articles: DataFr
     """
     import uuid
     bid = batch_id or uuid.uuid4().hex
-    rep = validate_transactions(batch, customers, articles).first().asDict()
+    rep = validate_transactions(batch, customers, articles, max_rows).first().asDict()
     clean = batch.withColumn("article_id", F.col("article_id").cast("string").try_cast("long"))
     if rep["ok"]:
         clean.write.mode("overwrite").parquet(f"{path}/ingest_batch={bid}")

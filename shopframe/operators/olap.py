@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopframe.functions.exprs import rnd
+from shopframe.functions.exprs import exact_sum, rnd
 
 
 def default_param(df: DataFrame, col: str, value=None, pred: Column | None = None) -> DataFrame:
@@ -43,8 +43,8 @@ def summarise(df: DataFrame, group: str, sum_col: str | None = None, digits: int
     aggs = [F.count(F.lit(1)).alias("row_count")]
     if sum_col:
         # non-numbers are skipped, an all-null group sums to 0
-        total = F.coalesce(F.sum(F.col(sum_col).cast("string").try_cast("double")), F.lit(0.0))
-        aggs.append((rnd(total, digits) if digits is not None else total).alias("sum_value"))
+        value = F.coalesce(F.sum(F.col(sum_col).cast("string").try_cast("double")), F.lit(0.0))
+        aggs.append((rnd(value, digits) if digits is not None else value).alias("sum_value"))
     return df.groupBy(g).agg(*aggs).orderBy(F.desc("row_count"), "group")
 
 
@@ -65,7 +65,7 @@ def order_totals(fo: DataFrame, cust: DataFrame, time: DataFrame, order: bool =
     j = fo.join(cust.select("customer_id", "customer_name"), "customer_id") \
         .join(time.select("time_id", "day", "month", "year", "weekday"), "time_id")
     out = j.groupBy("order_id", "customer_name", "day", "month", "year", "weekday", "channel") \
-        .agg(rnd(F.sum("amount"), digits).alias("order_total"))
+        .agg(rnd(exact_sum("amount"), digits).alias("order_total"))
     out = out.select("order_id", "customer_name",
                      F.concat_ws("/", F.col("day").cast("string"), F.col("month").cast("string"),
                                  F.col("year").cast("string")).alias("order_date"),

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopframe.functions.exprs import draw
-from shopframe.functions.prefix import running_total
+from shopframe.functions.prefix import row_numbers, running_total
 
 
 def _n() -> Column:
@@ -26,14 +26,20 @@ def _n() -> Column:
 
 def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.2, seed: int = 42,
                      stratify: bool = True) -> DataFrame:
-    """Adds ``split`` ('train'/'test') from a keyed draw.
+    """Adds ``split`` ('train'/'test'): of every label the same share, to the row, is for training.
 
-    Each row's draw is independent of the others, so every label keeps the
-    same expected train share without a per-label window (which would put a
-    whole class into one task). ``stratify=False`` ignores the label in the draw.
+    Rows are ordered by a keyed draw and numbered within their label
+    (distributed, a label may hold most rows); the first
+    ``n_label - round(test_frac * n_label)`` train. ``stratify=False`` splits
+    the whole frame that way.
     """
-    u = draw(key, seed if stratify else seed + 1)
-    return df.withColumn("split", F.when(u < 1.0 - test_frac, "train").otherwise("test"))
+    by = [label] if stratify else []
+    r = row_numbers(df.withColumn("_u", draw(key, seed)), ["_u", key], "_rn", by=by)
+    n = r.groupBy(*[F.col(c).alias("_l") for c in by]).agg(_n().alias("_n"))
+    r = r.join(n, F.col(label).eqNullSafe(F.col("_l"))) if stratify else r.crossJoin(n)  # one row per label, or one row
+    n_test = F.floor(F.lit(test_frac) * F.col("_n") + 0.5)
+    return r.withColumn("split", F.when(F.col("_rn") <= F.col("_n") - n_test, "train").otherwise("test")) \
+        .drop("_u", "_rn", "_n", "_l")
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:

@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopframe.functions.exprs import rnd
-from shopframe.functions.prefix import row_numbers
+from shopframe.functions.exprs import exact_sum, rnd
 from shopframe.sources.sinks import read_current, replace_table
 
 LAYERS = ("L1_KMEANS", "L2_APRIORI", "L3_RANDOMFOREST")
@@ -148,11 +147,9 @@ def customers_in_cluster(clusters: DataFrame, customers: DataFrame, tx: DataFram
     """One page of a cluster's customers by id, with their stats; aggregates only for that page."""
     members = clusters.filter(F.col("cluster_id") == cluster_id)
     total = members.agg(F.count(F.lit(1)).alias("total"))
-    numbered = row_numbers(members, ["customer_id"], "_rn")
-    lo, hi = (page - 1) * size + 1, page * size
-    picked = numbered.filter((F.col("_rn") >= lo) & (F.col("_rn") <= hi))
+    picked = members.orderBy("customer_id").offset((page - 1) * size).limit(size)
     stats = tx.join(picked.select("customer_id"), "customer_id", "left_semi").groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("n_transactions"), F.sum("price").alias("_spent"), F.max("t_dat").alias("last_purchase"))
+        F.count(F.lit(1)).alias("n_transactions"), exact_sum("price").alias("_spent"), F.max("t_dat").alias("last_purchase"))
     out = picked.join(customers.select("customer_id", "age", "club_member_status"), "customer_id", "left") \
         .join(stats, "customer_id", "left")
     return out.select("customer_id", "cluster_id", "cluster_label", "age", "club_member_status",
@@ -166,7 +163,7 @@ def customer_profiles(customers: DataFrame, tx: DataFrame, articles: DataFrame,
     """R10 (batch): demographics, purchase stats, top product groups and cluster for every customer."""
     stats = tx.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("n_transactions"), F.count_distinct("t_dat").alias("n_days_active"),
-        F.sum("price").alias("total_spent"), F.avg("price").alias("avg_price"), F.min("t_dat").alias("first_purchase"),
+        exact_sum("price").alias("total_spent"), F.avg("price").alias("avg_price"), F.min("t_dat").alias("first_purchase"),
         F.max("t_dat").alias("last_purchase"),
         F.avg(F.when(F.col("sales_channel_id") == 2, 1.0).otherwise(0.0)).alias("pct_online"))
     g = tx.join(articles.select("article_id", "product_group_name"), "article_id") \

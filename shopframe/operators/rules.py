@@ -14,6 +14,7 @@ and consequent (multi-item consequents), unlike ``FPGrowthModel.associationRules
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,7 +29,12 @@ RULE_COLS = ["antecedent", "consequent", "antecedent_support", "consequent_suppo
 
 
 def _join_by(a: DataFrame, b: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
-    return a.join(b, list(by), how) if by else (a.crossJoin(b) if how == "inner" else a.join(b, how=how))
+    """Joins on the segment columns; a null segment is a segment of its own."""
+    if not by:
+        return a.crossJoin(b) if how == "inner" else a.join(b, how=how)
+    names = {c: f"_by_{c}" for c in by}
+    other = b.select(*[F.col(c).alias(names.get(c, c)) for c in b.columns])
+    return a.join(other, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()], how).drop(*names.values())
 
 
 def basket_counts(sets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -99,31 +105,42 @@ def _fpgrowth_itemsets(sets, min_support, max_len, by, items):
     from pyspark.ml.fpm import FPGrowth
     n = basket_counts(sets, by)
     if not by:
-        model = FPGrowth(itemsCol="items", minSupport=float(min_support), minConfidence=1.0) \
+        rows = n.first()["n_baskets"]
+        model = FPGrowth(itemsCol="items", minSupport=_threshold(min_support, rows, rows), minConfidence=1.0) \
             .fit(sets.select(F.col(items).alias("items")))
         fi = model.freqItemsets.withColumn("items", F.sort_array("items"))
         return _finish_fp(fi, n, by, min_support, max_len)
     n = n.withColumn("_class", F.floor(F.log2(F.col("n_baskets"))).cast("int"))
     classes = [r["_class"] for r in n.select("_class").distinct().collect()]  # <= ~40 values
-    key = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in by])
+    key = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0003")) for c in by])
     out = None
     for cls in sorted(classes):
         seg = n.filter(F.col("_class") == cls)
         stats = seg.agg(F.sum("n_baskets").alias("tot"), F.min("n_baskets").alias("lo")).first()
-        part = sets.join(F.broadcast(seg.select(*by)), list(by), "left_semi")  # segments of one class
+        ids = F.broadcast(seg.select(*[F.col(c).alias(f"_s_{c}") for c in by]))  # segments of one class
+        part = sets.join(ids, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in by], "left_semi")
         tagged = part.select(F.transform(items, lambda x: F.concat(key, F.lit("\u0002"), x)).alias("items"))
-        thr = max(min_support * stats["lo"] / stats["tot"], 1.0 / stats["tot"])
-        fi = FPGrowth(itemsCol="items", minSupport=float(thr), minConfidence=1.0).fit(tagged).freqItemsets
+        thr = _threshold(min_support, stats["lo"], stats["tot"])
+        fi = FPGrowth(itemsCol="items", minSupport=thr, minConfidence=1.0).fit(tagged).freqItemsets
         fi = fi.withColumn("_key", F.substring_index(F.element_at("items", 1), "\u0002", 1)) \
             .withColumn("items", F.sort_array(F.transform("items", lambda x: F.substring_index(x, "\u0002", -1))))
         parts = F.split("_key", "\u0001")
         for i, c in enumerate(by):
-            fi = fi.withColumn(c, F.element_at(parts, i + 1).cast(sets.schema[c].dataType))
+            fi = fi.withColumn(c, F.nullif(F.element_at(parts, i + 1), F.lit("\u0003")).cast(sets.schema[c].dataType))
         fi = fi.drop("_key")
         out = fi if out is None else out.unionByName(fi)
     return _finish_fp(out, n.drop("_class"), by, min_support, max_len)
 
 
+def _threshold(min_support: float, smallest: int, rows: int) -> float:
+    """Support over all ``rows`` that keeps every itemset of at least ``min_support`` in the smallest segment.
+
+    The learner multiplies the support back and rounds up; half a basket less
+    than the least count keeps floating point from ending one basket too high.
+    """
+    return max(math.ceil(min_support * smallest - 1e-9) - 0.5, 0.5) / rows
+
+
 def _finish_fp(fi, n, by, min_support, max_len):
     if max_len:
         fi = fi.filter(F.size("items") <= max_len)

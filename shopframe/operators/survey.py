@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopframe.functions.baskets import first_by, item_sets, pair_counts, patterns
-from shopframe.functions.exprs import bucket, days_between, rate, rnd, share
+from shopframe.functions.exprs import bucket, days_between, exact_sum, rate, rnd, share
 
 # ---------------------------------------------------------------- fixed values
 # Report labels that must read exactly as in the reports, in band order.
@@ -116,7 +116,7 @@ def session_length_vs_purchase(ev):
 def user_order_totals(oi):
     """Per user: non-cancelled distinct orders and spend."""
     return not_cancelled(oi).groupBy("user_id").agg(
-        F.count_distinct("order_id").alias("total_orders"), F.sum("sale_price").alias("total_monetary"))
+        F.count_distinct("order_id").alias("total_orders"), exact_sum("sale_price").alias("total_monetary"))
 
 
 def first_orders_by_min_time(oi):
@@ -170,7 +170,7 @@ def same_vs_cross_department_pairs(oi, p):
 def order_count_profile(oi, p):
     j = _items(not_cancelled(oi), p)
     u = j.groupBy("user_id").agg(
-        F.count_distinct("order_id").alias("total_orders"), F.sum("sale_price").alias("monetary"),
+        F.count_distinct("order_id").alias("total_orders"), exact_sum("sale_price").alias("monetary"),
         F.avg("sale_price").alias("aov"), F.count_distinct("category").alias("num_categories"))
     t = F.col("total_orders")
     og = ORDER_GROUP_LABELS
@@ -189,7 +189,7 @@ def departments_per_order(oi, p):
 
 def gender_purchasing(u, oi):
     us = not_cancelled(oi).groupBy("user_id").agg(
-        F.count_distinct("order_id").alias("total_orders"), F.sum("sale_price").alias("monetary"),
+        F.count_distinct("order_id").alias("total_orders"), exact_sum("sale_price").alias("monetary"),
         F.avg("sale_price").alias("avg_price"))
     j = u.select(F.col("id").alias("user_id"), "gender").join(us, "user_id") \
         .join(oi.select("user_id"), "user_id")  # one row per item: the report's weighting
@@ -690,7 +690,7 @@ def articles_per_index_group(a: DataFrame) -> DataFrame:
 def monthly_sales(t: DataFrame) -> DataFrame:
     return t.groupBy(F.date_format("t_dat", "yyyy-MM").alias("month")).agg(
         _n().alias("n_transactions"), F.count_distinct("customer_id").alias("n_customers"),
-        rnd(F.sum("price"), 2).alias("total_revenue"))
+        rnd(exact_sum("price"), 2).alias("total_revenue"))
 
 
 def purchase_frequency_bands(t: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopframe.functions.exprs import draw, draw_sql, rnd, rnd_sql
+from shopframe.functions.exprs import draw, draw_sql, padded, padded_sql, rnd, rnd_sql
 
 PHYSICAL, ONLINE = "physical", "online"
 TOURIST, POSTAL, BOTH = "tourist", "postal", "both"
@@ -37,7 +37,7 @@ def dim_location(t) -> DataFrame:
         F.when(F.col("s_suppkey") % 2 == 0, PHYSICAL).otherwise(ONLINE).alias("store_type"),
         "city_id", "city_name", "state",
         F.concat(F.lit("Office "), F.col("city_name")).alias("office_address"),
-        F.concat(F.lit("+84-"), F.lpad(F.col("s_suppkey").cast("string"), 7, "0")).alias("phone"))
+        F.concat(F.lit("+84-"), padded(F.col("s_suppkey"), 7)).alias("phone"))
 
 
 def dim_product(t) -> DataFrame:
@@ -139,7 +139,7 @@ FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
 SELECT s.s_suppkey AS store_id, s.s_name AS store_name,
        CASE WHEN s.s_suppkey % 2 = 0 THEN '{PHYSICAL}' ELSE '{ONLINE}' END AS store_type,
        g.city_id, g.city_name, g.state, 'Office ' || g.city_name AS office_address,
-       '+84-' || lpad(CAST(s.s_suppkey AS VARCHAR), 7, '0') AS phone
+       '+84-' || {padded_sql('s.s_suppkey', 7)} AS phone
 FROM supplier s LEFT JOIN geo g ON s.s_nationkey = g.city_id""",
     "dim_product": """
 SELECT p_partkey AS product_id, p_name AS description, CAST(p_size AS VARCHAR) AS size,

@@ -53,12 +53,15 @@ def build_session(master: str | None = "local[8]", app: str = "shopframe",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one. Only when it is
-    unset (local tests) a private temporary folder is created.
+    Uses ``spark.checkpoint.dir`` when the cluster names one. A local session
+    without it gets a private temporary folder; a cluster session without it is
+    an error, since its machines share no local folder.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         d = tempfile.mkdtemp(prefix="shopframe-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

@@ -72,8 +72,9 @@ def jdbc_source(spark: SparkSession, url: str, table_or_query: str,
                 num_partitions: int | None = None) -> DataFrame:
     """S2 against a database: a partitioned JDBC read (parallel range scans)."""
     r = spark.read.format("jdbc").option("url", url)
-    key = "query" if table_or_query.lstrip().lower().startswith("select") else "dbtable"
-    r = r.option(key, table_or_query)
+    # a query is read as a derived table: a partitioned read does not take the query option
+    is_query = table_or_query.lstrip().lower().startswith(("select", "with"))
+    r = r.option("dbtable", f"({table_or_query}) q" if is_query else table_or_query)
     for k, v in (properties or {}).items():
         r = r.option(k, v)
     if partition_column:
