@@ -8,6 +8,7 @@ from shopframe.catalog.base import register
 from shopframe.functions.exprs import draw_sql, padded_sql, rnd, rnd_sql as R
 from shopframe.operators import etl as e
 from shopframe.plans.oracle import with_views as W
+from shopframe.session import materialize
 
 SRC_ORDERS = ("src_orders", """SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_unique_id, n.n_name AS city,
   r.r_name AS state, o.o_orderdate AS ts
@@ -173,12 +174,12 @@ FROM cbase b JOIN customer_subtypes s ON b.customer_unique_id = s.customer_id WH
 
 
 def _stores(t):
-    a = e.allocate_stores(e.top_cities(_orders(t), 30), 100)
-    return e.surrogate_keys(a, ["city", "state", "store_no"], "store_sk")
+    a = materialize(e.allocate_stores(e.top_cities(_orders(t), 30), 100))
+    return materialize(e.surrogate_keys(a, ["city", "state", "store_no"], "store_sk"))
 
 
 def _inventory(t):
-    prods = e.surrogate_keys(e.source_items(t), "product_id", "product_sk")
+    prods = materialize(e.surrogate_keys(e.source_items(t), "product_id", "product_sk"))
     return e.store_inventory(_stores(t).select("store_sk"), prods)
 
 

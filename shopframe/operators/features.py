@@ -3,8 +3,8 @@
 All features are aggregates over the fact rows (one shuffle on the entity
 key, map-side partial aggregation). "First order / first session per user"
 is a ``min(struct(time, id))`` aggregate instead of a per-user window, so a
-heavy user is reduced before the shuffle. Medians and quartiles are exact by
-default (``percentile``), ``exact=False`` switches to ``percentile_approx``.
+heavy user is reduced before the shuffle. Quantiles of unbounded columns are
+exact and distributed (``functions.quantile``).
 """
 
 from __future__ import annotations
@@ -12,11 +12,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopframe.functions.baskets import first_by, item_sets
 from shopframe.functions.exprs import days_between, draw, exact_sum, rnd
+from shopframe.functions.prefix import row_numbers
+from shopframe.functions.quantile import quantiles
+from shopframe.session import materialize
 
 STYLE_GROUPS = {"pct_ladieswear": "Ladieswear", "pct_divided": "Divided", "pct_menswear": "Menswear",
                 "pct_baby": "Baby/Children", "pct_sport": "Sport"}
@@ -34,12 +37,9 @@ def _date(d) -> Column:
     return F.lit(d).cast("date")
 
 
-def _with_cutoff(df: DataFrame, cutoff):
-    """Attach the cutoff: a literal date, or a one-row frame (first column) kept lazy."""
-    if isinstance(cutoff, DataFrame):
-        c1 = cutoff.select(F.col(cutoff.columns[0]).cast("date").alias("_cutoff"))
-        return df.crossJoin(c1), F.col("_cutoff")
-    return df, _date(cutoff)
+def _cutoff(cutoff) -> Column:
+    """The cutoff as a literal date, or as the scalar of a one-row frame (a subquery that the scan's filters can use)."""
+    return cutoff.select(cutoff.columns[0]).scalar().cast("date") if isinstance(cutoff, DataFrame) else _date(cutoff)
 
 
 def _share(cond: Column) -> Column:
@@ -60,11 +60,10 @@ def customer_features(tx: DataFrame, articles: DataFrame, customers: DataFrame,
     parquet scan as a pushed predicate).
     """
     t = tx.filter(F.col("customer_id") == customer_id) if customer_id is not None else tx
-    t, c = _with_cutoff(t, cutoff)
+    c = _cutoff(cutoff)
     t = t.filter(F.col("t_dat") <= c)
     j = t.join(articles.select("article_id", "index_group_name"), "article_id")
-    keys = ["customer_id", "_cutoff"] if isinstance(cutoff, DataFrame) else ["customer_id"]
-    agg = j.groupBy(*keys).agg(
+    agg = j.groupBy("customer_id").agg(
         _n().alias("total_items"), F.avg("price").alias("avg_price"), exact_sum("price").alias("monetary"),
         F.count_distinct("t_dat").alias("frequency"), F.max("t_dat").alias("last_purchase"),
         _share(F.col("sales_channel_id") == 2).alias("pct_online"), *_style_aggs())
@@ -74,7 +73,11 @@ def customer_features(tx: DataFrame, articles: DataFrame, customers: DataFrame,
 
 
 def fill_features(df: DataFrame, default_age: int = 30) -> DataFrame:
-    """shares and price null -> 0, recency null -> 9999, age null -> median (or 30)."""
+    """shares and price null -> 0, recency null -> 9999, age null -> median (or 30).
+
+    The features are stored before the median is taken, so they are computed once.
+    """
+    df = materialize(df)
     pct = [c for c in df.columns if c.startswith("pct_")]
     med = df.agg(F.percentile("age", 0.5).alias("_med"))
     out = df.na.fill(0.0, subset=pct + ["avg_price"]).na.fill(9999, subset=["recency_days"])
@@ -115,8 +118,8 @@ def baskets(tx: DataFrame, articles: DataFrame, clusters: DataFrame | None = Non
 
 def buy_labels(tx: DataFrame, cutoff, window: int = 7) -> DataFrame:
     """distinct customers buying in (cutoff, cutoff + window]."""
-    t, c = _with_cutoff(tx, cutoff)
-    return t.filter((F.col("t_dat") > c) & (F.col("t_dat") <= F.date_add(c, window))) \
+    c = _cutoff(cutoff)
+    return tx.filter((F.col("t_dat") > c) & (F.col("t_dat") <= F.date_add(c, window))) \
         .select("customer_id").distinct()
 
 
@@ -346,17 +349,11 @@ def product_sales(p: DataFrame, oi: DataFrame) -> DataFrame:
         .withColumn("num_sold", F.coalesce("num_sold", F.lit(0)))
 
 
-def vip_by_percentile(oi: DataFrame, p: float = 0.75, exact: bool = True, accuracy: int = 100_000) -> DataFrame:
-    """users whose non-cancelled spend exceeds the p-th percentile of user spend.
-
-    The exact percentile merges every distinct spend value in one task;
-    ``exact=False`` uses ``percentile_approx`` (a bounded sketch) for very
-    many users.
-    """
-    spend = _nc(oi).groupBy("user_id").agg(exact_sum("sale_price").alias("total_spend"))
-    q = F.percentile("total_spend", p) if exact else F.percentile_approx("total_spend", p, accuracy)
-    th = spend.agg(q.cast("double").alias("_th"))
-    return spend.crossJoin(th).filter(F.col("total_spend") > F.col("_th")).select("user_id", "total_spend")
+def vip_by_percentile(oi: DataFrame, p: float = 0.75) -> DataFrame:
+    """users whose non-cancelled spend exceeds the p-th percentile of user spend (exact, distributed)."""
+    spend = materialize(_nc(oi).groupBy("user_id").agg(exact_sum("sale_price").alias("total_spend")))
+    return spend.crossJoin(quantiles(spend, "total_spend", [p])).filter(F.col("total_spend") > F.col("q0")) \
+        .select("user_id", "total_spend")
 
 
 def user_category_baskets(oi, p, vip: DataFrame, min_items: int = 2) -> DataFrame:
@@ -435,8 +432,7 @@ def label_encode(df: DataFrame, cols: Sequence[str], unknown: str = "Unknown") -
     for c in cols:
         filled = F.coalesce(F.col(c).cast("string"), F.lit(unknown))
         out = out.withColumn(c, filled)
-        vocab = out.select(c).distinct()
-        vocab = vocab.withColumn(f"{c}_enc", (F.row_number().over(Window.orderBy(c)) - 1).cast("int"))
+        vocab = row_numbers(out.select(c).distinct(), [c], f"{c}_enc").withColumn(f"{c}_enc", (F.col(f"{c}_enc") - 1).cast("int"))
         out = out.join(vocab, c, "left")
     return out
 
@@ -493,12 +489,10 @@ def unstandardize(df: DataFrame, cols: Sequence[str], stats: DataFrame) -> DataF
 
 
 def assert_standardized(df: DataFrame, cols: Sequence[str], tol: float = 0.01) -> DataFrame:
-    """per column |mean| < tol and |std - 1| < tol, plus the row count."""
-    parts = [df.agg(F.lit(c).alias("column_name"), F.avg(c).alias("mean"), F.stddev_pop(c).alias("std"),
-                    _n().alias("n_rows")) for c in cols]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
+    """per column |mean| < tol and |std - 1| < tol, plus the row count (one pass for all columns)."""
+    one = df.agg(_n().alias("n_rows"), *[g(c).alias(f"{n}_{i}") for i, c in enumerate(cols) for n, g in (("m", F.avg), ("s", F.stddev_pop))])
+    out = one.select("n_rows", F.stack(F.lit(len(cols)), *[x for i, c in enumerate(cols) for x in (F.lit(c), F.col(f"m_{i}"), F.col(f"s_{i}"))])
+                     .alias("column_name", "mean", "std")).select("column_name", "mean", "std", "n_rows")
     return out.withColumn("ok", (F.abs("mean") < tol) & (F.abs(F.col("std") - 1) < tol))
 
 
@@ -514,16 +508,16 @@ def minmax_profile(df: DataFrame, segment: str, cols: Sequence[str],
     return out if row_level else out.groupBy(segment).agg(*[F.avg(c).alias(c) for c in cols])
 
 
-def describe_features(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """count, mean, std, min, quartiles, max per feature (long format, one scan)."""
-    q = (lambda c, v: F.percentile(c, v)) if exact else (lambda c, v: F.percentile_approx(c, v, 10000))
-    parts = []
-    for c in cols:
-        parts.append(df.agg(
-            F.lit(c).alias("feature"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"), F.min(F.col(c).cast("double")).alias("min"), q(c, 0.25).alias("p25"),
-            q(c, 0.5).alias("p50"), q(c, 0.75).alias("p75"), F.max(F.col(c).cast("double")).alias("max")))
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+def describe_features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """count, mean, std, min, quartiles, max per feature (long format).
+
+    One scan of the features, stored as (feature, value); the quartiles are
+    exact and distributed over the values.
+    """
+    long = df.select(F.stack(F.lit(len(cols)), *[x for c in cols for x in (F.lit(c), F.col(c).cast("double"))]).alias("feature", "value"))
+    long = materialize(long)
+    stats = long.groupBy("feature").agg(F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+                                        F.min("value").alias("min"), F.max("value").alias("max"))
+    q = quantiles(long, "value", [0.25, 0.5, 0.75], ["feature"])
+    return stats.join(q, "feature").select("feature", "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
+                                           F.col("q2").alias("p75"), "max")

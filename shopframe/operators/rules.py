@@ -182,7 +182,9 @@ def top_rules(rules: DataFrame, n: int, by: Sequence[str] = (), order: Sequence[
     rounding noise (a->b and b->a) are ordered by their text, deterministically.
     """
     order = list(order or [F.desc(rnd("lift", 9))]) + [rule_key("antecedent"), rule_key("consequent")]
-    w = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
+    if not by:  # a distributed top-n; only its rows are numbered in one task
+        return rules.orderBy(*order).limit(n).withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
+    w = Window.partitionBy(*by).orderBy(*order)
     return rules.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
@@ -219,17 +221,15 @@ def rules_vip(sets: DataFrame, min_support: float = 0.01, fallback_support: floa
               min_confidence: float = 0.05) -> DataFrame:
     """Support .01 (falls back to .005 when no rule survives), <= 3 items, lift > 1, confidence >= .05.
 
-    Both thresholds are mined; the fallback rows are used only when the
-    primary threshold yields nothing (decided in the plan, no driver check).
+    Mined once at the lower threshold: the rules of the higher one are those
+    with its support. The others are kept only when there are none of these
+    (decided in the plan, no driver check).
     """
-    def run(ms):
-        r = association_rules(frequent_itemsets(sets, ms, 3), "lift", 1.0)
-        return r.filter((F.col("lift") > 1.0) & (F.col("confidence") >= min_confidence)) \
-            .withColumn("min_support_used", F.lit(ms))
-    primary, fallback = run(min_support), run(fallback_support)
-    has_primary = primary.agg((F.count(F.lit(1)) > 0).alias("_hp"))
-    both = primary.unionByName(fallback).crossJoin(has_primary)
-    return both.filter(F.col("_hp") == (F.col("min_support_used") == F.lit(min_support))).drop("_hp")
+    r = association_rules(frequent_itemsets(sets, fallback_support, 3), "lift", 1.0)
+    r = materialize(r.filter((F.col("lift") > 1.0) & (F.col("confidence") >= min_confidence)))
+    best = r.agg(F.coalesce(F.max(F.col("support") >= min_support), F.lit(False)).alias("_hp"))
+    return r.crossJoin(best).filter(~F.col("_hp") | (F.col("support") >= min_support)) \
+        .withColumn("min_support_used", F.when(F.col("_hp"), F.lit(min_support)).otherwise(F.lit(fallback_support))).drop("_hp")
 
 
 def rules_by_segment(sets: DataFrame, by: Sequence[str], min_support: float, metric: str = "lift",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shopframe.functions.baskets import first_by, item_sets, pair_counts, patterns
 from shopframe.functions.exprs import bucket, days_between, exact_sum, rate, rnd, share
+from shopframe.functions.quantile import quantiles
 
 # ---------------------------------------------------------------- fixed values
 # Report labels that must read exactly as in the reports, in band order.
@@ -668,14 +669,14 @@ def time_span(t: DataFrame) -> DataFrame:
                  F.count_distinct("article_id").alias("unique_articles"))
 
 
-def numeric_profile(df: DataFrame, col: str, d: int = 4, exact: bool = True) -> DataFrame:
-    """Count, nulls, min, quartiles, max, mean, std of one column."""
+def numeric_profile(df: DataFrame, col: str, d: int = 4) -> DataFrame:
+    """Count, nulls, min, quartiles, max, mean, std of one column (exact, distributed quartiles)."""
     c = F.col(col)
-    q = (lambda v: F.percentile(c, v)) if exact else (lambda v: F.percentile_approx(c, v, 10000))
-    return df.agg(_n().alias("total"), F.count_if(c.isNull()).alias("null_count"),
-                  rnd(F.min(c), d).alias("min_value"), rnd(q(0.25), d).alias("p25"), rnd(q(0.5), d).alias("median"),
-                  rnd(q(0.75), d).alias("p75"), rnd(F.max(c), d).alias("max_value"),
-                  rnd(F.avg(c), d).alias("avg_value"), rnd(F.stddev_samp(c), d).alias("std_value"))
+    one = df.agg(_n().alias("total"), F.count_if(c.isNull()).alias("null_count"), F.min(c).alias("lo"), F.max(c).alias("hi"),
+                 F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"))
+    return one.crossJoin(quantiles(df, col, [0.25, 0.5, 0.75])).select(  # one row each
+        "total", "null_count", rnd("lo", d).alias("min_value"), rnd("q0", d).alias("p25"), rnd("q1", d).alias("median"), rnd("q2", d).alias("p75"),
+        rnd("hi", d).alias("max_value"), rnd("mean", d).alias("avg_value"), rnd("std", d).alias("std_value"))
 
 
 def age_groups(c: DataFrame) -> DataFrame:
