@@ -9,3 +9,4 @@ from shopframe.catalog import prediction  # noqa: F401,E402
 from shopframe.catalog import etl  # noqa: F401,E402
 from shopframe.catalog import serving  # noqa: F401,E402
 from shopframe.catalog import clusters  # noqa: F401,E402
+from shopframe.catalog import checks  # noqa: F401,E402

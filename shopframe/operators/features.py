@@ -443,8 +443,8 @@ def one_hot_pipeline(cols: Sequence[str]):
     from pyspark.ml.feature import OneHotEncoder, StringIndexer
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep", stringOrderType="alphabetAsc")
            for c in cols]
-    ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_vec" for c in cols],
-                        dropLast=True, handleInvalid="keep")
+    # the indexer gives unseen values the last index, which the encoder drops
+    ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_vec" for c in cols], dropLast=True)
     return Pipeline(stages=idx + [ohe])
 
 
