@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import embeddings, fmindex, lm, minhash, mixture, packing, quality, secrets, shards, suffixes
 from .common import Work, read
+from .oracles import ORACLES  # noqa: F401
 
 
 def tokenizer_path() -> str:
@@ -55,7 +56,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = secrets.scan(read(spark, sf_dir, "documents"), Work(spark, "op8"))
     base = F.filter("spans", lambda x: x["kind"] < len(secrets.BASE))
-    n = [F.size(F.filter("spans", lambda x, i=i: x["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(secrets.BASE)]
+    n = [secrets.count_of(k).cast("long").alias(f"n_{k}") for k in secrets.BASE]
     return s.select("doc_id", *n, F.sha2(secrets.spelled(base), 256).alias("base_sha256"), secrets.spelled(F.col("spans")).alias("spans"))
 
 
@@ -79,4 +80,4 @@ QUERIES = {
     "op9_embedding_forest": op9_embedding_forest,
     "op10_superminhash": op10_superminhash,
 }
-ORACLES: dict[str, str] = {}
+

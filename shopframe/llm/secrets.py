@@ -120,6 +120,12 @@ def spelled(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
+def count_of(kind: str, spans: str = "spans") -> Column:
+    """How many of the spans are of a kind."""
+    number = KINDS.index(kind)
+    return F.size(F.filter(spans, lambda x: x["kind"] == number))
+
+
 def masked(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """The text with every span (overlapping ones merged) replaced by ``mark``."""
     kind = "struct<at:int,out:array<string>>"

@@ -140,6 +140,8 @@ def test_secrets(spark, work):
         more = [(secrets.KINDS[x["kind"]], t[x["s"]:x["e"]]) for x in g["spans"] if x["kind"] >= 3]
         assert more == {6: [("token", live)], 9: [("url", "://bob:S3cr3tPw9@")]}.get(g["doc_id"], []), (t, more)
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    counts = secrets.scan(df, work).select("doc_id", *[secrets.count_of(k).alias(k) for k in secrets.BASE]).collect()
+    assert all([r[k] for k in secrets.BASE] == [sum(x[1] == i for x in brute_base(texts[r["doc_id"]])) for i in range(3)] for r in counts)
     j = df.join(secrets.scan(df, work).select("doc_id", "spans").dropDuplicates(["doc_id"]), "doc_id").select("doc_id", secrets.masked(df["text"], secrets.F.col("spans")).alias("m"))
     m = {r["doc_id"]: r["m"] for r in j.collect()}
     assert m[6] == "see [SECRET] here" and m[0] is None and m[7] == "[SECRET]" and m[9] == "postgres[SECRET]db/x"
