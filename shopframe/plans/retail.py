@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopframe.functions.exprs import epoch_us
-from shopframe.session import materialize
 
 INDEX_GROUPS = {"ECONOMY": "Ladieswear", "SMALL": "Divided", "MEDIUM": "Menswear",
                 "LARGE": "Baby/Children", "PROMO": "Sport", "STANDARD": "Other"}
@@ -137,49 +136,9 @@ def inventory_items(t) -> DataFrame:
         F.col("l_shipdate").alias("sold_at"))
 
 
-HEAVY_USER_ROWS = 2_000_000
-
-
 def sessionize(ev: DataFrame, user: str = "uid", ts: str = "ts", tie: str = "event_id",
-               gap_us: int = SESSION_GAP_US, heavy_rows: int = HEAVY_USER_ROWS) -> DataFrame:
-    """Gap sessions with hot users split off.
-
-    Users with more than ``heavy_rows`` events (counted with a map-side
-    combined aggregate) take the bucketed path, with time buckets sized to
-    hold about ``heavy_rows`` of that user's events each; the others use one
-    per-user window (a single shuffle). The hot-user list is broadcast: it
-    has at most ``rows / heavy_rows`` entries.
-    """
-    stats = ev.groupBy(user).agg(F.count(F.lit(1)).alias("_c"), F.min(ts).alias("_t0"), F.max(ts).alias("_t1"))
-    # bucket width per hot user: its time span split into about count / heavy_rows buckets
-    span = epoch_us(F.col("_t1")) - epoch_us(F.col("_t0"))
-    heavy = stats.filter(F.col("_c") > heavy_rows).select(
-        user, F.greatest(F.lit(1_000_000), F.floor(span / F.ceil(F.col("_c") / F.lit(max(heavy_rows, 1))))).alias("_w"))
-    # stored once (tiny: at most rows / heavy_rows entries), so the branches
-    # below do not each recount the events; no hot user -> one-window plan
-    heavy = materialize(heavy)
-    if heavy.isEmpty():
-        return _sessionize_by_user(ev, user, ts, tie, gap_us)
-    heavy = F.broadcast(heavy)
-    cold = ev.join(heavy, user, "left_anti")
-    hot = ev.join(heavy, user, "inner")
-    return _sessionize_by_user(cold, user, ts, tie, gap_us).unionByName(
-        _sessionize_by_bucket(hot, user, ts, tie, gap_us).drop("_w"))
-
-
-def _sessionize_by_user(ev: DataFrame, user: str, ts: str, tie: str, gap_us: int) -> DataFrame:
-    w = Window.partitionBy(user).orderBy(ts, tie)
-    e = ev.withColumn("_lag", F.lag(ts).over(w))
-    e = e.withColumn("_is_start", F.col("_lag").isNull() | (epoch_us(F.col(ts)) - epoch_us("_lag") > gap_us))
-    e = e.withColumn("session_start", F.max(F.when(F.col("_is_start"), F.col(ts))).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
-    ws = Window.partitionBy(user, "session_start").orderBy(ts, tie)
-    return e.withColumn("sequence_number", F.row_number().over(ws).cast("int")).drop("_lag", "_is_start")
-
-
-def _sessionize_by_bucket(ev: DataFrame, user: str = "uid", ts: str = "ts", tie: str = "event_id",
-                          gap_us: int = SESSION_GAP_US, bucket: str | None = None) -> DataFrame:
-    """Gap sessions without a per-user window (for users too large for one task).
+               gap_us: int = SESSION_GAP_US, bucket: str = "hour") -> DataFrame:
+    """Gap sessions without a per-user window over the events.
 
     A window over the whole history of a user puts a heavy user into one task.
     Here the events are shuffled once, on (user, time bucket); every window is
@@ -193,13 +152,11 @@ def _sessionize_by_bucket(ev: DataFrame, user: str = "uid", ts: str = "ts", tie:
          session carried in from earlier buckets;
       4. sequence number = rank inside (user, bucket, session), plus, for the
          carried session, its rows in earlier buckets.
-    Buckets are ``date_trunc(bucket, ts)`` when ``bucket`` is given, else
-    ``floor(epoch / _w)`` with a per-user width column ``_w`` (microseconds).
-    Adds ``session_start`` and ``sequence_number``.
+    All users take this path; a task holds one user's events of one ``bucket``
+    (a ``date_trunc`` unit). Adds ``session_start`` and ``sequence_number``.
     """
     key = [user, "_b"]
-    b = F.date_trunc(bucket, F.col(ts)) if bucket else F.floor(epoch_us(F.col(ts)) / F.col("_w"))
-    e = ev.withColumn("_b", b)
+    e = ev.withColumn("_b", F.date_trunc(bucket, F.col(ts)))
     wb = Window.partitionBy(*key).orderBy(ts, tie)
     e = e.withColumn("_lag", F.lag(ts).over(wb))
 

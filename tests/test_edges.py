@@ -40,8 +40,8 @@ def test_sessionize_matches_brute_force_across_days(spark):
             rows.append((eid, t, u))
             eid += 1
     df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, uid long")
-    runs = [{r.event_id: (r.session_start, r.sequence_number) for r in sessionize(df, heavy_rows=h).collect()}
-            for h in (100, 0, 10 ** 9)]  # hot user split off / everyone bucketed / nobody bucketed
+    runs = [{r.event_id: (r.session_start, r.sequence_number) for r in sessionize(df, bucket=b).collect()}
+            for b in ("hour", "minute", "year")]  # many buckets, one a row, one a user
     got = runs[0]
     assert runs[1] == got and runs[2] == got
     # brute force

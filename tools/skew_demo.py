@@ -1,9 +1,9 @@
 """Skew experiment: one user holds a third of 3M events spread over 30 days.
 
-Runs the sessioniser with the hot user split into time buckets of about
-``heavy_rows`` events (default 100 000) and with nobody split, and reports
-the largest group a single window task must hold in each case.
-usage: python tools/skew_demo.py [n_events] [heavy_rows]
+Runs the sessioniser with time buckets of an hour and of a year (that is, one
+window per user), and reports the largest group a single window task must hold
+in each case.
+usage: python tools/skew_demo.py [n_events]
 """
 
 from __future__ import annotations
@@ -34,12 +34,10 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    heavy = int(sys.argv[2]) if len(sys.argv) > 2 else 100_000
-    by_user = base.groupBy("uid").count().agg(F.max("count")).first()[0]
-    t_split = run(sessionize(base, heavy_rows=heavy))
-    t_plain = run(sessionize(base, heavy_rows=n))
-    print(f"events={n} largest per-user group={by_user}; with splitting, largest bucket ~{heavy}")
-    print(f"sessionize, hot user split: {t_split:.1f}s; nobody split (one per-user window): {t_plain:.1f}s")
+    largest = {b: base.groupBy("uid", F.date_trunc(b, "ts")).count().agg(F.max("count")).first()[0] for b in ("hour", "year")}
+    took = {b: run(sessionize(base, bucket=b)) for b in largest}
+    for b in largest:
+        print(f"events={n}, buckets of one {b}: largest group {largest[b]}, {took[b]:.1f}s")
     spark.stop()
 
 
