@@ -85,7 +85,7 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, work: Work, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-         max_owners: int = 1, max_repos: int = 3, salts: int = 64) -> DataFrame:
+         max_owners: int = 1, max_repos: int = 3) -> DataFrame:
     """(doc_id, h1, h2, spans): one row per document.
 
     ``spans`` is an array of (s, e, kind, live, v): all base spans and the
@@ -103,10 +103,8 @@ def scan(docs: DataFrame, work: Work, id_col: str = "doc_id", text_col: str = "t
     repos = value.select("value", "owner", "h1", "h2").distinct().groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repos"))
     freq = repos.groupBy("value").agg(F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"))
     live = freq.select(F.col("value").alias("_v"), ((F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)).alias("live")).where("live")
-    # a live value has few repositories, so no key of this join is hot on the live side; examples just find no partner
-    salted = live.select("_v", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_s"))
-    hit = value.select("h1", "h2", "value").distinct().withColumn("salt", F.pmod("h1", F.lit(salts)).cast("int"))
-    hit = hit.join(salted, (F.col("value") == F.col("_v")) & (F.col("salt") == F.col("_s")))
+    # a live value has few texts; the rows of a widely copied one find no partner, and Spark splits their partition
+    hit = value.select("h1", "h2", "value").distinct().join(live, F.col("value") == F.col("_v"))
     mine = hit.groupBy(F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).agg(F.collect_set("value").alias("_live"))
     out = d.join(mine, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left")
     is_live = lambda x: F.coalesce(F.array_contains("_live", F.sha2(x["v"], 256)), F.lit(False))
