@@ -170,12 +170,13 @@ def _p16(t):
 
 @register("pred_tree_rules_repeat")
 def _p4(t):
+    from pyspark.ml.classification import DecisionTreeClassifier
     ds = f.repeat_dataset(V(t, "order_items"), V(t, "products"), V(t, "shop_events"), V(t, "users"))
     pipe = p.tabular_pipeline(["first_order_value", "first_order_num_items", "first_order_num_categories",
                                "first_session_depth", "first_session_products_viewed", "first_session_carted",
                                "first_session_purchased", "age"],
                               ["gender", "country", "first_traffic_source"],
-                              __import__("pyspark.ml.classification", fromlist=["x"]).DecisionTreeClassifier(
+                              DecisionTreeClassifier(
                                   labelCol="is_repeat_buyer", maxDepth=4, minInstancesPerNode=50, seed=42,
                                   maxBins=64))
     m = pipe.fit(materialize(f.impute(ds, median_cols=["age"])))
@@ -186,12 +187,13 @@ def _p4(t):
 
 @register("pred_tier_model_ovr_auc")
 def _p7(t):
+    from pyspark.ml.classification import RandomForestClassifier
     sales = f.product_sales(V(t, "products"), V(t, "order_items"))
     tiers = cl.product_tiers(f.product_margin(V(t, "products"))).join(sales, "product_id")
     ix = tiers.withColumn("tier_label", F.when(F.col("price_tier") == "Budget", 0)
                           .when(F.col("price_tier") == "Mid-range", 1).otherwise(2))
     pipe = p.tabular_pipeline(["num_sold"], ["category", "department"],
-                              __import__("pyspark.ml.classification", fromlist=["x"]).RandomForestClassifier(
+                              RandomForestClassifier(
                                   labelCol="tier_label", numTrees=100, maxDepth=6, seed=42, maxBins=64))
     split = materialize(p.stratified_split(ix, "tier_label", "product_id"))
     m = pipe.fit(split.filter("split = 'train'"))
