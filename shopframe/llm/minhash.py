@@ -7,13 +7,21 @@ the first step after which all its slots hold less than j + 1, since later
 steps can only offer more. Signatures are cut into bands, equal bands put
 documents into buckets.
 
-Documents with equal word sequences are one class with one signature. Within
-a bucket every class is confirmed against the bucket's smallest one, on full
-shingle sets; the links give components. A bucket that then still spans
-several components is compared within itself, in blocks: pairs of different
-components whose signatures agree enough are confirmed as well. So a bucket of
-copies costs one comparison a member, and no link is lost to the choice of the
-centre.
+Documents with equal word sequences are one class with one signature. Pairs
+are confirmed on full shingle sets, in rounds, and a pair whose documents have
+already met in one component is left out, since its link would change nothing:
+
+1. every class against the smallest of the centres (smallest members) of its
+   buckets;
+2. against the other centres: one for each component, then whatever is left;
+3. buckets that still span several components are compared within themselves,
+   in blocks of bounded size that hold their members' sets: pairs of different
+   components whose signatures agree enough are confirmed on the spot, and only
+   links leave the task.
+
+So a group of copies costs about one comparison a member, no link is lost to
+the choice of centres, and a bucket of many documents that are alike but not
+enough is never written out as pairs.
 
 Defined results: a text without words (or null) has no shingles and is its own
 component; a row without ``doc_id`` takes part only through rows of equal words;
@@ -39,9 +47,9 @@ ROWS, BANDS = 6, 42
 SLOTS = ROWS * BANDS
 THRESHOLD = 75
 #: members that one task confirms against a centre, and bucket members that one task compares
-GROUP, BLOCK = 256, 1024
-#: least signature agreement of pairs that are confirmed in the second pass: five standard deviations under the threshold
-AGREE = THRESHOLD / 100 - 5 * (0.75 * 0.25 / SLOTS) ** 0.5
+GROUP, BLOCK = 256, 2048
+#: least signature agreement of pairs that are confirmed in the third step: four standard deviations under the threshold
+AGREE = THRESHOLD / 100 - 4 * (0.75 * 0.25 / SLOTS) ** 0.5
 
 
 def shingle_sets(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,37 +139,62 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ], names=["doc_id", "cls", "n_shingles", "bands", "sig"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (centre, salt, member, shingles) for every role that a document has."""
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, bytes]]:
+    """(batch, row, shingles) of the texts that are of the class that their row names."""
     for batch in batches:
         buf, off = buffer_of(batch.column("text"))
-        ids, roles, salts, cls = (batch.column(c).to_pylist() for c in ("doc_id", "centres", "salts", "cls"))
+        cls = batch.column("cls").to_pylist()
         for lo, hi in pieces(off):
             h, _, _, first = words_of(buf[off[lo]: off[hi]], off[lo: hi + 1] - off[lo], lower=True)
             x, sets = shingle_sets(h, first)
-            rows = []
             for i in range(lo, hi):
-                if _class(h[first[i - lo]: first[i - lo + 1]]) != cls[i]:
-                    continue  # another text under the same id
-                data = x[sets[i - lo]: sets[i - lo + 1]].tobytes()
-                rows += [(ids[i], s, None, data) for s in range(salts[i] or 0)]
-                rows += [(r["centre"], ids[i] % r["salts"], ids[i], data) for r in roles[i] or ()]
-            if rows:
-                c = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int32()), pa.array(c[2], pa.int64()), pa.array(c[3], pa.binary())], names=["centre", "salt", "member", "shingles"])
+                if _class(h[first[i - lo]: first[i - lo + 1]]) == cls[i]:  # else another text under the same id
+                    yield batch, i, x[sets[i - lo]: sets[i - lo + 1]].tobytes()
+
+
+def _batched(rows: Iterator[tuple], names: list[str], types: list[pa.DataType], limit: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of rows whose last value is binary, of about ``limit`` bytes."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += len(r[-1]) + 64
+        if size >= limit:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True)], names=names)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True)], names=names)
+
+
+def _roles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (centre, salt, member, shingles) for every role that a document has."""
+    def rows() -> Iterator[tuple]:
+        for batch, i, data in _shingles(batches):
+            me = batch.column("doc_id")[i].as_py()
+            for salt in range(batch.column("salts")[i].as_py() or 0):
+                yield me, salt, None, data
+            for r in batch.column("centres")[i].as_py() or ():
+                yield r["centre"], me % r["salts"], me, data
+    return _batched(rows(), ["centre", "salt", "member", "shingles"], [pa.int64(), pa.int32(), pa.int64(), pa.binary()])
+
+
+def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (rep, shingles)."""
+    return _batched(((batch.column("doc_id")[i].as_py(), data) for batch, i, data in _shingles(batches)), ["rep", "shingles"], [pa.int64(), pa.binary()])
+
+
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets are similar enough; sets without elements never are."""
+    if not len(x) or not len(y):
+        return False
+    both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+    return 100 * both >= THRESHOLD * (len(x) + len(y) - both)
 
 
 def _confirm(table: pa.Table) -> pa.Table:
     """The members of a centre whose sets are similar enough."""
     member, data = table.column("member").to_pylist(), table.column("shingles").to_pylist()
     centre = next((np.frombuffer(d, np.uint64) for m, d in zip(member, data, strict=True) if m is None), np.zeros(0, np.uint64))
-    good = set()
-    for m, d in zip(member, data, strict=True):
-        s = np.frombuffer(d, np.uint64)
-        if m is not None and len(centre):
-            both = int((centre[np.minimum(np.searchsorted(centre, s), len(centre) - 1)] == s).sum())
-            if 100 * both >= THRESHOLD * (len(s) + len(centre) - both):
-                good.add(m)
+    good = {m for m, d in zip(member, data, strict=True) if m is not None and similar(centre, np.frombuffer(d, np.uint64))}
     good = sorted(good)
     return pa.table({"a": pa.array([table.column("centre")[0].as_py()] * len(good), pa.int64()), "b": pa.array(good, pa.int64())})
 
@@ -177,53 +210,76 @@ def confirmed(pairs: DataFrame, texts: DataFrame, reps: DataFrame, work: Work, n
     want = (salts.withColumnRenamed("a", "rep").join(roles.withColumnRenamed("b", "rep"), "rep", "full")
             .join(reps.select("rep", "cls"), "rep"))
     rows = texts.join(want, texts["doc_id"] == want["rep"]).dropDuplicates(["doc_id", "text"]).select("doc_id", "text", "cls", "centres", "salts")
-    sets = rows.mapInArrow(_sets, "centre long, salt int, member long, shingles binary")
+    sets = rows.mapInArrow(_roles, "centre long, salt int, member long, shingles binary")
     return work.store(sets.groupBy("centre", "salt").applyInArrow(_confirm, "a long, b long"), name)
 
 
 def _block(table: pa.Table) -> pa.Table:
-    """Pairs of different components whose signatures agree enough, within two blocks of a bucket."""
-    t = table.to_pandas()
-    own = t["block"].to_numpy()
-    lo, hi = int(t["lo"].iloc[0]), int(t["hi"].iloc[0])
-    sig = np.frombuffer(b"".join(t["sig"]), np.uint8).reshape(len(t), -1)
-    rep, comp = t["rep"].to_numpy(), t["comp"].to_numpy()
-    right = np.flatnonzero(own == hi)
-    a, b = [], []
+    """Links between different components within two blocks of a bucket."""
+    t = table.select(["block", "lo", "hi", "rep", "comp", "n_shingles"]).to_pandas()
+    sets = [np.frombuffer(d, np.uint64) for d in table.column("shingles").to_pylist()]
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(t), -1)
+    own, lo, hi = t["block"].to_numpy(), int(t["lo"].iloc[0]), int(t["hi"].iloc[0])
+    rep, comp, size = t["rep"].to_numpy(), t["comp"].to_numpy().copy(), t["n_shingles"].to_numpy()
+    right, out = np.flatnonzero(own == hi), []
     for i in np.flatnonzero(own == lo):
-        j = right[(comp[right] != comp[i]) & ((rep[right] > rep[i]) | (lo != hi))]
-        j = j[(sig[j] == sig[i]).mean(axis=1) >= AGREE]
-        a += [min(rep[i], r) for r in rep[j]]
-        b += [max(rep[i], r) for r in rep[j]]
+        fits = 100 * np.minimum(size[right], size[i]) >= THRESHOLD * np.maximum(size[right], size[i])
+        j = right[(comp[right] != comp[i]) & fits]
+        for k in j[(sig[j] == sig[i]).mean(axis=1) >= AGREE].tolist():
+            if comp[k] != comp[i] and similar(sets[i], sets[k]):
+                out.append((min(rep[i], rep[k]), max(rep[i], rep[k])))
+                comp[comp == comp[k]] = comp[i]
+    a, b = zip(*out, strict=True) if out else ((), ())
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def near_duplicates(docs: DataFrame, work: Work, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, cls, component_id, kept): one row per document."""
+    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sketch = work.store(texts.mapInArrow(_sketch, "doc_id long, cls binary, n_shingles long, bands array<long>, sig binary"), "sketch")
     classes = sketch.where("doc_id is not null and cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"))
-    one = sketch.join(classes, "cls").where("doc_id = rep").dropDuplicates(["cls"]).select("rep", "cls", "bands", "sig")
+    one = sketch.join(classes, "cls").where("doc_id = rep").dropDuplicates(["cls"]).select("rep", "cls", "n_shingles", "bands", "sig")
     reps = work.store(one, "reps")
     band = reps.select("rep", F.explode("bands").alias("band"))
     buckets = work.store(band.groupBy("band").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     inside = work.store(band.join(buckets, "band").select("band", "rep", "a", "n"), "inside")
-    pairs = work.store(inside.where("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "pairs")
-    links = confirmed(pairs, texts, reps, work, "links")
     # a document that shares its id with another text links the two
-    groups = components(links, work)
-    comp = inside.where("n > 2").select("band", "rep").join(groups, F.col("rep") == F.col("node"), "left").select("band", "rep", F.coalesce("component", "rep").alias("comp"))
-    comp = work.store(comp, "comp")
+    pairs = work.store(inside.where("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "pairs")
+
+    tested = work.store(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "tested-0")
+    links = confirmed(tested, texts, reps, work, "links-0")
+    groups = components(links, Work(spark, "minhash-0"))
+
+    def labelled(df: DataFrame, node: str, name: str) -> DataFrame:
+        g = groups.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+        return df.join(g, F.col(node) == F.col("_n"), "left").withColumn(name, F.coalesce("_c", node)).drop("_n", "_c")
+
+    def centres(one: bool) -> DataFrame:
+        rest = labelled(labelled(pairs.join(tested, ["a", "b"], "left_anti"), "a", "ca"), "b", "cb").where("ca <> cb")
+        return rest.groupBy("b", "ca").agg(F.min("a").alias("a")).select("a", "b") if one else rest.select("a", "b")
+
+    for n, one in enumerate((True, False), 1):
+        more = work.store(centres(one), f"more-{n}")
+        if not more.isEmpty():
+            links = links.unionAll(confirmed(more, texts, reps, work, f"links-{n}"))
+            tested = tested.unionAll(more)
+            groups = components(links, Work(spark, f"minhash-{n}"))
+
+    comp = work.store(labelled(inside.where("n > 2").select("band", "rep"), "rep", "comp"), "comp")
     mixed = comp.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("n")).where("x <> y")
-    blocks = mixed.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = comp.join(blocks, "band").join(reps.select("rep", "sig"), "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    blocks = work.store(mixed.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "blocks")
+    members = work.store(comp.join(blocks, "band"), "members")
+    want = reps.join(members.select("rep").distinct(), "rep").select("rep", "cls")
+    sets = texts.join(want, texts["doc_id"] == want["rep"]).dropDuplicates(["doc_id", "text"]).select("doc_id", "text", "cls").mapInArrow(_own, "rep long, shingles binary")
+    sets = work.store(sets, "sets")
+    rows = members.join(reps.select("rep", "sig", "n_shingles"), "rep").join(sets, "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "comp", "sig")
-    more = rows.groupBy("band", "lo", "hi").applyInArrow(_block, "a long, b long").distinct()
-    more = work.store(more.join(pairs, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        links = links.unionAll(confirmed(more, texts, reps, work, "more-links"))
-        groups = components(links, Work(docs.sparkSession, "minhash-2"))
+    rows = rows.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "comp", "n_shingles", "sig", "shingles")
+    last = work.store(rows.groupBy("band", "lo", "hi").applyInArrow(_block, "a long, b long").distinct(), "links-3")
+    if not last.isEmpty():
+        groups = components(links.unionAll(last), Work(spark, "minhash-3"))
+    work.drop("buckets", "inside", "pairs", "comp", "blocks", "members", "sets")
     groups = groups.withColumnRenamed("component", "component_id")
     known = classes.join(groups, F.col("rep") == F.col("node"), "left").select(F.col("cls").alias("_cls"), F.coalesce("component_id", "rep").alias("component_id"))
     out = sketch.select("doc_id", "n_shingles", "cls").join(known, F.col("cls") == F.col("_cls"), "left")
