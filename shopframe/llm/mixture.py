@@ -65,7 +65,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sizes = docs.select(F.col(source_col).alias("source"), size.alias("size"))
     rates = source_rates(sizes, weights, max_epochs)
     rates = rates.select(F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("rate").alias("_rate"),
-                         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+                         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")).hint("merge")
     rows = docs.withColumn("_size", size).withColumn("_deal", F.pmod(F.xxhash64(id_col, "_size"), F.lit(salts)).cast("int"))
     both = rows.join(rates, rows[source_col].eqNullSafe(rates["_source"]) & (rows["_deal"] == rates["_salt"]))
     key = F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))

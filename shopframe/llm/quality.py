@@ -97,7 +97,7 @@ def quality(docs: DataFrame, work: Work, id_col: str = "doc_id", text_col: str =
     often = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_docs)
     often = often.join(hosts.withColumnRenamed("host", "_h"), F.col("host").eqNullSafe(F.col("_h"))).where(F.col("n") > max_share * F.col("docs"))
     # a line of a large host may be in a third of all rows: both sides are salted
-    often = often.select(F.col("host").alias("_h"), F.col("line").alias("_l"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_s"))
+    often = often.select(F.col("host").alias("_h"), F.col("line").alias("_l"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_s")).hint("merge")
     salted = lines.withColumn("salt", F.pmod(F.col("h1"), F.lit(salts)).cast("int"))
     hit = salted.join(often, (F.col("line") == F.col("_l")) & (F.col("salt") == F.col("_s")) & F.col("host").eqNullSafe(F.col("_h")))
     cut = hit.groupBy(*[F.col(c).alias(f"_{c}") for c in key]).agg(F.sum("words").alias("n_removed_words"), F.collect_list("line").alias("cut"))
