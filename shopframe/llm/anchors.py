@@ -133,6 +133,26 @@ def text_class(text):
     return F.unhex(F.md5(text.cast("binary")))
 
 
+def _by_content(found: list[tuple]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """The distinct segments of each text (windows, place, anchor, segment), where each starts, and the texts' offsets.
+
+    A text that repeats itself holds a segment many times; that is one row with many starts.
+    """
+    rows, order, counts, cuts = [], [], [], [0]
+    base = 0
+    for start, windows, place, anchor, content in found:
+        _, at, back, n = np.unique(content, return_index=True, return_inverse=True, return_counts=True)
+        rows.append(np.stack([windows[at], place[at], anchor.view(np.int64)[at], content.view(np.int64)[at]], axis=1))
+        order.append(start[np.argsort(back, kind="stable")])
+        counts.append(n)
+        base += len(at)
+        cuts.append(base)
+    join = lambda parts, empty: np.concatenate(parts) if parts else empty
+    off = np.concatenate([[0], np.cumsum(join(counts, np.zeros(0, np.int64)))])
+    starts = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(join(order, np.zeros(0, np.int64)).astype(np.int32)))
+    return join(rows, np.zeros((0, 4), np.int64)), starts, np.array(cuts)
+
+
 def _scan(kind: Kind, describe: Callable):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,12 +160,9 @@ def _scan(kind: Kind, describe: Callable):
             for lo, hi in pieces(off):
                 part, at = buf[off[lo]: off[hi]], off[lo: hi + 1] - off[lo]
                 sym, first = kind.symbols(part, at)
-                found = [segments(sym[first[i]: first[i + 1]], kind) for i in range(hi - lo)]
-                packed = [np.stack([s, c, p, a.view(np.int64), h.view(np.int64)], axis=1) for s, c, p, a, h in found]
-                rows = np.concatenate(packed) if packed else np.zeros((0, 5), np.int64)
-                cuts = np.concatenate([[0], np.cumsum([len(p) for p in packed])])
-                struct = pa.StructArray.from_arrays([pa.array(rows[:, 0].astype(np.int32)), pa.array(rows[:, 1].astype(np.int32)), pa.array(rows[:, 2].astype(np.int32)), pa.array(rows[:, 3]), pa.array(rows[:, 4])],
-                                                    names=["start", "windows", "place", "anchor", "segment"])
+                rows, starts, cuts = _by_content([segments(sym[first[i]: first[i + 1]], kind) for i in range(hi - lo)])
+                struct = pa.StructArray.from_arrays([starts, *[pa.array(rows[:, k].astype(np.int32)) for k in (0, 1)], pa.array(rows[:, 2]), pa.array(rows[:, 3])],
+                                                    names=["starts", "windows", "place", "anchor", "segment"])
                 whole = [describe(part[at[i]: at[i + 1]], np.zeros((0, 2), np.int64)) for i in range(hi - lo)]
                 cols = list(zip(*whole, strict=True))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("cls").slice(lo, hi - lo),
@@ -224,15 +241,16 @@ def repeated(docs: DataFrame, work: Work, kind: Kind, ship: Callable, shipped: s
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.col(id_col).alias("doc_id"), text_class(text).alias("cls"), text.alias("text"))
-    segment = "array<struct<start:int,windows:int,place:int,anchor:long,segment:long>>"
+    segment = "array<struct<starts:array<int>,windows:int,place:int,anchor:long,segment:long>>"
     scan = work.store(texts.mapInArrow(_scan(kind, describe), f"doc_id long, cls binary, segments {segment}, n long, sha string"), "scan")
     # one row per text and segment, with the number of documents that hold the text
     classes = scan.groupBy("cls").agg(F.count(F.lit(1)).alias("docs"))
     held = scan.select("cls", "segments").where(F.size("segments") > 0).dropDuplicates(["cls"]).join(classes, "cls").select("cls", "docs", F.explode("segments").alias("s"))
-    held = held.select("cls", "docs", "s.*")
-    often = held.groupBy("anchor").agg(F.sum("docs").alias("n")).where("n > 1").select("anchor")
+    held = held.select("cls", "docs", "s.*").withColumn("times", F.col("docs") * F.size("starts"))
+    # summaries are stored before they are joined, so that Spark can split the partition of a frequent key
+    often = work.store(held.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor"), "often")
     held = work.store(held.join(often, "anchor", "left_semi"), "held")
-    distinct = held.groupBy("anchor", "segment").agg(F.sum("docs").alias("weight"), F.min(F.struct("cls", "start", "windows", "place")).alias("r"))
+    distinct = held.groupBy("anchor", "segment").agg(F.sum("times").alias("weight"), F.min(F.struct("cls", F.element_at("starts", 1).alias("start"), "windows", "place")).alias("r"))
     distinct = work.store(distinct.select("anchor", "segment", "weight", "r.*"), "distinct")
     hot = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > ANCHOR_SEGMENTS).select("anchor", F.lit(True).alias("alone"))
     wanted = distinct.join(hot, "anchor", "left").withColumn("alone", F.coalesce("alone", F.lit(False)))
@@ -245,12 +263,14 @@ def repeated(docs: DataFrame, work: Work, kind: Kind, ship: Callable, shipped: s
     rows = touched.where(F.size("want") > 0).mapInArrow(lambda batches: ship(pieces_of(batches)), shipped)
     found = work.store(rows.groupBy("shard").applyInArrow(find, "segment long, a int, b int"), "found")
     # the windows of a segment are repeated wherever the segment is
-    by_segment = found.groupBy("segment").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
-    runs = held.join(by_segment, "segment").select("cls", F.explode(F.transform("runs", lambda x: F.struct((F.col("start") + x["a"]).alias("a"), (F.col("start") + x["b"] + kind.width - 1).alias("b")))).alias("r"))
+    by_segment = work.store(found.groupBy("segment").agg(F.collect_list(F.struct("a", "b")).alias("runs")), "by-segment")
+    span = lambda s, x: F.struct((s + x["a"]).alias("a"), (s + x["b"] + kind.width - 1).alias("b"))
+    spans = F.flatten(F.transform("starts", lambda s: F.transform("runs", lambda x: span(s, x))))
+    runs = held.join(by_segment, "segment").select("cls", F.explode(spans).alias("r"))
     runs = runs.groupBy("cls").agg(F.collect_list("r").alias("runs"))
     cut = touched.select("cls", "text").join(runs, "cls").mapInArrow(_cover(kind, describe), "cls binary, n_removed long, n_spans long, sha string")
     cut = work.store(cut.select(F.col("cls").alias("_cls"), "n_removed", "n_spans", F.col("sha").alias("_sha")), "cut")
-    work.drop("held", "distinct", "touched", "found")
+    work.drop("often", "held", "distinct", "touched", "found", "by-segment")
     out = scan.select("doc_id", "cls", "n", "sha").join(cut, F.col("cls") == F.col("_cls"), "left")
     zero = F.lit(0).cast("long")
     return out.select("doc_id", "cls", "n", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("_sha", "sha").alias("kept_sha256"))
