@@ -18,7 +18,7 @@ def tokenizer_path() -> str:
 def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     training = docs.where(~lm.held_out()).select(F.coalesce("text", F.lit("")).alias("text"))
-    model = lm.train(training, Work(spark, "op1"))
+    model = lm.train(training, Work(spark, "op1"), order=3)
     s = lm.score(docs, model)
     return s.select("doc_id", lm.held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
 

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from shopframe.llm import lm
+from shopframe.llm import lm, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -86,3 +86,15 @@ def test_nothing_to_learn_from(no_docs, docs, work):
     got = lm.score(docs, model).collect()
     assert all(g["n_known"] == 0 and g["score"] == 0 for g in got)
     assert lm.score(no_docs, model).collect() == []
+
+
+def test_registered_query_uses_two_words_of_context(spark, tmp_path):
+    texts = ["a b c", "a b c", "x b d", "x b d", "a b c e", "x b d e", *["b c b d"] * 3]
+    rows = [(i, t) for i, t in enumerate(texts * 4)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["score"] for r in queries.op1_kneser_ney(spark, str(tmp_path)).collect()}
+    brute = Brute([t for i, t in rows if zlib.crc32(str(i).encode()) % 10], 3)
+    assert len(got) == len(rows)
+    for i, t in rows:
+        s = ["<s>", "<s>", *toks(t)]
+        assert got[i] == pytest.approx(sum(math.log10(brute.p(s[j - 2:j], s[j])) for j in range(2, len(s))), rel=1e-9)
