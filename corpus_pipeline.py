@@ -46,8 +46,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every span of a secret is masked."""
-    spans = secrets.scan(docs, Work(spark, "stage3")).where(F.size("spans") > 0).dropDuplicates(["doc_id", "h1", "h2"])
+    """Every span of a secret is masked; a further candidate is one if one source holds all texts with its value."""
+    spans = secrets.scan(docs, Work(spark, "stage3"), max_repos=None, per_owner=False).where(F.size("spans") > 0).dropDuplicates(["doc_id", "h1", "h2"])
     v = spans.select(F.col("doc_id").alias("_id"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "spans")
     d = _texts(docs)
     both = d.join(v, d["doc_id"].eqNullSafe(v["_id"]) & (d["h1"] == v["_h1"]) & (d["h2"] == v["_h2"]), "left")

@@ -8,8 +8,12 @@ or ``max_repos`` repositories hold is a widely copied example; a value of few
 owners that looks live (no placeholder, varied characters) becomes a span of
 its own. Base spans stay whatever the verdict, which ``verdicts`` gives.
 
-Here an owner is a ``source`` and a repository a document's text within it, so
-that copies of one document are one repository.
+Here an owner is a ``source``. With ``per_owner`` a repository is a document's
+text within it, so that a text under several sources is several repositories,
+as the registered query's SQL has it. Without, a repository is a text wherever
+it stands: copies under several sources are one, and a value whose texts all
+stand under one source has one owner, whoever else holds copies of them. A
+``max_repos`` of None sets no limit to the texts of the owners.
 
 Positions count code points, ends are exclusive. A null text is empty, a null
 owner is an owner of its own, repeated rows get the same spans each, an empty
@@ -84,8 +88,21 @@ def candidates(docs: DataFrame) -> DataFrame:
     return d.select(*docs.columns, F.array_sort(F.concat("_base", extra)).alias("cands"))
 
 
+def frequency(value: DataFrame, per_owner: bool) -> DataFrame:
+    """(value, owners, repos) of rows (value, owner, h1, h2)."""
+    # a repository holds a value once, then owners are counted, then repositories: every step is combined map-side
+    texts = value.select("value", "owner", "h1", "h2").distinct()
+    held = texts.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repos"))
+    if per_owner:
+        return held.groupBy("value").agg(F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"))
+    most = held.groupBy(F.col("value").alias("_v")).agg(F.max("repos").alias("most"))
+    first = texts.groupBy("value", "h1", "h2").agg(F.min("owner").alias("owner")).groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repos"))
+    freq = first.groupBy("value").agg(F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos")).join(most, F.col("value") == F.col("_v"))
+    return freq.select("value", F.when(F.col("most") == F.col("repos"), 1).otherwise(F.col("owners")).alias("owners"), "repos")
+
+
 def scan(docs: DataFrame, work: Work, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-         max_owners: int = 1, max_repos: int = 3) -> DataFrame:
+         max_owners: int = 1, max_repos: int | None = 3, per_owner: bool = True) -> DataFrame:
     """(doc_id, h1, h2, spans): one row per document.
 
     ``spans`` is an array of (s, e, kind, live, v): all base spans and the
@@ -99,11 +116,12 @@ def scan(docs: DataFrame, work: Work, id_col: str = "doc_id", text_col: str = "t
     d = work.store(d, "scan")
     value = d.where(F.size("cands") > 0).select("doc_id", "owner", "h1", "h2", F.explode("cands").alias("c"))
     value = value.withColumn("value", F.sha2(F.col("c.v"), 256))
-    # a repository holds a value once, then owners are counted, then repositories: every step is combined map-side
-    repos = value.select("value", "owner", "h1", "h2").distinct().groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repos"))
-    freq = repos.groupBy("value").agg(F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"))
-    live = freq.select(F.col("value").alias("_v"), ((F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)).alias("live")).where("live")
-    # a live value has few texts; the rows of a widely copied one find no partner, and Spark splits their partition
+    freq = frequency(value, per_owner)
+    few = F.col("owners") <= max_owners
+    if max_repos is not None:
+        few &= F.col("repos") <= max_repos
+    live = freq.select(F.col("value").alias("_v"), few.alias("live")).where("live")
+    # one row per live value: Spark splits the partition of a value that many texts hold
     hit = value.select("h1", "h2", "value").distinct().join(live, F.col("value") == F.col("_v"))
     mine = hit.groupBy(F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).agg(F.collect_set("value").alias("_live"))
     out = d.join(mine, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left")

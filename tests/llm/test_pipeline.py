@@ -115,3 +115,15 @@ def test_pipeline(spark, rows, tmp_path):
 def test_empty(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_masks_values_of_one_owner(spark):
+    """Copies of a text under another source, or many texts of one source, make no value an example."""
+    token = "ghp_{}Zk3PqR8sT1vWx5YzB7cD9eF2gH4jK6mN8p".format
+    rows = [(1, f"copied {token('a')}", "s1"), (2, f"copied {token('a')}", "s2"), (3, f"only here {token('a')}", "s2")]
+    rows += [(10 + i, f"text {i} of one owner {token('b')}", "s3") for i in range(6)]
+    rows += [(20, f"nobody's {token('c')}", None), (21, f"also nobody's {token('c')}", None)]
+    rows += [(30 + i, f"example {i} {token('d')}", f"s{i}") for i in range(3)]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.secret_scan(spark, docs, "").collect()}
+    assert got == {i: t if i >= 30 else t[:t.index("ghp_")] + "[SECRET]" for i, t, _ in rows}
