@@ -15,9 +15,8 @@ already met in one component is left out, since its link would change nothing:
    buckets;
 2. against the other centres: one for each component, then whatever is left;
 3. buckets that still span several components are compared within themselves,
-   in blocks of bounded size that hold their members' sets: pairs of different
-   components whose signatures agree enough are confirmed on the spot, and only
-   links leave the task.
+   in blocks of bounded size that hold their members' sets: all pairs of
+   different components are confirmed on the spot, and only links leave the task.
 
 So a group of copies costs about one comparison a member, no link is lost to
 the choice of centres, and a bucket of many documents that are alike but not
@@ -48,8 +47,6 @@ SLOTS = ROWS * BANDS
 THRESHOLD = 75
 #: members that one task confirms against a centre, and bucket members that one task compares
 GROUP, BLOCK = 256, 2048
-#: least signature agreement of pairs that are confirmed in the third step: four standard deviations under the threshold
-AGREE = THRESHOLD / 100 - 4 * (0.75 * 0.25 / SLOTS) ** 0.5
 
 
 def shingle_sets(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,15 +125,14 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, sets = shingle_sets(h, first)
             some = np.diff(sets) > 0
             sig = super_minhash(x, sets)[some]
-            keys, small = bands_of(sig).view(np.int64), mix(sig.view(np.uint64)).astype(np.uint8)
+            keys = bands_of(sig).view(np.int64)
             at, none = np.cumsum(some) - 1, [None] * (hi - lo)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").slice(lo, hi - lo),
                 pa.array([_class(h[first[i]: first[i + 1]]) if some[i] else None for i in range(hi - lo)], pa.binary()),
                 pa.array(np.diff(sets)),
                 pa.array([keys[at[i]] if some[i] else None for i in range(hi - lo)] or none, pa.list_(pa.int64())),
-                pa.array([small[at[i]].tobytes() if some[i] else None for i in range(hi - lo)], pa.binary()),
-            ], names=["doc_id", "cls", "n_shingles", "bands", "sig"])
+            ], names=["doc_id", "cls", "n_shingles", "bands"])
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, bytes]]:
@@ -218,15 +214,23 @@ def _block(table: pa.Table) -> pa.Table:
     """Links between different components within two blocks of a bucket."""
     t = table.select(["block", "lo", "hi", "rep", "comp", "n_shingles"]).to_pandas()
     sets = [np.frombuffer(d, np.uint64) for d in table.column("shingles").to_pylist()]
-    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(t), -1)
     own, lo, hi = t["block"].to_numpy(), int(t["lo"].iloc[0]), int(t["hi"].iloc[0])
     rep, comp, size = t["rep"].to_numpy(), t["comp"].to_numpy().copy(), t["n_shingles"].to_numpy()
-    right, out = np.flatnonzero(own == hi), []
+    distinct, code = np.unique(np.concatenate(sets), return_inverse=True)
+    code = np.split(code, np.cumsum([len(x) for x in sets])[:-1])
+    right, out, mine = np.flatnonzero(own == hi), [], np.zeros(len(distinct), bool)
+    held = np.concatenate([code[k] for k in right] or [np.zeros(0, np.int64)])
+    end = np.cumsum([0, *(len(code[k]) for k in right)])
     for i in np.flatnonzero(own == lo):
-        fits = 100 * np.minimum(size[right], size[i]) >= THRESHOLD * np.maximum(size[right], size[i])
-        j = right[(comp[right] != comp[i]) & fits]
-        for k in j[(sig[j] == sig[i]).mean(axis=1) >= AGREE].tolist():
-            if comp[k] != comp[i] and similar(sets[i], sets[k]):
+        fits = (comp[right] != comp[i]) & (100 * np.minimum(size[right], size[i]) >= THRESHOLD * np.maximum(size[right], size[i]))
+        if not fits.any():
+            continue
+        # the elements that each set on the right shares with this one
+        mine[code[i]] = True
+        both = np.diff(np.concatenate([[0], np.cumsum(mine[held])])[end])
+        mine[code[i]] = False
+        for k in right[fits & (both > 0) & (100 * both >= THRESHOLD * (size[right] + size[i] - both))].tolist():
+            if comp[k] != comp[i]:
                 out.append((min(rep[i], rep[k]), max(rep[i], rep[k])))
                 comp[comp == comp[k]] = comp[i]
     a, b = zip(*out, strict=True) if out else ((), ())
@@ -237,9 +241,9 @@ def near_duplicates(docs: DataFrame, work: Work, id_col: str = "doc_id", text_co
     """(doc_id, n_shingles, cls, component_id, kept): one row per document."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sketch = work.store(texts.mapInArrow(_sketch, "doc_id long, cls binary, n_shingles long, bands array<long>, sig binary"), "sketch")
+    sketch = work.store(texts.mapInArrow(_sketch, "doc_id long, cls binary, n_shingles long, bands array<long>"), "sketch")
     classes = sketch.where("doc_id is not null and cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"))
-    one = sketch.join(classes, "cls").where("doc_id = rep").dropDuplicates(["cls"]).select("rep", "cls", "n_shingles", "bands", "sig")
+    one = sketch.join(classes, "cls").where("doc_id = rep").dropDuplicates(["cls"]).select("rep", "cls", "n_shingles", "bands")
     reps = work.store(one, "reps")
     band = reps.select("rep", F.explode("bands").alias("band"))
     buckets = work.store(band.groupBy("band").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
@@ -273,9 +277,9 @@ def near_duplicates(docs: DataFrame, work: Work, id_col: str = "doc_id", text_co
     want = reps.join(members.select("rep").distinct(), "rep").select("rep", "cls")
     sets = texts.join(want, texts["doc_id"] == want["rep"]).dropDuplicates(["doc_id", "text"]).select("doc_id", "text", "cls").mapInArrow(_own, "rep long, shingles binary")
     sets = work.store(sets, "sets")
-    rows = members.join(reps.select("rep", "sig", "n_shingles"), "rep").join(sets, "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = members.join(reps.select("rep", "n_shingles"), "rep").join(sets, "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "comp", "n_shingles", "sig", "shingles")
+    rows = rows.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "comp", "n_shingles", "shingles")
     last = work.store(rows.groupBy("band", "lo", "hi").applyInArrow(_block, "a long, b long").distinct(), "links-3")
     if not last.isEmpty():
         groups = components(links.unionAll(last), Work(spark, "minhash-3"))

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shopframe.llm import embeddings, minhash
@@ -76,6 +77,18 @@ def test_links_beside_the_centre(spark, work):
     assert {g["doc_id"]: g["component_id"] for g in got} == want
 
 
+def test_blocks_confirm_whatever_the_signatures_say():
+    r = np.random.default_rng(4)
+    base = r.integers(0, 1 << 60, 100, np.uint64)
+    sets = [np.unique(x) for x in (base, np.append(base[:90], r.integers(0, 1 << 60, 8, np.uint64)), np.append(base[:80], r.integers(0, 1 << 60, 20, np.uint64)), r.integers(0, 1 << 60, 100, np.uint64))]
+    n = len(sets)
+    table = pa.table({"block": [0] * n, "lo": [0] * n, "hi": [0] * n, "rep": [10, 11, 12, 13], "comp": [10, 11, 12, 13], "n_shingles": [len(x) for x in sets],
+                      "sig": [r.bytes(minhash.SLOTS) for _ in sets], "shingles": [x.tobytes() for x in sets]})
+    got = {tuple(x.values()) for x in minhash._block(table).to_pylist()}
+    want = union(range(n), [(i, j) for i in range(n) for j in range(i) if minhash.similar(sets[i], sets[j])])
+    assert union(range(n), [(a - 10, b - 10) for a, b in got]) == want and len(got) == 1
+
+
 def test_superminhash_estimates_jaccard():
     r = np.random.default_rng(3)
     x = r.integers(0, 2**63, 4000).astype(np.uint64)
