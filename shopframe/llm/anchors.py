@@ -209,6 +209,13 @@ def _wanted(kind: Kind, shards: int):
     return run
 
 
+def shards_for(wanted: DataFrame, kind: Kind) -> int:
+    """How many shards the shipped symbols of rows (windows, alone) fill; the windows of a segment that is ``alone`` travel one by one."""
+    symbols = F.when(F.col("alone"), F.col("windows").cast("long") * kind.width).otherwise(F.col("windows") + kind.width)
+    size = wanted.agg(F.sum(symbols)).first()[0] or 0
+    return max(1, -(-size // kind.shard_symbols))
+
+
 def _cover(kind: Kind, describe: Callable):
     """Joins a text's covering intervals and describes what is left of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,11 +261,10 @@ def repeated(docs: DataFrame, work: Work, kind: Kind, ship: Callable, shipped: s
     distinct = work.store(distinct.select("anchor", "segment", "weight", "r.*"), "distinct")
     hot = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > ANCHOR_SEGMENTS).select("anchor", F.lit(True).alias("alone"))
     wanted = distinct.join(hot, "anchor", "left").withColumn("alone", F.coalesce("alone", F.lit(False)))
+    shards = shards_for(wanted, kind)
     wanted = wanted.groupBy("cls").agg(F.collect_list(F.struct("start", "windows", "place", "anchor", "segment", "weight", "alone")).alias("want"))
     touched = held.select("cls").distinct().join(wanted, "cls", "left").withColumn("want", F.coalesce("want", F.array().cast("array<struct<start:int,windows:int,place:int,anchor:long,segment:long,weight:long,alone:boolean>>")))
     touched = work.store(texts.select("cls", "text").join(touched, "cls").dropDuplicates(["cls"]), "touched")
-    size = distinct.agg(F.sum(F.col("windows") + kind.width)).first()[0] or 0
-    shards = max(1, -(-size // kind.shard_symbols))
     pieces_of = _wanted(kind, shards)
     rows = touched.where(F.size("want") > 0).mapInArrow(lambda batches: ship(pieces_of(batches)), shipped)
     found = work.store(rows.groupBy("shard").applyInArrow(find, "segment long, a int, b int"), "found")

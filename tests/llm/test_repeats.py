@@ -91,3 +91,11 @@ def test_merge_runs(k):
 def test_empty(no_docs, work):
     assert fmindex.substring_dedup(no_docs, work).collect() == []
     assert suffixes.suffix_dedup(no_docs, work).collect() == []
+
+
+def test_shards_count_windows_that_travel_alone(spark):
+    from types import SimpleNamespace
+
+    from shopframe.llm import anchors
+    rows = spark.createDataFrame([(40, True), (40, False)], "windows int, alone boolean")
+    assert anchors.shards_for(rows, SimpleNamespace(width=50, shard_symbols=100)) == -(-(40 * 50 + 40 + 50) // 100)
