@@ -39,10 +39,25 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group stays; rows without an id, which no group can name, stay as well."""
-    kept = minhash.near_duplicates(docs, Work(spark, "stage2")).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.select(*COLUMNS).join(kept, "doc_id").dropDuplicates(["doc_id"])
-    return named.select(*COLUMNS).unionAll(docs.where("doc_id is null").select(*COLUMNS))
+    """The document with the smallest id of each group stays; rows without an id, which no group can name, stay as well.
+
+    Rows that share an id are documents of their own where their texts differ:
+    the text with the smallest hashes has the id, the others come after all ids.
+    Of rows equal in id and text the smallest by (source, lang, n_chars) stays.
+    """
+    work, d = Work(spark, "stage2"), _texts(docs).where("doc_id is not null")
+    hashes = F.struct("h1", "h2")
+    clash = d.groupBy("doc_id").agg(F.min(hashes).alias("m"), F.max(hashes).alias("_last")).where("m <> _last")
+    clash = work.store(clash.select(F.col("doc_id").alias("_doc_id"), "m"), "clash")  # most often empty, and then broadcast
+    after = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("doc_id", "h1", "h2"), 2)
+    own = F.when(F.col("m").isNull() | (hashes == F.col("m")), F.col("doc_id")).otherwise(after)
+    d = d.join(clash, F.col("doc_id") == F.col("_doc_id"), "left").select(own.alias("_id"), *COLUMNS)
+    unnamed = docs.where("doc_id is null").select(*COLUMNS)
+    rows = d.unionAll(unnamed.select(F.lit(None).cast("long").alias("_id"), *COLUMNS))
+    kept = minhash.near_duplicates(rows, work, id_col="_id").where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
+    row = F.min(F.struct("source", "lang", "n_chars", "doc_id", "text")).alias("r")
+    named = d.join(kept, F.col("_id") == F.col("_kept")).groupBy("_id").agg(row)
+    return named.select(*[F.col(f"r.{c}").alias(c) for c in COLUMNS]).unionAll(unnamed)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

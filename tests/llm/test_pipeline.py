@@ -127,3 +127,14 @@ def test_masks_values_of_one_owner(spark):
     docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = {r["doc_id"]: r["text"] for r in corpus_pipeline.secret_scan(spark, docs, "").collect()}
     assert got == {i: t if i >= 30 else t[:t.index("ghp_")] + "[SECRET]" for i, t, _ in rows}
+
+
+def test_rows_with_clashing_ids_are_documents_of_their_own(spark):
+    text = lambda k: " ".join(f"{k}{j}" for j in range(60))
+    rows = [(1, text("a"), "s2"), (1, text("a"), "s1"), (1, text("b"), "s1"), (1, text("c"), "s1"), (2, text("c") + " more", "s1"),
+            (3, text("d"), "s1"), (4, text("d"), "s1"), (5, text("e"), "s1"), (None, text("f"), "s1")]
+    docs = spark.createDataFrame([(i, t, "en", s, 1) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    got = [tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()]
+    first = [(r[0], r[1].split(" ")[0][0], r[3]) for r in got]
+    assert len(got) == 6 and (1, "a", "s1") in first and (1, "b", "s1") in first
+    assert sorted(x[1] for x in first) == list("abcdef") and {x[0] for x in first if x[1] in "de"} == {3, 5}
