@@ -21,6 +21,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopframe.functions.prefix import row_numbers
+
 from .common import Work, numbered
 
 BINS = 8192
@@ -44,10 +46,12 @@ class Node:
     kids: list = field(default_factory=list)
 
 
-def prefix_value(c: Column, n_bytes: int = 6) -> Column:
-    """The first bytes of a string as a whole number in the order of the strings."""
-    h = F.rpad(F.hex(F.substring(F.coalesce(c.cast("binary"), F.lit(b"")), 1, n_bytes)), 2 * n_bytes, "0")
-    return F.conv(h, 16, 10).cast("long")
+def ranked(meta: DataFrame, c: str, work: Work) -> DataFrame:
+    """``meta`` with the dense rank from 0 of its values in ``c`` instead of the values; null comes first."""
+    ranks = row_numbers(meta.select(F.col(c).alias("_value")).distinct(), ["_value"], "_rank")
+    ranks = work.store(ranks.select("_value", (F.col("_rank") - 1).alias("_rank")), f"ranks-{c}")  # most often few, and then broadcast
+    both = meta.join(ranks, meta[c].eqNullSafe(ranks["_value"]))
+    return both.select(*[F.col("_rank").alias(c) if x == c else F.col(x) for x in meta.columns])
 
 
 def longs(values) -> Column:
@@ -170,7 +174,9 @@ def kd_shards(docs: DataFrame, work: Work, id_col: str = "doc_id", text_col: str
     text = F.coalesce(F.col(text_col), F.lit(""))
     meta = docs.select(
         F.col(id_col).alias("doc_id"), (F.octet_length(text) + overhead).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        *[(prefix_value(F.col(c)) if has[c] else F.lit(0).cast("long")).alias(c) for c in ("lang", "source")])
+        *[(F.col(c) if has[c] else F.lit(0).cast("long")).alias(c) for c in has])
+    for c in (c for c in has if has[c]):
+        meta = ranked(meta, c, work)
     tie = F.shiftrightunsigned(F.xxhash64("doc_id", "text_crc32", "size", F.lit(5)), 24)
     # every dimension carries the hash in its low bits: equal values split by it
     value = lambda c, bits: F.shiftleft(c, bits).bitwiseOR(F.shiftrightunsigned(tie, 40 - bits))

@@ -159,3 +159,10 @@ def test_empty(no_docs, work):
     assert shards.kd_shards(no_docs, work).collect() == []
     assert quality.quality(no_docs, work).collect() == []
     assert secrets.scan(no_docs, work).collect() == []
+
+
+def test_shards_tell_apart_sources_with_a_common_prefix(spark, work):
+    names = [None, "", *[f"https://host-{i}" for i in range(5)]]
+    d = spark.createDataFrame([(i, names[i % 7]) for i in range(70)], "doc_id long, source string")
+    got = shards.ranked(d, "source", work).collect()
+    assert len(got) == 70 and all(r["source"] == r["doc_id"] % 7 for r in got)
