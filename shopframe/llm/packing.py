@@ -3,9 +3,9 @@
 Documents become token ids (then one end id) and pieces of at most ``capacity``
 ids. The plan works on the histogram of piece lengths, which has at most
 ``capacity`` entries whatever the corpus: lengths are taken from the longest;
-the sums of one, two and three available lengths are indexed by value, and
-while a combination that fills the gap exactly is available it is consumed
-under its counts. What is left is packed best-fit, also by counts. The plan is a list of patterns
+one, two or three available lengths that fill the gap exactly are looked for by
+a scan of the histogram (no index of sums is kept), and while there is such a
+combination it is consumed under its counts. What is left is packed best-fit, also by counts. The plan is a list of patterns
 (lengths in a sequence, number of such sequences); pieces are numbered within
 their length in Spark and look their place up in it.
 
@@ -214,7 +214,7 @@ def _complement(have: np.ndarray, length: int, gap: int) -> tuple[int, ...] | No
         return (gap,)
     if (pair := _pair(left, gap)) is not None:
         return pair
-    # a pair-sum index over the available lengths, then a third length
+    # every third length, with a scan for the pair that fills the rest
     some = np.flatnonzero(left > 0)[::-1]
     for a in some.tolist():
         left[a] -= 1
