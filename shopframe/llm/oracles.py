@@ -119,6 +119,40 @@ comp AS (SELECT reach.a AS r, MIN(d.doc_id) AS component_id FROM reach JOIN d ON
 SELECT d.doc_id, COALESCE(size.n, 0) AS n_shingles, comp.component_id, d.doc_id IS NOT DISTINCT FROM comp.component_id AS kept
 FROM d JOIN comp USING (r) LEFT JOIN size USING (r)"""
 
+PHRASES = f"""
+WITH piece AS (SELECT lang, regexp_extract_all(x, '[^\\x20\\x09]+') AS w FROM (
+  SELECT COALESCE(lang, 'und') AS lang, unnest(regexp_split_to_array({LOW.format("COALESCE(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS x FROM documents)),
+total AS (SELECT lang, SUM(len(w)) AS n FROM piece GROUP BY lang),
+f AS (SELECT lang, k, g, COUNT(*) AS a FROM (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g FROM piece, range(1, 6) x(k)) GROUP BY ALL HAVING COUNT(*) >= 100),
+c AS (SELECT *, string_split(g, ' ') AS w FROM f WHERE k > 1),
+cut AS (SELECT lang, g, a, w, unnest(range(1, k)) AS h FROM c),
+scored AS (SELECT cut.lang, cut.g, cut.a, h, l.a AS l, r.a AS r, (1000::HUGEINT * cut.a * total.n) // (l.a::HUGEINT * r.a) AS score FROM cut JOIN total USING (lang)
+  JOIN f l ON l.lang = cut.lang AND l.g = array_to_string(cut.w[1:h], ' ') JOIN f r ON r.lang = cut.lang AND r.g = array_to_string(cut.w[h + 1:], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, h) = 1),
+absorbed AS (SELECT DISTINCT c.lang, c.g FROM c JOIN c b ON b.lang = c.lang AND b.k > c.k AND 100 * b.a >= 100 * c.a AND contains(' ' || b.g || ' ', ' ' || c.g || ' ')),
+ranked AS (SELECT best.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(g)) AS rank FROM best ANTI JOIN absorbed USING (lang, g))
+SELECT lang, rank, g AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+
+RUNS = f"""
+WITH tab AS (SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+id AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+h AS (SELECT r, doc_id, w, len(w) AS n, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM id, tab),
+p AS (SELECT r, doc_id, w, n, h % 10 = 0 AS planted, (h // 10) % GREATEST(n, 1) AS a, 1 + (n - (h // 10) % GREATEST(n, 1)) // (3 + (h // 10) % 8) AS p FROM h),
+d AS (SELECT r, doc_id, n, CASE WHEN planted AND n > 0 THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END]) ELSE w END AS w FROM p),
+word AS (SELECT r, n, unnest(range(n)) AS i, unnest(w) AS x FROM d),
+same AS (SELECT x.r, y.i - x.i AS q, x.i FROM word x JOIN word y ON x.r = y.r AND x.x = y.x AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+-- consecutive words that equal the word q later
+stretch AS (SELECT r, q, MIN(i) AS s, COUNT(*) + q AS len FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM same) GROUP BY r, q, island HAVING COUNT(*) + q >= GREATEST(6, 4 * q)),
+run AS (SELECT r, s, len, MIN(q) AS q FROM stretch GROUP BY r, s, len),
+gone AS (SELECT DISTINCT r, unnest(range(s + q, s + len)) AS i FROM run),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (r, i) GROUP BY r),
+longest AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY r ORDER BY len DESC, s, q) = 1),
+listed AS (SELECT r, COUNT(*) AS n, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM run GROUP BY r)
+SELECT doc_id, COALESCE(listed.n, 0) AS n_runs, s AS "start", len AS "length", longest.q AS "period", 1000 * len // longest.q AS exponent_milli,
+       sha256(COALESCE(listed.t, '')) AS runs_sha256, sha256(COALESCE(kept.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed USING (r) LEFT JOIN kept USING (r) LEFT JOIN longest USING (r)"""
+
 ORACLES = {
     "op2_fm_index": repeated_words(),
     "op3_mixing": MIX,
@@ -127,4 +161,6 @@ ORACLES = {
     "op8_secret_scan": SECRETS,
     "op9_embedding_forest": VECTORS,
     "op10_superminhash": NEAR,
+    "op11_collocations": PHRASES,
+    "op13_periodic_runs": RUNS,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, fmindex, lm, minhash, mixture, packing, quality, secrets, shards, suffixes
+from . import bpecount, embeddings, fmindex, lm, minhash, mixture, packing, periodic, phrases, quality, secrets, shards, suffixes
 from .common import Work, read
 from .oracles import ORACLES  # noqa: F401
 
@@ -68,6 +68,21 @@ def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), Work(spark, "op10")).drop("cls")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.top_phrases(phrases.collocations(read(spark, sf_dir, "documents"), Work(spark, "op11")))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_path()) as f:
+        vocabulary = bpecount.Vocabulary.read(f.read())
+    n = bpecount.count_tokens(read(spark, sf_dir, "documents"), vocabulary)
+    return n.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.periodic_runs(read(spark, sf_dir, "documents"), reorder=periodic.planted_order))
+
+
 QUERIES = {
     "op1_kneser_ney": op1_kneser_ney,
     "op2_fm_index": op2_fm_index,
@@ -79,5 +94,8 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_embedding_forest": op9_embedding_forest,
     "op10_superminhash": op10_superminhash,
+    "op11_collocations": op11_collocations,
+    "op12_token_counts": op12_token_counts,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
