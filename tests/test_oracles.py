@@ -9,7 +9,8 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events labels".split()
-FAST = [n for n in E.oracle_sql() if not n.startswith(("rules_vip", "rules_recommend", "rules_app", "pred_"))] + [
+# the optional training-data operators have tests of their own
+FAST = [n for n in E.oracle_sql() if n not in E.LLM_ORACLES and not n.startswith(("rules_vip", "rules_recommend", "rules_app", "pred_"))] + [
     "rules_app_per_cluster", "pred_auc_first_order_size", "pred_classification_report"]
 
 
