@@ -56,6 +56,8 @@ SLACK = 4
 PART_MASS, MIN_PARTS = 1 << 24, 64
 #: the bitmap of survivors: bits for each, and the most bits of all
 BITS_EACH, MAX_BITS = 16, 27
+#: languages whose totals are broadcast
+MAX_BROADCAST = 10_000
 #: distinct entries that a task gathers, bytes of a block of texts
 GATHER, BLOCK_BYTES = 1 << 21, 1 << 21
 UNKNOWN = "und"
@@ -341,8 +343,7 @@ def best_cuts(candidates: DataFrame, counts: DataFrame, totals: DataFrame, absor
     cut = cut.select("lang", "phrase", "size", "a", "x.*")
     left = counts.select("lang", F.col("phrase").alias("first"), F.col("a").alias("l"))
     right = counts.select("lang", F.col("phrase").alias("rest"), F.col("a").alias("r"))
-    # languages are few: their totals are one row each
-    scored = (cut.join(left, ["lang", "first"]).join(right, ["lang", "rest"]).join(totals, "lang")
+    scored = (with_totals(cut.join(left, ["lang", "first"]).join(right, ["lang", "rest"]), totals)
               .withColumn("score", F.expr("(CAST(1000 AS DECIMAL(4,0)) * CAST(a AS DECIMAL(17,0)) * CAST(n AS DECIMAL(17,0))) div (CAST(l AS DECIMAL(18,0)) * CAST(r AS DECIMAL(18,0)))")))
     best = scored.groupBy("lang", "phrase", "size", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("m"))
     inner = candidates.where("size > 2").select("lang", "a", F.explode(F.expr("""
@@ -352,6 +353,18 @@ def best_cuts(candidates: DataFrame, counts: DataFrame, totals: DataFrame, absor
     return kept.select("lang", "phrase", "size", "a", F.col("m.l").alias("l"), F.col("m.r").alias("r"), "n", F.col("m.score").alias("score"))
 
 
+def with_totals(cut: DataFrame, totals: DataFrame, limit: int = MAX_BROADCAST, salts: int = 64) -> DataFrame:
+    """Adds the language's number of words.
+
+    Up to ``limit`` languages are broadcast, more are joined; a language's cuts
+    are then dealt over ``salts`` tasks.
+    """
+    if totals.limit(limit + 1).count() <= limit:
+        return cut.join(F.broadcast(totals), "lang")
+    many = totals.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return cut.withColumn("_s", F.pmod(F.hash("phrase"), F.lit(salts))).join(many, ["lang", "_s"]).drop("_s")
+
+
 def top_phrases(found: DataFrame, limit: int = 2000, salts: int = 64) -> DataFrame:
     """The first ``limit`` phrases of each language with their rank.
 
