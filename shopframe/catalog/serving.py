@@ -192,6 +192,44 @@ SELECT * FROM fashion_customers WHERE customer_id NOT IN (SELECT customer_id FRO
 UNION ALL SELECT * FROM u""", [_ACT_LAST, _ACT_FIRST, _U]))(
     lambda t: sinks.upsert(V(t, "fashion_customers"), _updates(t), "customer_id"))
 
+# three versions of every fourth customer in one batch: the last by revision wins, "fill" keeps what is not null
+_REV = ("rev", """SELECT c.customer_id, CASE WHEN r = 2 THEN NULL ELSE age + r END AS age, 'rev ' || r AS club_member_status,
+  CASE WHEN r = 1 THEN 'Weekly' END AS fashion_news_frequency, CAST(NULL AS VARCHAR) AS postal_code, r AS revision
+  FROM fashion_customers c, (VALUES (0), (1), (2)) x(r) WHERE customer_id % 4 = 0""")
+
+
+def _revisions(t):
+    r = F.col("revision")
+    return V(t, "fashion_customers").filter("customer_id % 4 = 0").withColumn("revision", F.explode(F.array(*[F.lit(i) for i in range(3)]))).select(
+        "customer_id", F.when(r != 2, F.col("age") + r).alias("age"), F.concat(F.lit("rev "), r.cast("string")).alias("club_member_status"),
+        F.when(r == 1, F.lit("Weekly")).alias("fashion_news_frequency"), F.lit(None).cast("string").alias("postal_code"), "revision")
+
+
+def _keyed(t, mode):
+    """The customers in 64 buckets, updated twice: by the revisions, then by the activity of the newest day."""
+    from shopframe.sources.keyed import KeyedTable
+    c = V(t, "fashion_customers")
+    table = KeyedTable.create(c, f"{checkpoint_dir(t.spark)}/keyed-{uuid.uuid4().hex}", "customer_id", 64)
+    table.upsert(_revisions(t), ["revision"], mode)
+    table.upsert(_updates(t), mode=mode)
+    return table.read()
+
+
+register("sink_keyed_replace", W(FASH, """
+SELECT * FROM u UNION ALL
+SELECT customer_id, age, club_member_status, fashion_news_frequency, postal_code FROM rev WHERE revision = 2 AND customer_id NOT IN (SELECT customer_id FROM u)
+UNION ALL SELECT * FROM fashion_customers WHERE customer_id % 4 <> 0 AND customer_id NOT IN (SELECT customer_id FROM u)""",
+                               [_ACT_LAST, _ACT_FIRST, _U, _REV]))(lambda t: _keyed(t, "replace"))
+
+register("ingest_keyed_fill", W(FASH, """
+SELECT COALESCE(t.customer_id, u.customer_id) AS customer_id, COALESCE(u.age, r1.age, t.age) AS age,
+       COALESCE(u.club_member_status, r2.club_member_status, t.club_member_status) AS club_member_status,
+       COALESCE(u.fashion_news_frequency, r1.fashion_news_frequency, t.fashion_news_frequency) AS fashion_news_frequency,
+       COALESCE(u.postal_code, t.postal_code) AS postal_code
+FROM fashion_customers t LEFT JOIN rev r1 ON r1.customer_id = t.customer_id AND r1.revision = 1
+LEFT JOIN rev r2 ON r2.customer_id = t.customer_id AND r2.revision = 2 FULL OUTER JOIN u ON t.customer_id = u.customer_id""",
+                              [_ACT_LAST, _ACT_FIRST, _U, _REV]))(lambda t: _keyed(t, "fill"))
+
 register("sink_insert_statements", """
 SELECT CAST(FLOOR((rn - 1) / 100) AS BIGINT) AS batch_id,
        'INSERT INTO customer (c_custkey, c_name, c_mktsegment) VALUES' || chr(10) ||

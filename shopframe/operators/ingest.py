@@ -7,19 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopframe.sources.keyed import latest_fields
+
 #: limit of the request form of ingest; streams and files have none
 MAX_REQUEST_ROWS = 10_000
 REPORT_IDS = 20
 
 
 def upsert_customers(target: DataFrame, updates: DataFrame, key: str = "customer_id",
-                     fields: Sequence[str] | None = None) -> DataFrame:
-    """New customers are inserted; known ones take only the non-null fields of the update."""
+                     fields: Sequence[str] | None = None, order: Sequence[str] = ()) -> DataFrame:
+    """New customers are inserted; known ones take only the non-null fields of the update.
+
+    Several updates of a customer count as if they came one after another in
+    ``order`` (ties: the greater value); a customer stays one row. Updates
+    without a key are left out, as they name nobody. ``KeyedTable.upsert`` with
+    ``mode="fill"`` does the same to a stored table, bucket by bucket.
+    """
     fields = list(fields or [c for c in target.columns if c != key])
-    u = updates.select(key, *[F.col(c).alias(f"_new_{c}") for c in fields if c in updates.columns])
+    given = [c for c in fields if c in updates.columns]
+    by = [c for c in order if c not in given]
+    u = latest_fields(updates.where(F.col(key).isNotNull()).select(key, *given, *by), key, by)
+    u = u.select(key, *[F.col(c).alias(f"_new_{c}") for c in given])
     j = target.join(u, key, "full_outer")
-    cols = [F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in updates.columns else F.col(c) for c in fields]
-    return j.select(key, *cols)
+    return j.select(key, *[F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in given else F.col(c) for c in fields])
 
 
 def _smallest(df: DataFrame, col: str, n: int) -> DataFrame:

@@ -57,17 +57,23 @@ def read_current(spark: SparkSession, base: str, schema=None) -> DataFrame | Non
     return r.parquet(f"{base}/v={vs[-1]}")
 
 
-def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str] | str) -> DataFrame:
-    """Rows of ``updates`` replace rows of ``target`` with the same key; others are kept."""
+def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str] | str, order: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``updates`` replace rows of ``target`` with the same key; others are kept.
+
+    The last of several updates of a key wins by ``order`` (ties: the greater
+    row). A null key is a key like any other.
+    """
+    from shopframe.sources.keyed import latest, same_key
     keys = [key] if isinstance(key, str) else list(key)
-    kept = target.join(updates.select(*keys), keys, "left_anti")
-    return kept.unionByName(updates.select(*target.columns))
+    u = latest(updates, keys, order).select(*target.columns)
+    return target.join(u, same_key(target, u, keys), "left_anti").unionByName(u)
 
 
-def upsert_table(spark: SparkSession, base: str, updates: DataFrame, key) -> int:
-    """S6 persisted: current version + updates -> new version (atomic switch)."""
+def upsert_table(spark: SparkSession, base: str, updates: DataFrame, key, order: Sequence[str] = ()) -> int:
+    """S6 persisted as whole versions, for small tables; ``keyed.KeyedTable`` rewrites touched buckets only."""
+    from shopframe.sources.keyed import latest
     cur = read_current(spark, base)
-    return replace_table(updates if cur is None else upsert(cur, updates, key), base)
+    return replace_table(latest(updates, key, order) if cur is None else upsert(cur, updates, key, order), base)
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
