@@ -168,7 +168,7 @@ def _c13(t):
 @register("cluster_behaviour_segments")
 def _c13b(t):
     from shopframe.operators.features import RFM9
-    r9 = f.rfm_behaviour_9(V(t, "order_items"), V(t, "shop_events"), "2024-02-01 00:00:00")
+    r9 = f.rfm_behaviour_9(V(t, "order_items"), V(t, "shop_sessions"), "2024-02-01 00:00:00")
     seg = c.segments(r9, RFM9, 4, 42, "monetary", ["Dormant", "Occasional", "Promising", "VIP"])
     return f.minmax_profile(seg, "segment", RFM9)
 

@@ -171,7 +171,7 @@ def _p16(t):
 @register("pred_tree_rules_repeat")
 def _p4(t):
     from pyspark.ml.classification import DecisionTreeClassifier
-    ds = f.repeat_dataset(V(t, "order_items"), V(t, "products"), V(t, "shop_events"), V(t, "users"))
+    ds = f.repeat_dataset(V(t, "order_items"), V(t, "products"), V(t, "shop_sessions"), V(t, "users"))
     pipe = p.tabular_pipeline(["first_order_value", "first_order_num_items", "first_order_num_categories",
                                "first_session_depth", "first_session_products_viewed", "first_session_carted",
                                "first_session_purchased", "age"],
@@ -241,9 +241,9 @@ def _p8_returns(t):
 def _p8_lookalike(t):
     from pyspark.ml.classification import RandomForestClassifier
     from shopframe.operators import clustering as cl
-    r9 = f.rfm_behaviour_9_fixed(V(t, "order_items"), V(t, "shop_events")).dropna()
+    r9 = f.rfm_behaviour_9_fixed(V(t, "order_items"), V(t, "shop_sessions")).dropna()
     seg = cl.segments(r9, f.RFM9, 4, 42, "monetary", ["Dormant", "Occasional", "Promising", "VIP"])
-    ds = f.lookalike_dataset(V(t, "order_items"), V(t, "products"), V(t, "shop_events"), V(t, "users"),
+    ds = f.lookalike_dataset(V(t, "order_items"), V(t, "products"), V(t, "shop_sessions"), V(t, "users"),
                              seg.select("user_id", "is_vip"))
     ds = f.impute(ds, median_cols=["age"], text_cols=["gender", "country", "first_traffic_source"])
     ds = p.balanced_weights(ds, "is_vip")
@@ -266,7 +266,7 @@ def _p8_vip(t):
     vip = f.vip_by_percentile(oi).select("user_id", F.lit(1).alias("v"))
     labels = oi.select("user_id").distinct().join(vip, "user_id", "left") \
         .select("user_id", F.coalesce("v", F.lit(0)).alias("is_vip"))
-    ds = f.vip_dataset(oi, V(t, "products"), V(t, "shop_events"), V(t, "users"), labels)
+    ds = f.vip_dataset(oi, V(t, "products"), V(t, "shop_sessions"), V(t, "users"), labels)
     ds = f.impute(ds, median_cols=["age"], text_cols=["gender", "country", "traffic_source", "first_order_department"])
     split = materialize(p.stratified_split(p.balanced_weights(ds, "is_vip"), "is_vip", "user_id"))
     num = ["first_order_num_items", "first_order_num_categories", "first_session_depth",

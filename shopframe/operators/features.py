@@ -19,6 +19,7 @@ from shopframe.functions.baskets import first_by, item_sets
 from shopframe.functions.exprs import days_between, draw, exact_sum, rnd
 from shopframe.functions.prefix import row_numbers
 from shopframe.functions.quantile import quantiles
+from shopframe.plans.sessions import as_sessions
 from shopframe.session import materialize
 
 STYLE_GROUPS = {"pct_ladieswear": "Ladieswear", "pct_divided": "Divided", "pct_menswear": "Menswear",
@@ -183,11 +184,9 @@ def rfm(oi: DataFrame, ref_date) -> DataFrame:
 
 def session_stats(ev: DataFrame) -> DataFrame:
     """per (user, session): depth, purchase / cart flags, product views."""
-    return ev.filter(F.col("user_id").isNotNull()).groupBy("user_id", "session_id").agg(
-        F.max("sequence_number").alias("session_depth"),
-        F.max(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).alias("has_purchase"),
-        F.max(F.when(F.col("event_type") == "cart", 1).otherwise(0)).alias("has_cart"),
-        F.count_if(F.col("event_type") == "product").alias("products_viewed"))
+    return as_sessions(ev).filter(F.col("user_id").isNotNull()).select(
+        "user_id", "session_id", F.col("depth").alias("session_depth"), (F.col("n_purchase") > 0).cast("int").alias("has_purchase"),
+        (F.col("n_cart") > 0).cast("int").alias("has_cart"), F.col("n_product").alias("products_viewed"))
 
 
 def user_behaviour(sessions: DataFrame) -> DataFrame:
@@ -274,17 +273,14 @@ def first_order_features(oi: DataFrame, p: DataFrame, by_item: bool = False) ->
 
 def first_session_features(ev: DataFrame, full: bool = True) -> DataFrame:
     """the user's first session (earliest start): depth, views, cart, purchase, traffic source."""
-    e = ev.filter(F.col("user_id").isNotNull())
-    starts = e.groupBy("user_id", "session_id").agg(F.min("created_at").alias("start_time"))
-    fs = first_by(starts, "user_id", ["start_time", "session_id"], []).select("user_id", "session_id")
-    j = e.join(fs, ["user_id", "session_id"])
-    aggs = [F.max("sequence_number").alias("first_session_depth"),
-            F.count_if(F.col("event_type") == "product").alias("first_session_products_viewed")]
+    values = ["depth", "n_product"] + (["n_cart", "n_purchase", "traffic_source"] if full else [])
+    s = first_by(as_sessions(ev).filter(F.col("user_id").isNotNull()), "user_id", ["session_start", "session_id"], values)
+    cols = [F.col("depth").alias("first_session_depth"), F.col("n_product").alias("first_session_products_viewed")]
     if full:
-        aggs += [F.max(F.when(F.col("event_type") == "cart", 1).otherwise(0)).alias("first_session_carted"),
-                 F.max(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).alias("first_session_purchased"),
-                 F.min("traffic_source").alias("first_traffic_source")]
-    return j.groupBy("user_id").agg(*aggs)
+        cols += [(F.col("n_cart") > 0).cast("int").alias("first_session_carted"),
+                 (F.col("n_purchase") > 0).cast("int").alias("first_session_purchased"),
+                 F.col("traffic_source").alias("first_traffic_source")]
+    return s.select("user_id", *cols)
 
 
 def repeat_buyer_label(oi: DataFrame) -> DataFrame:

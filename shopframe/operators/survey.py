@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shopframe.functions.baskets import first_by, item_sets, pair_counts, patterns
 from shopframe.functions.exprs import bucket, days_between, exact_sum, rate, rnd, share
 from shopframe.functions.quantile import quantiles
+from shopframe.plans.sessions import as_sessions
 
 # ---------------------------------------------------------------- fixed values
 # Report labels that must read exactly as in the reports, in band order.
@@ -103,9 +104,7 @@ def processing_time_buckets(oi):
 
 
 def session_length_vs_purchase(ev):
-    s = ev.groupBy("session_id").agg(
-        _n().alias("total_events"),
-        F.max(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).alias("has_purchase"))
+    s = as_sessions(ev).select(F.col("n_events").alias("total_events"), (F.col("n_purchase") > 0).cast("int").alias("has_purchase"))
     te = F.col("total_events")
     e = EVENT_COUNT_LABELS
     b = F.when(te == 1, e[0]).when(te.between(2, 5), e[1]).when(te.between(6, 10), e[2]).otherwise(e[3])
@@ -320,7 +319,7 @@ def return_rate_by_age_band(oi, u):
 
 
 def session_depth_bands(ev):
-    s = ev.filter(F.col("user_id").isNotNull()).groupBy("session_id").agg(F.max("sequence_number").alias("m"))
+    s = as_sessions(ev).filter(F.col("user_id").isNotNull()).select(F.col("depth").alias("m"))
     b = bucket("m", [5, 10, 20, 50], DEPTH_LABELS, right_open=False)
     return distribution(s, "m", b.alias("depth_range"), n="num_sessions")
 
@@ -420,8 +419,7 @@ def uri_segment_counts(ev, top: int = 20):
 
 
 def products_viewed_per_session(ev):
-    s = ev.filter(F.col("user_id").isNotNull()).groupBy("session_id").agg(
-        F.count_if(F.col("event_type") == "product").alias("pb"))
+    s = as_sessions(ev).filter(F.col("user_id").isNotNull()).select(F.col("n_product").alias("pb"))
     pb = F.col("pb")
     lab = F.when(pb == 1, "1").when(pb == 2, "2").when(pb == 3, "3").when(pb >= 4, "4+")
     return distribution(s, "pb", lab.alias("products_per_session"), n="num_sessions")
@@ -526,12 +524,9 @@ def conversion_by_category(ev, oi, p, min_views: int = 100):
 
 def anonymous_sessions(ev):
     """Per anonymous session: viewed product (max of the uri text), cancelled, carted."""
-    e = ev.filter(F.col("user_id").isNull())
-    prod = F.max(F.when(F.col("event_type") == "product", F.split_part(F.col("uri"), F.lit("/"), F.lit(3))))
-    return e.groupBy("session_id").agg(
-        prod.try_cast("long").alias("product_id"),
-        F.max(F.when(F.col("event_type") == "cancel", 1).otherwise(0)).alias("is_cancelled"),
-        F.max(F.when(F.col("event_type") == "cart", 1).otherwise(0)).alias("added_to_cart"))
+    return as_sessions(ev).filter(F.col("user_id").isNull()).select(
+        "session_id", F.col("product_text").try_cast("long").alias("product_id"),
+        (F.col("n_cancel") > 0).cast("int").alias("is_cancelled"), (F.col("n_cart") > 0).cast("int").alias("added_to_cart"))
 
 
 def abandonment_by_category(ev, p):

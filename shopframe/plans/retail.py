@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopframe.functions.exprs import epoch_us
+from shopframe.plans.sessions import session_summaries, session_values
 
 INDEX_GROUPS = {"ECONOMY": "Ladieswear", "SMALL": "Divided", "MEDIUM": "Menswear",
                 "LARGE": "Baby/Children", "PROMO": "Sport", "STANDARD": "Other"}
@@ -191,12 +192,47 @@ def sessionize(ev: DataFrame, user: str = "uid", ts: str = "ts", tie: str = "eve
     return e.drop("_b", "_lag", "_prev_bmax", "_is_start", "_run_start", "_carry", "_before")
 
 
-def shop_events(t) -> DataFrame:
-    """Click-stream with sessions, sequence numbers, uris and anonymous users."""
-    ev = t["events"].select(
+def _raw_events(t) -> DataFrame:
+    return t["events"].select(
         "event_id", "ts", F.col("user_id").alias("uid"), F.col("event_type").alias("raw_type"),
         F.nullif(F.regexp_extract("props", r'"k": *([0-9]+)', 1), F.lit("")).cast("long").alias("k"))
-    s = sessionize(ev)
+
+
+def _visitor_session(s: DataFrame, *cols) -> DataFrame:
+    return s.select(
+        F.when(F.col("uid") % 5 == 0, F.lit(None).cast("long")).otherwise(F.col("uid")).alias("user_id"),
+        F.col("uid").alias("visitor_id"),
+        F.concat_ws("-", F.col("uid").cast("string"), epoch_us("session_start").cast("string")).alias("session_id"),
+        "session_start", *cols)
+
+
+def _traffic():
+    traffic = None
+    for i, name in enumerate(TRAFFIC):
+        cond = F.col("uid") % 7 == i
+        traffic = F.when(cond, name) if traffic is None else traffic.when(cond, name)
+    return traffic
+
+
+def shop_sessions(t) -> DataFrame:
+    """One row per session of ``shop_events``, from mergeable summaries (``plans.sessions``)."""
+    s = session_summaries(
+        _raw_events(t), "uid", "ts", SESSION_GAP_US,
+        sums={f"n_{kind}": F.when(F.col("raw_type") == raw, 1).otherwise(0) for raw, kind in EVENT_TYPES.items()},
+        maxes={"product_text": F.when(F.col("raw_type") == "view", F.col("k").cast("string"))})
+    return _visitor_session(s, "session_end", "n_events", F.col("n_events").cast("int").alias("depth"),
+                            *[f"n_{kind}" for kind in EVENT_TYPES.values()], "product_text", _traffic().alias("traffic_source"))
+
+
+def shop_session_products(t) -> DataFrame:
+    """The distinct product uris that each session views."""
+    s = session_values(_raw_events(t), "uid", "ts", SESSION_GAP_US, F.col("k"), F.col("raw_type") == "view")
+    return _visitor_session(s, F.lit("product").alias("event_type"), F.concat(F.lit("/product/"), F.col("value").cast("string")).alias("uri"))
+
+
+def shop_events(t) -> DataFrame:
+    """Click-stream with sessions, sequence numbers, uris and anonymous users."""
+    s = sessionize(_raw_events(t))
     k = F.col("k").cast("string")
     uri = (F.when(F.col("raw_type") == "view", F.concat(F.lit("/product/"), k))
            .when(F.col("raw_type") == "signup", F.concat(
@@ -204,10 +240,6 @@ def shop_events(t) -> DataFrame:
                F.lit("/category/Brand#"), (F.col("k") % 25 + 1).cast("string")))
            .when(F.col("raw_type") == "click", "/cart")
            .when(F.col("raw_type") == "purchase", "/purchase").otherwise("/cancel"))
-    traffic = None
-    for i, name in enumerate(TRAFFIC):
-        cond = F.col("uid") % 7 == i
-        traffic = F.when(cond, name) if traffic is None else traffic.when(cond, name)
     return s.select(
         "event_id",
         F.when(F.col("uid") % 5 == 0, F.lit(None).cast("long")).otherwise(F.col("uid")).alias("user_id"),
@@ -216,7 +248,7 @@ def shop_events(t) -> DataFrame:
                     epoch_us("session_start").cast("string")).alias("session_id"),
         "sequence_number",
         _case("raw_type", EVENT_TYPES).alias("event_type"),
-        uri.alias("uri"), traffic.alias("traffic_source"), F.col("ts").alias("created_at"))
+        uri.alias("uri"), _traffic().alias("traffic_source"), F.col("ts").alias("created_at"))
 
 
 # ---------------------------------------------------------------- operations log
