@@ -4,12 +4,15 @@ Mining runs for every segment (cluster, department, tier, ...) in one plan:
 the segment columns ``by`` are carried as grouping keys, never looped over
 on the driver.
 
-Itemsets up to three items use a level-wise count over *distinct basket
-patterns* (identical baskets are counted once with a weight), restricted at
-each level to the items that survived the previous one. Longer itemsets use
-Spark ML FP-Growth (parallel FP-growth) with segment-prefixed items, so all
-segments share one run. Rules take any split of an itemset into antecedent
-and consequent (multi-item consequents), unlike ``FPGrowthModel.associationRules``.
+Itemsets up to three items (or any length with ``method="bitmap"``) use a
+level-wise count over *distinct basket patterns* (identical baskets are counted
+once with a weight) turned into vertical bitmaps (``functions.itemsets``): no
+pair or triple of a basket is listed. Longer itemsets use Spark ML FP-Growth
+(parallel FP-growth) with segment-prefixed items, so all segments share one
+run. Rules take any split of an itemset into antecedent and consequent
+(multi-item consequents), unlike ``FPGrowthModel.associationRules``; the
+consequents are grown item by item. A null segment is a segment of its own
+throughout.
 """
 
 from __future__ import annotations
@@ -22,19 +25,26 @@ from pyspark.sql import functions as F
 
 from shopframe.functions.baskets import item_sets, patterns, pair_array
 from shopframe.functions.exprs import rnd
+from shopframe.functions.itemsets import groups_of, support_counts
 from shopframe.session import materialize
 
 RULE_COLS = ["antecedent", "consequent", "antecedent_support", "consequent_support", "support",
              "confidence", "lift", "leverage", "conviction"]
 
 
-def _join_by(a: DataFrame, b: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
-    """Joins on the segment columns; a null segment is a segment of its own."""
-    if not by:
+def _join_by(a: DataFrame, b: DataFrame, by: Sequence[str], how: str = "inner", on: Sequence[str] = ()) -> DataFrame:
+    """Joins on the segment columns (a null segment is a segment of its own) and on the columns ``on``."""
+    if not by and not on:
         return a.crossJoin(b) if how == "inner" else a.join(b, how=how)
-    names = {c: f"_by_{c}" for c in by}
+    names = {c: f"_by_{c}" for c in (*by, *on)}
     other = b.select(*[F.col(c).alias(names.get(c, c)) for c in b.columns])
-    return a.join(other, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()], how).drop(*names.values())
+    same = [F.col(c).eqNullSafe(F.col(names[c])) for c in by] + [F.col(c) == F.col(names[c]) for c in on]
+    return a.join(other, same, how).drop(*names.values())
+
+
+def _checked(df: DataFrame, limit: int = 100_000) -> DataFrame:
+    """A stored frame, broadcast if it has at most ``limit`` rows; otherwise it is joined by a shuffle."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
 def basket_counts(sets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -42,53 +52,39 @@ def basket_counts(sets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return sets.groupBy(*by).agg(F.count(F.lit(1)).alias("n_baskets"))
 
 
-def _triples(items: str = "items") -> Column:
-    return F.expr(
-        f"flatten(transform(sequence(1, size({items}) - 2), i -> flatten(transform(sequence(i + 1, size({items}) - 1),"
-        f" j -> transform(slice({items}, j + 1, size({items}) - j), c -> array({items}[i - 1], {items}[j - 1], c))))))")
-
-
 def frequent_itemsets(sets: DataFrame, min_support: float, max_len: int | None = 3,
                       by: Sequence[str] = (), items: str = "items", method: str = "auto") -> DataFrame:
     """A1: all itemsets with support >= ``min_support`` per segment.
 
     ``sets`` has one row per basket with a sorted distinct ``items`` array.
     Output: ``by..., items, count, support`` (support base = baskets of the segment).
+    ``method``: ``auto`` counts up to three items by bitmaps and longer sets by
+    FP-Growth, ``bitmap`` and ``fpgrowth`` choose one for any length.
     """
     if method == "fpgrowth" or (method == "auto" and (max_len is None or max_len > 3)):
         return materialize(_fpgrowth_itemsets(sets, min_support, max_len, by, items))
     # distinct patterns and per-level results are stored: each level reads a
     # small table instead of re-planning the baskets (bounded by distinct patterns)
-    pats = materialize(patterns(sets, items, by))
-    # per-segment summaries have one row per segment: broadcast, so a segment
-    # holding most baskets is never a single shuffle partition
-    n = F.broadcast(pats.groupBy(*by).agg(F.sum("weight").alias("n_baskets")))
+    pats = materialize(patterns(sets.select(*by, F.col(items).alias("items")), "items", by))
+    segments = _checked(materialize(pats.groupBy(*by).agg(*groups_of(pats))))
+    dealt = _join_by(pats, segments, by).withColumn("_salt", F.pmod(F.xxhash64("items"), F.col("_groups")).cast("int"))
 
     def keep(df):
-        df = _join_by(df, n, by).withColumn("support", F.col("count") / F.col("n_baskets"))
-        return df.filter(F.col("support") >= min_support).drop("n_baskets")
-
-    l1 = keep(pats.select(*by, F.explode(items).alias("item"), "weight")
-              .groupBy(*by, "item").agg(F.sum("weight").alias("count")))
-    out = l1.select(*by, F.array("item").alias("items"), "count", "support")
-    if max_len == 1:
-        return materialize(out)
-    # patterns restricted to frequent items (the vocabulary per segment is small)
-    vocab = F.broadcast(l1.groupBy(*by).agg(F.collect_set("item").alias("_v")))
-    fp = _join_by(pats, vocab, by).select(*by, F.array_intersect(items, "_v").alias("items"), "weight") \
-        .filter(F.size("items") >= 2).groupBy(*by, "items").agg(F.sum("weight").alias("weight"))
-    l2 = keep(fp.select(*by, F.explode(pair_array("items")).alias("p"), "weight")
-              .groupBy(*by, F.array(F.col("p.a"), F.col("p.b")).alias("items")).agg(F.sum("weight").alias("count")))
-    out = out.unionByName(l2.select(*by, "items", "count", "support"))
-    if max_len == 2:
-        return materialize(out)
-    vocab2 = F.broadcast(l2.select(*by, F.explode("items").alias("item")).groupBy(*by)
-                         .agg(F.collect_set("item").alias("_v")))
-    fp3 = _join_by(fp, vocab2, by).select(*by, F.array_intersect(items, "_v").alias("items"), "weight") \
-        .filter(F.size("items") >= 3)
-    l3 = keep(fp3.select(*by, F.explode(_triples()).alias("items"), "weight")
-              .groupBy(*by, "items").agg(F.sum("weight").alias("count")))
-    return materialize(out.unionByName(l3.select(*by, "items", "count", "support")))
+        df = _join_by(df, segments, by).withColumn("support", F.col("count") / F.col("n_baskets"))
+        return df.filter(F.col("support") >= min_support).select(*by, "items", "count", "support")
+
+    out = found = materialize(keep(pats.select(*by, F.explode("items").alias("item"), "weight")
+                                   .groupBy(*by, F.array("item").alias("items")).agg(F.sum("weight").alias("count"))))
+    level = 1
+    while (max_len is None or level < max_len) and not found.isEmpty():
+        level += 1
+        # sets of the level below that differ in their last item only
+        groups = found.groupBy(*by, F.slice("items", 1, level - 2).alias("prefix")).agg(
+            F.sort_array(F.collect_list(F.element_at("items", -1))).alias("lasts")).filter(F.size("lasts") > 1)
+        groups = _join_by(groups, segments, by).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)))
+        found = materialize(keep(support_counts(dealt, groups, by, level)))
+        out = out.unionByName(found)
+    return out
 
 
 def _fpgrowth_itemsets(sets, min_support, max_len, by, items):
@@ -148,23 +144,64 @@ def _finish_fp(fi, n, by, min_support, max_len):
     return fi.filter(F.col("support") >= min_support).select(*by, "items", "count", "support")
 
 
+def _least_confidence(metric: str, t: float) -> Column:
+    """Confidence that a rule of a set with support s needs, whatever its consequent, to reach ``metric >= t``.
+
+    A consequent is at least as frequent as the whole set, so a metric that also
+    depends on the consequent's support is bounded by the set's. Growing a
+    consequent lowers the confidence: below this bound no larger one can pass.
+    """
+    s = F.col("support")
+    if metric == "confidence":
+        return F.lit(float(t))
+    if metric == "lift":
+        return s * t
+    if metric == "conviction" and t > 0:
+        return 1 - (1 - s) / t
+    if metric == "leverage":
+        return F.when(s > t, s * s / (s - t)).otherwise(F.lit(2.0))
+    return F.lit(0.0)
+
+
 def association_rules(itemsets: DataFrame, metric: str = "confidence", min_threshold: float = 0.8,
                       by: Sequence[str] = ()) -> DataFrame:
-    """A2: every split of each frequent itemset into antecedent -> consequent, with metrics.
+    """A2: the splits of each frequent itemset into antecedent -> consequent with ``metric >= min_threshold``.
 
-    Supports of both sides come from ``itemsets`` (downward closure makes them
-    present). Keeps rules with ``metric >= min_threshold``.
+    Supports of both sides come from ``itemsets``; by downward closure they are
+    there, a split with a side that is not gives no rule. Consequents grow item
+    by item: one that falls below the least confidence that any rule of its set
+    needs is not extended, nor is one without its antecedent's support. So the
+    work follows the rules that are found, not the 2^n splits of a set of n items.
     """
-    multi = itemsets.filter(F.size("items") >= 2)
-    splits = multi.select(*by, "items", "support", F.explode(F.expr(
-        "transform(sequence(1, CAST(pow(2, size(items)) AS INT) - 2),"
-        " m -> filter(items, (x, i) -> (shiftright(m, i) & 1) = 1))")).alias("antecedent"))
-    splits = splits.withColumn("consequent", F.array_except("items", "antecedent"))
     sa = itemsets.select(*by, F.col("items").alias("antecedent"), F.col("support").alias("antecedent_support"))
+    bound = _least_confidence(metric, min_threshold) - 1e-9  # the exact test follows
+
+    def held(candidates: DataFrame) -> DataFrame:
+        c = candidates.withColumn("antecedent", F.array_except("items", "consequent"))
+        c = _join_by(c, sa, by, on=["antecedent"]).withColumn("confidence", F.col("support") / F.col("antecedent_support"))
+        return c.filter(F.col("confidence") >= bound)
+
+    multi = itemsets.filter(F.size("items") >= 2).select(*by, "items", "support")
+    longest = multi.agg(F.max(F.size("items"))).first()[0] or 0
+    level = held(multi.select("*", F.explode(F.transform("items", lambda x: F.array(x))).alias("consequent")))
+    found = level
+    for size in range(2, longest):  # consequents of ``size`` items
+        if longest > 3:  # deep sets: stored, and left when no consequent can grow
+            level = materialize(level)
+            found = level if size == 2 else found
+            if level.isEmpty():
+                break
+        kept = level.filter(F.size("items") > size).groupBy(*by, "items", "support").agg(F.sort_array(F.collect_list("consequent")).alias("_k"))
+        grown = F.flatten(F.transform("_k", lambda x, i: F.transform(
+            F.filter(F.slice("_k", i + 2, F.size("_k")), lambda y: F.slice(y, 1, size - 2) == F.slice(x, 1, size - 2)),
+            lambda y: F.concat(x, F.array(F.element_at(y, -1))))))
+        level = held(kept.select(*by, "items", "support", F.explode(grown).alias("consequent")))
+        if longest > 3:
+            level = materialize(level)
+        found = found.unionByName(level)
     sc = itemsets.select(*by, F.col("items").alias("consequent"), F.col("support").alias("consequent_support"))
-    r = splits.join(sa, [*by, "antecedent"]).join(sc, [*by, "consequent"])
-    conf = F.col("support") / F.col("antecedent_support")
-    r = r.withColumn("confidence", conf).withColumn("lift", F.col("confidence") / F.col("consequent_support"))
+    r = _join_by(found, sc, by, on=["consequent"])
+    r = r.withColumn("lift", F.col("confidence") / F.col("consequent_support"))
     r = r.withColumn("leverage", F.col("support") - F.col("antecedent_support") * F.col("consequent_support"))
     r = r.withColumn("conviction", F.try_divide(F.lit(1.0) - F.col("consequent_support"),
                                                 F.lit(1.0) - F.col("confidence")))
@@ -191,8 +228,8 @@ def top_rules(rules: DataFrame, n: int, by: Sequence[str] = (), order: Sequence[
 def _enough(sets: DataFrame, by: Sequence[str], min_baskets: int) -> DataFrame:
     if min_baskets <= 0:
         return sets
-    ok = F.broadcast(basket_counts(sets, by).filter(F.col("n_baskets") >= min_baskets).drop("n_baskets"))
-    return sets.join(ok, list(by), "left_semi") if by else \
+    ok = basket_counts(sets, by).filter(F.col("n_baskets") >= min_baskets).drop("n_baskets")
+    return _join_by(sets, _checked(materialize(ok)), by, "left_semi") if by else \
         sets.crossJoin(ok.select(F.lit(1).alias("_ok"))).drop("_ok")
 
 
@@ -278,7 +315,7 @@ def lift_matrix(sets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     both = pairs.unionByName(pairs.select(*by, F.col("b").alias("a"), F.col("a").alias("b"), "n_ab"))
     sa = single.select(*by, F.col("item").alias("a"), F.col("cnt").alias("n_a"))
     sb = single.select(*by, F.col("item").alias("b"), F.col("cnt").alias("n_b"))
-    j = _join_by(both.join(sa, [*by, "a"]).join(sb, [*by, "b"]), n, by)
+    j = _join_by(_join_by(_join_by(both, sa, by, on=["a"]), sb, by, on=["b"]), n, by)
     off = j.select(*by, "a", "b", (F.col("n_ab") * F.col("n_baskets") / (F.col("n_a") * F.col("n_b"))).alias("lift"))
     diag = single.select(*by, F.col("item").alias("a"), F.col("item").alias("b"), F.lit(1.0).alias("lift"))
     return off.unionByName(diag)
@@ -302,22 +339,32 @@ def recommend(rules: DataFrame, baskets: DataFrame, key: str = "customer_id", by
               top_k: int = 5) -> DataFrame:
     """Per basket, consequents of its segment's rules whose antecedent is inside the basket.
 
-    Rules are walked by lift (then rule text); a consequent already in the
-    basket or already recommended is skipped; the first ``top_k`` remain.
-    The join is basket x rules of the same segment: bounded by the rules kept
-    per segment (top-n), not by the data.
+    A containment join: each rule is filed under its antecedent's rarest item,
+    and a basket meets only the rules filed under its own items. Of the rules
+    that recommend an item the first by lift (then rule text) stands; a
+    consequent already in the basket is skipped; the first ``top_k`` remain.
+    Both choices are aggregates that combine map-side, the second over the few
+    items that a basket can be recommended.
     """
+    each = baskets.select(key, *by, "items", F.explode("items").alias("_item"))
     r = rules.select(*by, "antecedent", "consequent", "support", "confidence", "lift")
-    j = baskets.select(key, *by, "items").join(r, list(by))
-    j = j.filter(F.size(F.array_except("antecedent", "items")) == 0)
-    e = j.select(key, *by, "items", F.explode("consequent").alias("recommend"), "antecedent", "support",
-                 "confidence", "lift").filter(~F.array_contains("items", F.col("recommend")))
-    order = [F.desc(rnd("lift", 9)), rule_key("antecedent"), "recommend"]
-    first = e.withColumn("_r", F.row_number().over(Window.partitionBy(key, "recommend").orderBy(*order))) \
-        .filter(F.col("_r") == 1).drop("_r")
-    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
-    return ranked.filter(F.col("rank") <= top_k).select(
-        key, *by, "rank", "recommend", F.col("antecedent").alias("from_items"), "support", "confidence", "lift")
+    # how many baskets of the segment hold an item of a longer antecedent
+    inner = r.filter(F.size("antecedent") > 1).select(*by, F.explode("antecedent").alias("_item")).distinct()
+    held = _join_by(each.select(*by, "_item"), inner, by, "left_semi", on=["_item"]).groupBy(*by, "_item").agg(F.count(F.lit(1)).alias("_n"))
+    spread = r.withColumn("_item", F.explode("antecedent"))
+    filed = _join_by(spread, held, by, "left", on=["_item"]) \
+        .groupBy(*by, "antecedent", "consequent", "support", "confidence", "lift") \
+        .agg(F.min_by("_item", F.struct(F.coalesce("_n", F.lit(0)), "_item")).alias("_item"))
+    met = _join_by(each, filed, by, on=["_item"]).filter(F.size(F.array_except("antecedent", "items")) == 0)
+    e = met.select(key, *by, "items", F.explode("consequent").alias("recommend"), "antecedent", "support", "confidence", "lift") \
+        .filter(~F.array_contains("items", F.col("recommend")))
+    order = F.struct((-rnd("lift", 9)).alias("o"), rule_key("antecedent").alias("t"), F.col("recommend").alias("i"),
+                     "antecedent", "support", "confidence", "lift")
+    first = e.groupBy(key, *by, "recommend").agg(F.min(order).alias("_m"))
+    best = first.groupBy(key, *by).agg(F.slice(F.sort_array(F.collect_list("_m")), 1, top_k).alias("_b"))
+    return best.select(key, *by, F.posexplode("_b").alias("rank", "_m")).select(
+        key, *by, (F.col("rank") + 1).alias("rank"), F.col("_m.i").alias("recommend"), F.col("_m.antecedent").alias("from_items"),
+        "_m.support", "_m.confidence", "_m.lift")
 
 
 def recent_basket(tx: DataFrame, articles: DataFrame, days: int = 30) -> DataFrame:
@@ -335,9 +382,8 @@ def recent_basket(tx: DataFrame, articles: DataFrame, days: int = 30) -> DataFra
 def recommend_all(tx, articles, clusters, rules, top_k: int = 5, days: int = 30) -> DataFrame:
     """Recent basket + cluster + rules for every customer.
 
-    ``rules`` come from ``mine_app`` (at most ``top`` rules for each of the k
-    clusters), so they are broadcast: a cluster holding a third of all
-    customers is then joined without a shuffle on the cluster key.
+    A customer meets only the rules filed under the items of the own basket, so
+    a cluster that holds a third of all customers is spread over its items.
     """
     b = recent_basket(tx, articles, days).join(clusters.select("customer_id", "cluster_id"), "customer_id")
-    return recommend(F.broadcast(rules), b, "customer_id", ["cluster_id"], top_k)
+    return recommend(rules, b, "customer_id", ["cluster_id"], top_k)
