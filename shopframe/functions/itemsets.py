@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -204,9 +204,9 @@ def _counter(by: Sequence[str], level: int):
     return run
 
 
-def groups_of(patterns: DataFrame) -> list:
-    """Aggregates of a segment's patterns: baskets, and into how many groups they are dealt."""
-    return [F.sum("weight").alias("n_baskets"), F.greatest(F.lit(1), F.ceil(F.sum(F.size("items")) / GROUP_ITEMS)).cast("int").alias("_groups")]
+def groups_of(size: str) -> Column:
+    """Into how many groups a segment is dealt, as an aggregate of its patterns' sizes."""
+    return F.greatest(F.lit(1), F.ceil(F.sum(size) / GROUP_ITEMS)).cast("int")
 
 
 def support_counts(dealt: DataFrame, candidates: DataFrame, by: Sequence[str], level: int) -> DataFrame:

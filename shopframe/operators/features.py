@@ -76,11 +76,11 @@ def customer_features(tx: DataFrame, articles: DataFrame, customers: DataFrame,
 def fill_features(df: DataFrame, default_age: int = 30) -> DataFrame:
     """shares and price null -> 0, recency null -> 9999, age null -> median (or 30).
 
-    The features are stored before the median is taken, so they are computed once.
+    The median comes from the number of customers of each age; that branch
+    needs the keys and ages only, so nothing is stored for it.
     """
-    df = materialize(df)
     pct = [c for c in df.columns if c.startswith("pct_")]
-    med = df.agg(F.percentile("age", 0.5).alias("_med"))
+    med = df.groupBy("age").agg(_n().alias("_n")).agg(F.percentile("age", 0.5, F.col("_n")).alias("_med"))
     out = df.na.fill(0.0, subset=pct + ["avg_price"]).na.fill(9999, subset=["recency_days"])
     out = out.crossJoin(med).withColumn(
         "age", F.coalesce(F.col("age"), F.floor(F.coalesce("_med", F.lit(float(default_age)))))).drop("_med")

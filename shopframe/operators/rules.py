@@ -53,30 +53,36 @@ def basket_counts(sets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def frequent_itemsets(sets: DataFrame, min_support: float, max_len: int | None = 3,
-                      by: Sequence[str] = (), items: str = "items", method: str = "auto") -> DataFrame:
+                      by: Sequence[str] = (), items: str = "items", method: str = "auto", min_baskets: int = 0) -> DataFrame:
     """A1: all itemsets with support >= ``min_support`` per segment.
 
     ``sets`` has one row per basket with a sorted distinct ``items`` array.
     Output: ``by..., items, count, support`` (support base = baskets of the segment).
     ``method``: ``auto`` counts up to three items by bitmaps and longer sets by
-    FP-Growth, ``bitmap`` and ``fpgrowth`` choose one for any length.
+    FP-Growth, ``bitmap`` and ``fpgrowth`` choose one for any length. Segments
+    with fewer than ``min_baskets`` baskets are left out.
     """
     if method == "fpgrowth" or (method == "auto" and (max_len is None or max_len > 3)):
-        return materialize(_fpgrowth_itemsets(sets, min_support, max_len, by, items))
+        return materialize(_fpgrowth_itemsets(_enough(sets, by, min_baskets), min_support, max_len, by, items))
     # distinct patterns and per-level results are stored: each level reads a
     # small table instead of re-planning the baskets (bounded by distinct patterns)
     pats = materialize(patterns(sets.select(*by, F.col(items).alias("items")), "items", by))
-    segments = _checked(materialize(pats.groupBy(*by).agg(*groups_of(pats))))
+    # one pass counts the items and, under a null item, the baskets of each segment
+    single = materialize(pats.select(*by, "weight", F.size("items").alias("_size"), F.explode(F.array_append(F.array_compact("items"), F.lit(None))).alias("item"))
+                         .groupBy(*by, "item").agg(F.sum("weight").alias("count"), groups_of("_size").alias("_groups")))
+    segments = single.filter("item IS NULL").select(*by, F.col("count").alias("n_baskets"), "_groups")
+    segments = _checked(segments.filter(F.col("n_baskets") >= min_baskets))
     dealt = _join_by(pats, segments, by).withColumn("_salt", F.pmod(F.xxhash64("items"), F.col("_groups")).cast("int"))
 
     def keep(df):
         df = _join_by(df, segments, by).withColumn("support", F.col("count") / F.col("n_baskets"))
         return df.filter(F.col("support") >= min_support).select(*by, "items", "count", "support")
 
-    out = found = materialize(keep(pats.select(*by, F.explode("items").alias("item"), "weight")
-                                   .groupBy(*by, F.array("item").alias("items")).agg(F.sum("weight").alias("count"))))
+    out = found = keep(single.filter("item IS NOT NULL").select(*by, F.array("item").alias("items"), "count"))
     level = 1
-    while (max_len is None or level < max_len) and not found.isEmpty():
+    while max_len is None or level < max_len:
+        if level > 2 and found.isEmpty():
+            break
         level += 1
         # sets of the level below that differ in their last item only
         groups = found.groupBy(*by, F.slice("items", 1, level - 2).alias("prefix")).agg(
@@ -173,7 +179,8 @@ def association_rules(itemsets: DataFrame, metric: str = "confidence", min_thres
     needs is not extended, nor is one without its antecedent's support. So the
     work follows the rules that are found, not the 2^n splits of a set of n items.
     """
-    sa = itemsets.select(*by, F.col("items").alias("antecedent"), F.col("support").alias("antecedent_support"))
+    known = _checked(itemsets)
+    sa = known.select(*by, F.col("items").alias("antecedent"), F.col("support").alias("antecedent_support"))
     bound = _least_confidence(metric, min_threshold) - 1e-9  # the exact test follows
 
     def held(candidates: DataFrame) -> DataFrame:
@@ -199,7 +206,7 @@ def association_rules(itemsets: DataFrame, metric: str = "confidence", min_thres
         if longest > 3:
             level = materialize(level)
         found = found.unionByName(level)
-    sc = itemsets.select(*by, F.col("items").alias("consequent"), F.col("support").alias("consequent_support"))
+    sc = known.select(*by, F.col("items").alias("consequent"), F.col("support").alias("consequent_support"))
     r = _join_by(found, sc, by, on=["consequent"])
     r = r.withColumn("lift", F.col("confidence") / F.col("consequent_support"))
     r = r.withColumn("leverage", F.col("support") - F.col("antecedent_support") * F.col("consequent_support"))
@@ -236,8 +243,7 @@ def _enough(sets: DataFrame, by: Sequence[str], min_baskets: int) -> DataFrame:
 def mine_app(sets: DataFrame, by: Sequence[str] = (), min_support: float = 0.01,
              min_confidence: float = 0.20, min_baskets: int = 50, top: int = 50) -> DataFrame:
     """A3/A4: segments with >= 50 baskets; itemsets <= 3; confidence >= .2, lift > 1; top 50 by lift."""
-    s = _enough(sets, by, min_baskets)
-    r = association_rules(frequent_itemsets(s, min_support, 3, by), "confidence", min_confidence, by)
+    r = association_rules(frequent_itemsets(sets, min_support, 3, by, min_baskets=min_baskets), "confidence", min_confidence, by)
     return top_rules(r.filter(F.col("lift") > 1.0), top, by)
 
 
@@ -249,8 +255,7 @@ def rules_count(rules: DataFrame, by: Sequence[str]) -> DataFrame:
 def mine_notebook(sets: DataFrame, by: Sequence[str] = (), min_support: float = 0.01, min_lift: float = 1.2,
                   min_baskets: int = 100, top: int = 5, max_len: int | None = None) -> DataFrame:
     """A5: segments with >= 100 baskets; no length cap; lift >= 1.2; top 5 by lift then confidence."""
-    s = _enough(sets, by, min_baskets)
-    r = association_rules(frequent_itemsets(s, min_support, max_len, by), "lift", min_lift, by)
+    r = association_rules(frequent_itemsets(sets, min_support, max_len, by, min_baskets=min_baskets), "lift", min_lift, by)
     return top_rules(r, top, by, [F.desc(rnd("lift", 9)), F.desc(rnd("confidence", 9))])
 
 
@@ -273,8 +278,7 @@ def rules_by_segment(sets: DataFrame, by: Sequence[str], min_support: float, met
                      min_threshold: float = 1.0, min_baskets: int = 0, top: int | None = None,
                      max_len: int | None = 3) -> DataFrame:
     """Per segment (department, tier, ...) mining with a minimum basket count and top-n."""
-    s = _enough(sets, by, min_baskets)
-    r = association_rules(frequent_itemsets(s, min_support, max_len, by), metric, min_threshold, by)
+    r = association_rules(frequent_itemsets(sets, min_support, max_len, by, min_baskets=min_baskets), metric, min_threshold, by)
     return top_rules(r, top, by) if top else r
 
 
@@ -346,15 +350,18 @@ def recommend(rules: DataFrame, baskets: DataFrame, key: str = "customer_id", by
     Both choices are aggregates that combine map-side, the second over the few
     items that a basket can be recommended.
     """
+    r = materialize(rules.select(*by, "antecedent", "consequent", "support", "confidence", "lift"))  # read several times
+    longest = r.agg(F.max(F.size("antecedent"))).first()[0] or 0
+    if longest > 1:
+        baskets = materialize(baskets.select(key, *by, "items"))
     each = baskets.select(key, *by, "items", F.explode("items").alias("_item"))
-    r = rules.select(*by, "antecedent", "consequent", "support", "confidence", "lift")
-    # how many baskets of the segment hold an item of a longer antecedent
-    inner = r.filter(F.size("antecedent") > 1).select(*by, F.explode("antecedent").alias("_item")).distinct()
-    held = _join_by(each.select(*by, "_item"), inner, by, "left_semi", on=["_item"]).groupBy(*by, "_item").agg(F.count(F.lit(1)).alias("_n"))
-    spread = r.withColumn("_item", F.explode("antecedent"))
-    filed = _join_by(spread, held, by, "left", on=["_item"]) \
-        .groupBy(*by, "antecedent", "consequent", "support", "confidence", "lift") \
-        .agg(F.min_by("_item", F.struct(F.coalesce("_n", F.lit(0)), "_item")).alias("_item"))
+    filed = r.withColumn("_item", F.element_at("antecedent", 1))
+    if longest > 1:  # how many baskets of the segment hold an item of a longer antecedent
+        inner = r.filter(F.size("antecedent") > 1).select(*by, F.explode("antecedent").alias("_item")).distinct()
+        held = _join_by(each.select(*by, "_item"), _checked(inner), by, "left_semi", on=["_item"]).groupBy(*by, "_item").agg(F.count(F.lit(1)).alias("_n"))
+        filed = _join_by(r.withColumn("_item", F.explode("antecedent")), held, by, "left", on=["_item"]) \
+            .groupBy(*r.columns).agg(F.min_by("_item", F.struct(F.coalesce("_n", F.lit(0)), "_item")).alias("_item"))
+    filed = _checked(materialize(filed))
     met = _join_by(each, filed, by, on=["_item"]).filter(F.size(F.array_except("antecedent", "items")) == 0)
     e = met.select(key, *by, "items", F.explode("consequent").alias("recommend"), "antecedent", "support", "confidence", "lift") \
         .filter(~F.array_contains("items", F.col("recommend")))
