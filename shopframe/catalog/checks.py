@@ -74,19 +74,15 @@ def _e24(t):
 
 
 @register("ingest_append_batch", W(["transactions"], """
-SELECT t_dat, customer_id, article_id, price, sales_channel_id FROM transactions
-WHERE t_dat = (SELECT MIN(t_dat) FROM transactions)"""))
+SELECT t_dat, customer_id, article_id, price, sales_channel_id FROM transactions"""))
 def _i3(t):
-    """The first day's transactions, appended twice under one batch id: the second time replaces the first."""
+    """All transactions, appended twice under one batch id: the second time replaces the first."""
     path = _folder(t, "append")
-    tx = V(t, "transactions")
-    first = tx.agg(F.min("t_dat").alias("d"))
-    day = tx.filter(F.col("t_dat") == first.scalar())
-    batch = day.select("t_dat", "customer_id", F.col("article_id").cast("string").alias("article_id"), "price", "sales_channel_id")
+    batch = V(t, "transactions").select("t_dat", "customer_id", F.col("article_id").cast("string").alias("article_id"), "price", "sales_channel_id")
     for _ in range(2):
-        ing.append_transactions(batch, V(t, "fashion_customers"), V(t, "articles"), path, batch_id="day1")
+        ing.append_transactions(batch, V(t, "fashion_customers"), V(t, "articles"), path, batch_id="all")
     back = T.StructType([x if x.name != "article_id" else T.StructField("article_id", T.LongType()) for x in batch.schema])
-    return t.spark.read.schema(back).parquet(f"{path}/ingest_batch=day1")
+    return t.spark.read.schema(back).parquet(f"{path}/ingest_batch=all")
 
 
 register("survey_describe_orders", """

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from shopframe.operators.features import scaling_stats, standardize
 from shopframe.session import materialize
+from shopframe.functions.quantile import group_quantiles
 
 STYLE_COLS = ["pct_ladieswear", "pct_divided", "pct_menswear", "pct_baby", "pct_sport", "pct_online", "avg_price"]
 
@@ -173,8 +174,11 @@ def cluster_profile(assigned: DataFrame, mean_cols: Sequence[str], median_cols:
     """Size, medians, means and share of the base per cluster."""
     total = assigned.agg(F.count(F.lit(1)).alias("_n"))
     g = assigned.groupBy(cluster).agg(
-        F.count(F.lit(1)).alias("n_customers"), *[F.percentile(c, 0.5).alias(f"median_{c}") for c in median_cols],
-        *[F.avg(c).alias(c) for c in mean_cols])
+        F.count(F.lit(1)).alias("n_customers"), *[F.avg(c).alias(c) for c in mean_cols])
+    if median_cols:
+        m = group_quantiles(assigned, median_cols, [0.5], [cluster])
+        m = m.select(F.col(cluster).alias("_c"), *[F.col(f"{c}_q0").alias(f"median_{c}") for c in median_cols])
+        g = g.join(m, F.col(cluster).eqNullSafe(F.col("_c"))).select(cluster, "n_customers", *[f"median_{c}" for c in median_cols], *mean_cols)
     return g.crossJoin(total).withColumn("pct_of_base", F.col("n_customers") * 100.0 / F.col("_n")).drop("_n")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from shopframe.functions.baskets import first_by
 from shopframe.functions.exprs import draw, rnd, padded
 from shopframe.functions.prefix import row_numbers
+from shopframe.functions.quantile import group_quantiles
 
 
 def _n() -> Column:
@@ -145,7 +146,7 @@ def surrogate_keys(df: DataFrame, key: Sequence[str] | str, out: str = "sk") ->
 
 def median_price(items: DataFrame) -> DataFrame:
     """Exact median item price per product."""
-    return items.groupBy("product_id").agg(F.percentile("price", 0.5).alias("median_price"))
+    return group_quantiles(items, ["price"], [0.5], ["product_id"]).withColumnRenamed("price_q0", "median_price")
 
 
 def dim_product_etl(products: DataFrame, translation: DataFrame, items: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shopframe.functions.baskets import first_by, item_sets, pair_counts, patterns
 from shopframe.functions.exprs import bucket, days_between, exact_sum, rate, rnd, share
-from shopframe.functions.quantile import quantiles
+from shopframe.functions.quantile import group_quantiles, quantiles
 from shopframe.plans.sessions import as_sessions
 
 # ---------------------------------------------------------------- fixed values
@@ -577,21 +577,24 @@ def category_mix_newbie_vs_vip(o, oi, p):
 
 def price_quartiles_by_category(p, exact: bool = True):
     x = p.filter(F.col("retail_price") > 0)
-    q = (lambda c, v: F.percentile(c, v)) if exact else (lambda c, v: F.percentile_approx(c, v, 10000))
-    return x.groupBy("category", "department").agg(
-        _n().alias("num_products"), rnd(q("retail_price", 0.25), 2).alias("p25"),
-        rnd(q("retail_price", 0.5), 2).alias("median"), rnd(q("retail_price", 0.75), 2).alias("p75"),
-        rnd(F.avg("retail_price"), 2).alias("avg_price"))
+    by, points, names = ["category", "department"], [0.25, 0.5, 0.75], ["p25", "median", "p75"]
+    g = x.groupBy(*by).agg(_n().alias("num_products"), F.percentile_approx("retail_price", points, 10000).alias("_q"),
+                           rnd(F.avg("retail_price"), 2).alias("avg_price"))
+    if exact:
+        q = group_quantiles(x, ["retail_price"], points, by)
+        q = q.select(*[F.col(c).alias(f"_{c}") for c in by], F.array(*[f"retail_price_q{i}" for i in range(3)]).alias("_e"))
+        g = g.drop("_q").join(q, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]).withColumnRenamed("_e", "_q")
+    return g.select(*by, "num_products", *[rnd(F.get("_q", F.lit(i)), 2).alias(n) for i, n in enumerate(names)], "avg_price")
 
 
 def price_cutoffs(p, exact: bool = True):
     rp = F.col("retail_price")
-    q = (lambda v: F.percentile(rp, v)) if exact else (lambda v: F.percentile_approx(rp, v, 100_000))
-    return p.filter(rp > 0).agg(
-        rnd(q(0.33), 2).alias("p33_budget_cutoff"),
-        rnd(q(0.67), 2).alias("p67_premium_cutoff"),
-        rnd(F.min(rp), 2).alias("min_price"), rnd(F.max(rp), 2).alias("max_price"),
-        rnd(F.avg(rp), 2).alias("avg_price"), _n().alias("total_products"))
+    x, points = p.filter(rp > 0), [0.33, 0.67]
+    q = group_quantiles(x, ["retail_price"], points) if exact else \
+        x.agg(F.percentile_approx(rp, points, 100_000).alias("_q")).select(*[F.get("_q", F.lit(i)).alias(f"retail_price_q{i}") for i in range(2)])
+    rest = x.agg(rnd(F.min(rp), 2).alias("min_price"), rnd(F.max(rp), 2).alias("max_price"),
+                 rnd(F.avg(rp), 2).alias("avg_price"), _n().alias("total_products"))
+    return q.select(rnd("retail_price_q0", 2).alias("p33_budget_cutoff"), rnd("retail_price_q1", 2).alias("p67_premium_cutoff")).crossJoin(rest)
 
 
 def sales_volume_bands(p, oi):
