@@ -259,7 +259,29 @@ def _stream(t):
                             V(t, "articles"), name=f"ingest_{uuid.uuid4().hex[:8]}")
     q.awaitTermination()
     out = t.spark.read.parquet(f"{base}/out")
-    return out.withColumn("batch_epoch", F.col("batch_epoch").cast("long"))
+    return out.drop("batch_id")
+
+
+@register("ingest_stream_files", W(FASH, """
+SELECT t_dat, customer_id, CAST(article_id AS VARCHAR) AS article_id, price, CAST(sales_channel_id AS INTEGER) AS sales_channel_id
+FROM transactions WHERE t_dat NOT IN (SELECT t_dat FROM transactions GROUP BY t_dat HAVING MAX(customer_id) % 7 = 0)"""))
+def _stream_files(t):
+    """I4 over all transactions: a file per group of days; days whose greatest customer is divisible
+    by 7 come in files of their own with an unknown customer, and are quarantined without touching the rest."""
+    from shopframe.streaming.ingest_stream import stream_transactions
+    base = f"{checkpoint_dir(t.spark)}/ingest-{uuid.uuid4().hex}"
+    tx = V(t, "transactions").select("t_dat", "customer_id", F.col("article_id").cast("string").alias("article_id"), "price",
+                                     F.col("sales_channel_id").cast("int").alias("sales_channel_id"))
+    spoilt = tx.groupBy("t_dat").agg(F.max("customer_id").alias("_m")).where("_m % 7 = 0").select("t_dat")
+    bad = tx.join(spoilt, "t_dat", "left_semi")
+    bad = bad.withColumn("customer_id", -F.col("customer_id"))
+    good = tx.join(spoilt, "t_dat", "left_anti")
+    good.repartition(9, F.weekofyear("t_dat")).write.parquet(f"{base}/in/good")
+    bad.repartition(1).write.parquet(f"{base}/in/bad")
+    q = stream_transactions(t.spark, f"{base}/in/*", f"{base}/out", f"{base}/bad", V(t, "fashion_customers"),
+                            V(t, "articles"), name=f"ingest_{uuid.uuid4().hex[:8]}")
+    q.awaitTermination()
+    return t.spark.read.parquet(f"{base}/out").drop("batch_id", "batch_epoch")
 
 
 # ---------------------------------------------------------------- S2: SQL text with bind parameters

@@ -58,6 +58,27 @@ def validate_transactions(batch: DataFrame, customers: DataFrame, articles: Data
         & (F.col("bad_channels") == 0) & (F.col("n_missing_customers") == 0) & (F.col("n_missing_articles") == 0))
 
 
+def validate_files(rows: DataFrame, customers: DataFrame, articles: DataFrame, file: str) -> DataFrame:
+    """I2 for many batches at once: one report row per value of ``file``.
+
+    ``file, n_rows, bad_article_ids, bad_channels, n_missing_customers,
+    n_missing_articles, ok``. Unknown keys are counted distinct, after the keys
+    of each file have been made distinct.
+    """
+    b = rows.withColumn("_aid", F.col("article_id").cast("string").try_cast("long"))
+    head = b.groupBy(file).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("_aid").isNull()).alias("bad_article_ids"),
+                               F.count_if(~F.col("sales_channel_id").isin(1, 2) | F.col("sales_channel_id").isNull()).alias("bad_channels"))
+
+    def missing(keys: DataFrame, known: DataFrame, key: str, out: str) -> DataFrame:
+        k = keys.distinct().join(known.select(F.col(key).cast("long").alias("_key")), "_key", "left_anti")
+        return k.groupBy(file).agg(F.count(F.lit(1)).alias(out))
+    mc = missing(b.select(file, F.col("customer_id").cast("long").alias("_key")), customers, "customer_id", "n_missing_customers")
+    ma = missing(b.where("_aid IS NOT NULL").select(file, F.col("_aid").alias("_key")), articles, "article_id", "n_missing_articles")
+    rep = head.join(mc, file, "left").join(ma, file, "left").na.fill(0, ["n_missing_customers", "n_missing_articles"])
+    return rep.withColumn("ok", (F.col("bad_article_ids") == 0) & (F.col("bad_channels") == 0)
+                          & (F.col("n_missing_customers") == 0) & (F.col("n_missing_articles") == 0))
+
+
 def append_transactions(batch: DataFrame, customers: DataFrame, articles: DataFrame, path: str,
                         quarantine: str | None = None, batch_id: str | None = None, max_rows: int | None = None) -> dict:
     """Add the whole batch when valid, nothing otherwise (optionally to a quarantine folder).

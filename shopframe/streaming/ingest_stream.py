@@ -1,21 +1,28 @@
 """I4: transaction ingest as a Structured Streaming query.
 
 A file source (new parquet/json batches dropped in a folder) feeds
-``foreachBatch``: each micro-batch is validated like an HTTP batch (I2) and
-written whole (I3) or sent whole to a quarantine folder. The checkpoint
-(offsets + commit log) lives in the shared checkpoint folder. Each epoch is
-written to its own ``batch_epoch=<id>`` folder with overwrite, so an epoch
-that is replayed after a failure replaces its earlier partial or complete
-output instead of appending it twice (exactly-once effect on the files).
+``foreachBatch``. Every file is a batch of its own: it is validated like an
+HTTP batch (I2) and written whole (I3) or sent whole to a quarantine folder,
+whatever else arrived in the same trigger. The checks of all files of a trigger
+run together, grouped by ``_metadata.file_path``; nothing loops over files.
+
+A batch's id is its file's name without endings. Its rows go to
+``batch_id=<id>/``, which a later delivery replaces: an epoch that is replayed
+after a failure, a file that is submitted again under another path, and a
+corrected file all end up counted once. Of several files with one id in a
+trigger the newest counts (by modification time, then path). A batch that turns
+out bad on resubmission goes to quarantine and leaves the good rows in place.
+The checkpoint (offsets + commit log) lives in the shared checkpoint folder.
 With ``Trigger.AvailableNow`` the query drains the backlog and stops.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopframe.operators.ingest import validate_transactions
+from shopframe.operators.ingest import validate_files
 from shopframe.session import checkpoint_dir
 
 BATCH_SCHEMA = T.StructType([
@@ -24,19 +31,40 @@ BATCH_SCHEMA = T.StructType([
     T.StructField("sales_channel_id", T.IntegerType())])
 
 
+def _write(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+
+
+def ingest_files(batch: DataFrame, epoch_id: int, target: str, quarantine: str, customers: DataFrame, articles: DataFrame) -> None:
+    """One trigger: rows with ``_file`` and ``_time``; good files to ``target``, others to ``quarantine``.
+
+    The reports have a row per file of the trigger, at most ``max_files``, and
+    are broadcast.
+    """
+    batch = batch.withColumn("batch_id", F.regexp_extract("_file", r"([^/.]+)[^/]*$", 1)).persist()
+    try:
+        newest = batch.groupBy("batch_id").agg(F.max(F.struct("_time", "_file")).alias("_m")).select(F.col("_m._file").alias("_file"))
+        rows = batch.join(F.broadcast(newest), "_file", "left_semi")
+        report = F.broadcast(validate_files(rows, customers, articles, "_file").select("_file", "ok"))
+        judged = rows.join(report, "_file").withColumn("batch_epoch", F.lit(epoch_id).cast("long")).drop("_file", "_time")
+        _write(judged.where("ok").drop("ok"), target)
+        bad = judged.where("NOT ok").drop("ok")
+        if not bad.isEmpty():
+            _write(bad, quarantine)
+    finally:
+        batch.unpersist()
+
+
 def stream_transactions(spark: SparkSession, source: str, target: str, quarantine: str, customers: DataFrame,
                         articles: DataFrame, name: str = "ingest", fmt: str = "parquet",
                         available_now: bool = True, max_files: int = 100):
     """Start the ingest stream; returns the ``StreamingQuery``."""
     ckpt = f"{checkpoint_dir(spark)}/streams/{name}"
     src = spark.readStream.schema(BATCH_SCHEMA).option("maxFilesPerTrigger", max_files).format(fmt).load(source)
+    src = src.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_time"))
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        rep = validate_transactions(batch, customers, articles).first()
-        if rep is None or rep["n_rows"] == 0:
-            return
-        dest = target if rep["ok"] else quarantine
-        batch.write.mode("overwrite").parquet(f"{dest}/batch_epoch={epoch_id}")
+        ingest_files(batch, epoch_id, target, quarantine, customers, articles)
 
     w = src.writeStream.foreachBatch(handle).option("checkpointLocation", ckpt).queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
@@ -45,7 +73,6 @@ def stream_transactions(spark: SparkSession, source: str, target: str, quarantin
 
 def windowed_sales(stream: DataFrame, watermark: str = "2 days", window: str = "1 day") -> DataFrame:
     """Streaming revenue per day and channel with a watermark for late batches (event time = t_dat)."""
-    from pyspark.sql import functions as F
     ts = F.col("t_dat").cast("timestamp")  # watermarks need TIMESTAMP
     return stream.withColumn("_ts", ts).withWatermark("_ts", watermark) \
         .groupBy(F.window("_ts", window), "sales_channel_id") \

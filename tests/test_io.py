@@ -89,6 +89,38 @@ def test_stream_ingest_quarantines_bad_batch(spark, tmpdir_path):
     assert spark.read.parquet(os.path.join(tmpdir_path, "out")).count() == 1
 
 
+def test_stream_ingest_judges_each_file(spark, tmpdir_path):
+    """Nine good files and a bad one in one trigger; then resubmissions."""
+    schema = "t_dat date, customer_id long, article_id string, price double, sales_channel_id int"
+    cust, art = spark.createDataFrame([(i,) for i in range(20)], "customer_id long"), spark.createDataFrame([(10,)], "article_id long")
+    src = os.path.join(tmpdir_path, "in")
+
+    def drop(folder, name, rows):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        os.makedirs(os.path.join(src, folder), exist_ok=True)
+        kinds = pa.schema([("t_dat", pa.date32()), ("customer_id", pa.int64()), ("article_id", pa.string()), ("price", pa.float64()), ("sales_channel_id", pa.int32())])
+        pq.write_table(pa.Table.from_pylist([dict(zip(kinds.names, r, strict=True)) for r in rows], kinds), os.path.join(src, folder, name))
+
+    def run():
+        q = stream_transactions(spark, os.path.join(src, "*"), os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "bad"), cust, art, name="t_files_" + os.path.basename(tmpdir_path))
+        q.awaitTermination()
+        return [sorted((r.batch_id, r.customer_id, r.price) for r in spark.read.schema(schema + ", batch_epoch long, batch_id string").parquet(os.path.join(tmpdir_path, p)).collect())
+                for p in ("out", "bad") if os.path.exists(os.path.join(tmpdir_path, p))]
+
+    day = dt.date(2024, 1, 1)
+    for i in range(9):
+        drop("a", f"batch{i}.parquet", [(day, i, "10", 1.0, 1), (day, i, "10", 1.0, 1)])
+    drop("a", "broken.parquet", [(day, 1, "10", 1.0, 1), (day, 99, "x", 1.0, 5)])
+    out, bad = run()
+    assert out == sorted([(f"batch{i}", i, 1.0) for i in range(9)] * 2) and bad == [("broken", 1, 1.0), ("broken", 99, 1.0)]
+    drop("b", "batch3.parquet", [(day, 3, "10", 2.0, 1)])  # a corrected batch replaces the first
+    drop("b", "batch4.parquet", [(day, 4, "10", 1.0, 1), (day, 4, "10", 1.0, 1)])  # submitted again
+    drop("b", "broken.parquet", [(day, 5, "10", 7.0, 2)])
+    out, _ = run()
+    assert out == sorted([(f"batch{i}", i, 1.0) for i in range(9) if i != 3] * 2 + [("batch3", 3, 2.0), ("broken", 5, 7.0)])
+
+
 def test_bucketed_conformed_join_has_no_shuffle(spark, tmpdir_path):
     from shopframe.operators import olap
     from shopframe.plans.conformed import build_conformed, tables_from_catalog
