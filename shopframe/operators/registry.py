@@ -100,16 +100,22 @@ def log_predictions(rows: DataFrame, path: str) -> None:
 def resolve_predictions(log: DataFrame, tx: DataFrame, window: int = 7, asof=None) -> DataFrame:
     """Actual outcome of will-buy predictions once their window has passed.
 
-    Transactions are reduced to distinct (customer, day) before the join, so
-    the join is on customer with a date-range filter over small per-customer lists.
+    A range join by buckets: time is cut into stretches of ``window`` days, so a
+    prediction's days lie in at most two of them. Predictions meet only the
+    purchase days of these stretches (at most ``window`` distinct ones each),
+    never the customer's whole history. A prediction without a customer or a
+    time has no purchases.
     """
-    days = tx.select("customer_id", "t_dat").distinct()
+    stretch = lambda d: F.floor(F.datediff(d, F.lit("1970-01-01").cast("date")) / window)
+    days = tx.select("customer_id", "t_dat", stretch(F.col("t_dat")).alias("_s")).distinct()
     p = log.withColumn("_d0", F.to_date("predicted_at")).withColumn("_d1", F.date_add("_d0", window))
     if asof is not None:
         p = p.filter(F.col("_d1") <= F.lit(asof).cast("date"))
-    hits = p.join(days, "customer_id").filter((F.col("t_dat") > F.col("_d0")) & (F.col("t_dat") <= F.col("_d1"))) \
-        .select("customer_id", "model_version", "predicted_at").distinct().withColumn("_hit", F.lit(1))
-    out = p.join(hits, ["customer_id", "model_version", "predicted_at"], "left")
+    asked = p.select("customer_id", "predicted_at", "_d0", "_d1").distinct() \
+        .withColumn("_s", F.explode(F.array_distinct(F.array(stretch(F.date_add("_d0", 1)), stretch(F.col("_d1"))))))
+    hits = asked.join(days, ["customer_id", "_s"]).filter((F.col("t_dat") > F.col("_d0")) & (F.col("t_dat") <= F.col("_d1"))) \
+        .select("customer_id", "predicted_at").distinct().withColumn("_hit", F.lit(1))
+    out = p.join(hits, ["customer_id", "predicted_at"], "left")
     actual = F.coalesce(F.col("_hit"), F.lit(0))
     return out.withColumn("actual_value", F.to_json(F.struct(actual.alias("will_buy")))) \
         .withColumn("resolved_at", F.col("_d1").cast("timestamp_ntz")) \

@@ -89,6 +89,25 @@ def test_stream_ingest_quarantines_bad_batch(spark, tmpdir_path):
     assert spark.read.parquet(os.path.join(tmpdir_path, "out")).count() == 1
 
 
+def test_predictions_meet_only_the_days_near_them(spark):
+    import random
+    from shopframe.operators import registry
+    r = random.Random(4)
+    start = dt.datetime(1969, 12, 1)
+    log = [(r.randint(0, 5), r.choice([1, 2, None]), start + dt.timedelta(hours=r.randint(0, 24 * 60)), '{"will_buy": %d}' % r.randint(0, 1)) for _ in range(150)]
+    log += [log[0], (None, 1, start, '{"will_buy": 0}'), (1, 1, None, '{"will_buy": 0}')]
+    tx = [(r.randint(0, 4), (start + dt.timedelta(days=r.randint(0, 70))).date()) for _ in range(90)]
+    lf = spark.createDataFrame(log, "customer_id long, model_version int, predicted_at timestamp_ntz, predicted_value string")
+    tf = spark.createDataFrame(tx, "customer_id long, t_dat date")
+    for window in (1, 7, 10):
+        got = sorted(((x.customer_id, x.model_version, x.predicted_at, x.actual_value, x.correct) for x in registry.resolve_predictions(lf, tf, window).collect()), key=repr)
+        want = []
+        for c, m, at, v in log:
+            hit = int(at is not None and any(k == c and at.date() < d <= at.date() + dt.timedelta(days=window) for k, d in tx))
+            want.append((c, m, at, '{"will_buy":%d}' % hit, v == '{"will_buy": %d}' % hit))
+        assert got == sorted(want, key=repr)
+
+
 def test_stream_ingest_judges_each_file(spark, tmpdir_path):
     """Nine good files and a bad one in one trigger; then resubmissions."""
     schema = "t_dat date, customer_id long, article_id string, price double, sales_channel_id int"
