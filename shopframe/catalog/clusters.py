@@ -16,6 +16,7 @@ from shopframe.functions.exprs import rnd, rnd_sql as R
 from shopframe.operators import clustering as c
 from shopframe.operators import features as f
 from shopframe.plans.oracle import with_views as W
+from shopframe.session import materialize
 
 PROFILE_COLS = ["avg_price", *SHARE_COLS, "pct_online"]
 
@@ -144,6 +145,25 @@ def _c1(t):
     return out.select("customer_id", "cluster_id", "cluster_label")
 
 
+def _certificate(frame, cols, k):
+    base = materialize(frame.dropna(subset=list(cols)))
+    model, stats = c.fit_kmeans(base, cols, k, 42)
+    return c.cluster_certificate(model, base, cols, stats)
+
+
+def _certified(rows: str, k: int) -> str:
+    return f"SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, CAST({k} AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS n_not_nearest, CAST(0 AS BIGINT) AS n_centres_off FROM ({rows}) z"
+
+
+register("cluster_style_certificate", W(FASH, _certified("SELECT * FROM dna", 5), [_DNA_FULL]))(
+    lambda t: _certificate(_dna(t), c.STYLE_COLS, 5))
+register("cluster_rfm_certificate", W(["order_items"], _certified("SELECT DISTINCT user_id FROM order_items WHERE status <> 'Cancelled'", 4)))(
+    lambda t: _certificate(f.rfm(V(t, "order_items"), "2002-01-01"), ["recency", "frequency", "monetary", "avg_order_value"], 4))
+register("cluster_customer360_certificate", W(["order_items", "users"], _certified("SELECT DISTINCT user_id FROM order_items JOIN users u ON u.id = user_id", 4)))(
+    lambda t: _certificate(f.customer_360(V(t, "users"), V(t, "shop_orders"), V(t, "order_items"), V(t, "products")),
+                           ["total_orders", "total_spend", "unique_categories", "return_rate"], 4))
+
+
 @register("cluster_select_k")
 def _c2(t):
     return c.select_k(_dna(t), c.STYLE_COLS, range(2, 8), seed=42)

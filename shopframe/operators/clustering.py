@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from shopframe.operators.features import scaling_stats, standardize
 from shopframe.session import materialize
 from shopframe.functions.quantile import group_quantiles
+from shopframe.functions.silhouette import SAMPLE, silhouette
 
 STYLE_COLS = ["pct_ladieswear", "pct_divided", "pct_menswear", "pct_baby", "pct_sport", "pct_online", "avg_price"]
 
@@ -245,13 +246,13 @@ def inertia(assigned: DataFrame, model, cols: Sequence[str]) -> float:
 
 
 def select_k(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(2, 8), seed: int = 42,
-             sample: int | None = None, key: str | None = None) -> DataFrame:
-    """Inertia, silhouette (squared Euclidean, Spark's evaluator) and Davies-Bouldin per k.
+             sample: int | None = None, key: str | None = None, silhouette_sample: int = SAMPLE) -> DataFrame:
+    """Inertia, Euclidean silhouette and Davies-Bouldin per k.
 
     The loop runs over the candidate k values (parameters); each fit is a
-    distributed job over the (optionally sampled) rows.
+    distributed job over the (optionally sampled) rows. The silhouette is that
+    of at most ``silhouette_sample`` rows (``functions.silhouette``).
     """
-    from pyspark.ml.evaluation import ClusteringEvaluator
     from shopframe.operators.features import sample_customers
     x = sample_customers(df, sample, seed, key) if (sample and key) else df
     x = materialize(x.select(*cols))
@@ -259,15 +260,37 @@ def select_k(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(2, 8)
     z = materialize(_vec(standardize(x, cols, stats), cols))
     rows = []
     from pyspark.ml.clustering import KMeans
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id", distanceMeasure="squaredEuclidean")
     for k in ks:
         m = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id").fit(z)
         p = m.transform(z)
         db = davies_bouldin(p, cols).first()[0]
-        rows.append((int(k), float(m.summary.trainingCost), float(ev.evaluate(p)), float(db)))
+        rows.append((int(k), float(m.summary.trainingCost), silhouette(p, cols, sample=silhouette_sample, seed=seed).first()[0], float(db)))
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, davies_bouldin double")
 
 
+def cluster_certificate(model, df: DataFrame, cols: Sequence[str], stats: DataFrame | None) -> DataFrame:
+    """One row that proves a fit without knowing its centres: ``n_rows, n_clusters``, how many rows
+    are not assigned to their nearest centre, and how many centres are off the mean of their rows.
+
+    Lloyd's last step leaves centres at the means of the assignment before it,
+    so a centre counts as off if it is more than 0.01 (of a standard deviation,
+    where columns are scaled) from the mean in any column.
+    """
+    scored = predict(model, df, cols, stats)
+    z = standardize(scored, cols, stats, "_z") if stats is not None else scored.select("*", *[F.col(c).alias(f"{c}_z") for c in cols])
+    zs = [f"{c}_z" for c in cols]
+    centres = centroids_of(model, cols)
+    near = assign_clusters(z.withColumnRenamed("cluster_id", "_given"), centres, zs, "_nearest")
+    gap = lambda c: sum(((F.col(n) - F.lit(v)) * (F.col(n) - F.lit(v)) for n, v in zip(zs, centres[c], strict=True)), F.lit(0.0))
+    far = F.array(*[gap(c) for c in range(len(centres))])
+    worse = F.get(far, F.col("_given")) > F.get(far, F.col("_nearest")) + 1e-9
+    means = near.groupBy("_given").agg(*[F.avg(n).alias(n) for n in zs], F.count(F.lit(1)).alias("_n"), F.count_if(worse).alias("_worse"))
+    off = F.lit(False)
+    for i, n in enumerate(zs):
+        off = off | (F.abs(F.col(n) - F.get(F.array(*[F.lit(c[i]) for c in centres]), F.col("_given"))) > 1e-2)
+    return means.agg(F.sum("_n").alias("n_rows"), F.count(F.lit(1)).alias("n_clusters"), F.sum("_worse").alias("n_not_nearest"), F.count_if(off).alias("n_centres_off"))
+
+
 # ---------------------------------------------------------------- incremental
 
 def update_clusters(batch: DataFrame, centroids: DataFrame, cols: Sequence[str]) -> DataFrame:
