@@ -276,11 +276,9 @@ def cluster_certificate(model, df: DataFrame, cols: Sequence[str], stats: DataFr
     so a centre counts as off if it is more than 0.01 (of a standard deviation,
     where columns are scaled) from the mean in any column.
     """
-    scored = predict(model, df, cols, stats)
-    z = standardize(scored, cols, stats, "_z") if stats is not None else scored.select("*", *[F.col(c).alias(f"{c}_z") for c in cols])
-    zs = [f"{c}_z" for c in cols]
-    centres = centroids_of(model, cols)
-    near = assign_clusters(z.withColumnRenamed("cluster_id", "_given"), centres, zs, "_nearest")
+    scored = predict(model, df, cols, stats)  # its columns are scaled
+    zs, centres = list(cols), centroids_of(model, cols)
+    near = assign_clusters(scored.withColumnRenamed("cluster_id", "_given"), centres, zs, "_nearest")
     gap = lambda c: sum(((F.col(n) - F.lit(v)) * (F.col(n) - F.lit(v)) for n, v in zip(zs, centres[c], strict=True)), F.lit(0.0))
     far = F.array(*[gap(c) for c in range(len(centres))])
     worse = F.get(far, F.col("_given")) > F.get(far, F.col("_nearest")) + 1e-9
