@@ -5,9 +5,10 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
-from shopframe.llm import lm, queries
+from shopframe.llm import hasharrays, lm, queries, store_files
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -98,3 +99,36 @@ def test_registered_query_uses_two_words_of_context(spark, tmp_path):
     for i, t in rows:
         s = ["<s>", "<s>", *toks(t)]
         assert got[i] == pytest.approx(sum(math.log10(brute.p(s[j - 2:j], s[j])) for j in range(2, len(s))), rel=1e-9)
+
+
+@pytest.mark.parametrize("bits", [7, 21, 22, 33])
+def test_packed_ranks(bits):
+    r = np.random.default_rng(bits)
+    cols = [r.integers(0, min(1 << bits, 50), 4000).astype(np.uint64) for _ in range(3)]
+    cols[0][:9] = (1 << bits) - 1
+    pack = lm.Packing(bits)
+    keys = pack.numbers(cols)
+    assert len(keys) == (1 if bits <= 21 else 2 if bits <= 32 else 3)
+    assert all((a == b).all() for a, b in zip(pack.columns(keys, 3), cols, strict=True))
+    want = Counter(zip(*(c.tolist() for c in cols), strict=True))
+    k, n = lm.merge(keys)
+    runs = [lm.packed([x[i::2] for x in k], n[i::2]) for i in range(2)]  # two sorted runs
+    k, n = lm.merge(*lm.unpacked(runs, len(keys)))
+    got = pack.columns(k, 3)
+    assert dict(zip(zip(*(c.tolist() for c in got), strict=True), n[:, 0].tolist(), strict=True)) == want
+    assert sorted(want) == list(zip(*(c.tolist() for c in got), strict=True))
+
+
+@pytest.mark.parametrize("n", [0, 1, 40, 30000])
+def test_hash_arrays(n, tmp_path):
+    r = np.random.default_rng(n)
+    h = np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
+    values = r.integers(0, 40, (len(h), 4))  # far more rows than one byte tells apart
+    values[: len(h) // 2] = 1
+    values[len(h) // 3: len(h) // 3 + 1] = 10**12
+    order = r.permutation(len(h))
+    store_files.put(str(tmp_path), "x", hasharrays.bundle(hasharrays.table("t", h[order], values[order]) | hasharrays.table("empty", h[:0], values[:0])))
+    arrays = hasharrays.opened(str(tmp_path), "x")
+    assert (hasharrays.found(arrays, "t", h, 4) == values).all()
+    assert not hasharrays.found(arrays, "t", h + np.uint64(1 << 40), 4).any()
+    assert not hasharrays.found(arrays, "empty", h, 4).any()
