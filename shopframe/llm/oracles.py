@@ -88,15 +88,19 @@ _NAMES = ", ".join(f"'{k}'" for k in secrets.KINDS)
 SECRETS = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, COALESCE(text, '') AS t FROM documents),
 found AS ({" UNION ALL ".join(_kind(i, k) for i, k in enumerate(secrets.KINDS))}),
-looks AS (SELECT f.* FROM found f WHERE kind < {len(secrets.BASE)} OR (
-    NOT regexp_matches({LOW.format('v')}, '{secrets.PLACEHOLDER}') AND len(list_distinct(string_split(v, ''))) >= 6
-    AND (kind <> {secrets.KINDS.index("mixed")} OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]')))
-    AND NOT EXISTS (SELECT 1 FROM found b WHERE b.r = f.r AND b.kind < f.kind AND f.s < b.e AND b.s < f.e))),
-live AS (SELECT v FROM (SELECT DISTINCT v, source, t FROM looks) GROUP BY v HAVING COUNT(DISTINCT COALESCE('o' || source, '')) <= 1 AND COUNT(*) <= 3),
-span AS (SELECT r, kind, s, e, [{_NAMES}][kind + 1] || ':' || s || ':' || e AS x FROM looks WHERE kind < {len(secrets.BASE)} OR v IN (SELECT v FROM live)),
+good AS (SELECT *, NOT regexp_matches({LOW.format('v')}, '{secrets.PLACEHOLDER}') AND len(list_distinct(string_split(v, ''))) >= 6
+    AND (kind <> {secrets.KINDS.index("mixed")} OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]'))) AS good FROM found),
+looks AS (SELECT g.* FROM good g WHERE kind < {len(secrets.BASE)} OR (good AND NOT EXISTS (SELECT 1 FROM found b WHERE b.r = g.r AND b.kind < g.kind AND g.s < b.e AND b.s < g.e))),
+-- texts that a source holds, and the smallest source of each text
+most AS (SELECT v, MAX(n) AS most FROM (SELECT v, source, COUNT(DISTINCT t) AS n FROM looks GROUP BY v, source) GROUP BY v),
+repo AS (SELECT v, t, MIN(source) AS source FROM looks GROUP BY v, t),
+freq AS (SELECT v, COUNT(*) AS repos, CASE WHEN MAX(most) = COUNT(*) THEN 1 ELSE COUNT(DISTINCT COALESCE('o' || source, '')) END AS owners FROM repo JOIN most USING (v) GROUP BY v),
+span AS (SELECT r, kind, s, e, owners, repos, good AND owners <= 1 AS live, [{_NAMES}][kind + 1] || ':' || s || ':' || e AS x FROM looks JOIN freq USING (v) WHERE kind < {len(secrets.BASE)} OR owners <= 1),
 doc AS (SELECT r, {", ".join(f"COUNT(*) FILTER (WHERE kind = {i}) AS n_{k}" for i, k in enumerate(secrets.BASE))},
-        string_agg(x, ',' ORDER BY s, kind) FILTER (WHERE kind < {len(secrets.BASE)}) AS base, string_agg(x, ',' ORDER BY s, e, kind) AS spans FROM span GROUP BY r)
-SELECT d.doc_id, {", ".join(f"COALESCE(n_{k}, 0) AS n_{k}" for k in secrets.BASE)}, sha256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans
+        string_agg(x, ',' ORDER BY s, kind) FILTER (WHERE kind < {len(secrets.BASE)}) AS base,
+        {", ".join(f"string_agg(CAST({c} AS VARCHAR), ',' ORDER BY s, e, kind) AS {n}" for c, n in (("x", "spans"), ("owners", "owners"), ("repos", "repositories"), ("live", "live")))} FROM span GROUP BY r)
+SELECT d.doc_id, {", ".join(f"COALESCE(n_{k}, 0) AS n_{k}" for k in secrets.BASE)}, sha256(COALESCE(base, '')) AS base_sha256,
+       {", ".join(f"COALESCE({n}, '') AS {n}" for n in ("spans", "owners", "repositories", "live"))}
 FROM d LEFT JOIN doc USING (r)"""
 
 VECTORS = """

@@ -54,10 +54,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = secrets.scan(read(spark, sf_dir, "documents"), Work(spark, "op8"))
+    s = secrets.scan(read(spark, sf_dir, "documents"), Work(spark, "op8"), verdicts=True)
     base = F.filter("spans", lambda x: x["kind"] < len(secrets.BASE))
     n = [secrets.count_of(k).cast("long").alias(f"n_{k}") for k in secrets.BASE]
-    return s.select("doc_id", *n, F.sha2(secrets.spelled(base), 256).alias("base_sha256"), secrets.spelled(F.col("spans")).alias("spans"))
+    return s.select("doc_id", *n, F.sha2(secrets.spelled(base), 256).alias("base_sha256"), secrets.spelled(F.col("spans")).alias("spans"),
+                    secrets.listed("owners").alias("owners"), secrets.listed("repos").alias("repositories"), secrets.listed("live").alias("live"))
 
 
 def op9_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

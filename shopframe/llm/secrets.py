@@ -4,16 +4,14 @@ Base kinds (``assign``, ``access``, ``hex``) are spans wherever their pattern
 holds. Further candidates (``token``, ``url``, ``mixed``) are judged by who owns
 them: each candidate's value is hashed, and distinct repositories and owners
 are counted over the whole corpus. A value that more than ``max_owners`` owners
-or ``max_repos`` repositories hold is a widely copied example; a value of few
-owners that looks live (no placeholder, varied characters) becomes a span of
-its own. Base spans stay whatever the verdict, which ``verdicts`` gives.
+hold is a widely copied example; a value of few owners that looks live (no
+placeholder, varied characters) becomes a span of its own. Base spans stay
+whatever the verdict, which every span carries with its counts.
 
-Here an owner is a ``source``. With ``per_owner`` a repository is a document's
-text within it, so that a text under several sources is several repositories,
-as the registered query's SQL has it. Without, a repository is a text wherever
-it stands: copies under several sources are one, and a value whose texts all
-stand under one source has one owner, whoever else holds copies of them. A
-``max_repos`` of None sets no limit to the texts of the owners.
+Here an owner is a ``source`` and a repository a text wherever it stands: copies
+of a text under several sources are one repository, held by the smallest of
+them, and a value whose texts all stand under one source has one owner, whoever
+else holds copies of them. There is no limit to the texts of an owner.
 
 Positions count code points, ends are exclusive. A null text is empty, a null
 owner is an owner of its own, repeated rows get the same spans each, an empty
@@ -68,6 +66,13 @@ def found(kind: str) -> Column:
     return F.when(F.size(whole) > 0, spans).otherwise(F.array().cast(SPAN))
 
 
+def looks(x: Column) -> Column:
+    """Whether a candidate is no placeholder and varied enough for a credential."""
+    return (~F.translate(x["v"], "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").rlike(PLACEHOLDER)
+            & (F.size(F.array_distinct(F.split(x["v"], ""))) >= 6)
+            & ((x["kind"] != KINDS.index("mixed")) | (x["v"].rlike("[0-9]") & x["v"].rlike("[A-Z]") & x["v"].rlike("[a-z]"))))
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """Adds ``cands``: (s, e, kind number, base, value) of every candidate in ``text``, in order of place and kind.
 
@@ -81,20 +86,15 @@ def candidates(docs: DataFrame) -> DataFrame:
         return F.transform(f"_f_{kind}", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(n).alias("kind"), x["v"].alias("v")))
 
     d = d.select(*docs.columns, F.concat(*map(tagged, BASE)).alias("_base"), F.concat(*map(tagged, MORE)).alias("_more"))
-    looks = lambda x: (~F.translate(x["v"], "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").rlike(PLACEHOLDER)
-                       & (F.size(F.array_distinct(F.split(x["v"], ""))) >= 6)
-                       & ((x["kind"] != KINDS.index("mixed")) | (x["v"].rlike("[0-9]") & x["v"].rlike("[A-Z]") & x["v"].rlike("[a-z]"))))
     extra = F.when(F.size("_more") > 0, F.filter("_more", lambda x: looks(x) & ~F.exists(F.concat("_base", "_more"), lambda b: (b["kind"] < x["kind"]) & (x["s"] < b["e"]) & (b["s"] < x["e"])))).otherwise(F.col("_more"))
     return d.select(*docs.columns, F.array_sort(F.concat("_base", extra)).alias("cands"))
 
 
-def frequency(value: DataFrame, per_owner: bool) -> DataFrame:
+def frequency(value: DataFrame) -> DataFrame:
     """(value, owners, repos) of rows (value, owner, h1, h2)."""
-    # a repository holds a value once, then owners are counted, then repositories: every step is combined map-side
+    # every step is combined map-side: texts of an owner, owners of a text, texts and owners of a value
     texts = value.select("value", "owner", "h1", "h2").distinct()
     held = texts.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repos"))
-    if per_owner:
-        return held.groupBy("value").agg(F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"))
     most = held.groupBy(F.col("value").alias("_v")).agg(F.max("repos").alias("most"))
     first = texts.groupBy("value", "h1", "h2").agg(F.min("owner").alias("owner")).groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repos"))
     freq = first.groupBy("value").agg(F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos")).join(most, F.col("value") == F.col("_v"))
@@ -102,13 +102,14 @@ def frequency(value: DataFrame, per_owner: bool) -> DataFrame:
 
 
 def scan(docs: DataFrame, work: Work, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-         max_owners: int = 1, max_repos: int | None = 3, per_owner: bool = True) -> DataFrame:
+         max_owners: int = 1, verdicts: bool = False) -> DataFrame:
     """(doc_id, h1, h2, spans): one row per document.
 
-    ``spans`` is an array of (s, e, kind, live, v): all base spans and the
-    further candidates whose owners make them live-looking. ``h1`` and ``h2``
-    identify the text. The text is read once; candidates without their texts
-    are stored and counted.
+    ``spans`` is an array of (s, e, kind, live, v, owners, repos): all base
+    spans and the further candidates whose owners make them live-looking. The
+    counts of values of more than ``max_owners`` owners are given if
+    ``verdicts`` asks for them, else null. ``h1`` and ``h2`` identify the text.
+    The text is read once; candidates without their texts are stored and counted.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     d = candidates(docs.select(F.col(id_col).alias("doc_id"), F.col(owner_col).alias("owner"), text.alias("text")))
@@ -116,18 +117,21 @@ def scan(docs: DataFrame, work: Work, id_col: str = "doc_id", text_col: str = "t
     d = work.store(d, "scan")
     value = d.where(F.size("cands") > 0).select("doc_id", "owner", "h1", "h2", F.explode("cands").alias("c"))
     value = value.withColumn("value", F.sha2(F.col("c.v"), 256))
-    freq = frequency(value, per_owner)
-    few = F.col("owners") <= max_owners
-    if max_repos is not None:
-        few &= F.col("repos") <= max_repos
-    live = freq.select(F.col("value").alias("_v"), few.alias("live")).where("live")
-    # one row per live value: Spark splits the partition of a value that many texts hold
-    hit = value.select("h1", "h2", "value").distinct().join(live, F.col("value") == F.col("_v"))
-    mine = hit.groupBy(F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).agg(F.collect_set("value").alias("_live"))
+    freq = frequency(value).select(F.col("value").alias("_v"), "owners", "repos")
+    if not verdicts:
+        freq = freq.where(F.col("owners") <= max_owners)
+    # one row per value: Spark splits the partition of a value that many texts hold
+    hit = value.select("h1", "h2", "value").distinct().join(freq, F.col("value") == F.col("_v"))
+    counts = F.map_from_entries(F.collect_list(F.struct("value", F.struct("owners", "repos"))))
+    mine = hit.groupBy(F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).agg(counts.alias("_freq"))
     out = d.join(mine, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left")
-    is_live = lambda x: F.coalesce(F.array_contains("_live", F.sha2(x["v"], 256)), F.lit(False))
-    judged = F.transform("cands", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"), is_live(x).alias("live"), x["v"].alias("v")))
-    return out.select("doc_id", "h1", "h2", F.filter(judged, lambda x: (x["kind"] < len(BASE)) | x["live"]).alias("spans"))
+
+    def judged(x: Column) -> Column:
+        n = F.col("_freq")[F.sha2(x["v"], 256)]
+        live = F.coalesce(n["owners"] <= max_owners, F.lit(False)) & ((x["kind"] >= len(BASE)) | looks(x))
+        return F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"), live.alias("live"), x["v"].alias("v"), n["owners"].alias("owners"), n["repos"].alias("repos"))
+
+    return out.select("doc_id", "h1", "h2", F.filter(F.transform("cands", judged), lambda x: (x["kind"] < len(BASE)) | x["live"]).alias("spans"))
 
 
 def spelled(spans: Column) -> Column:
@@ -136,6 +140,11 @@ def spelled(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
+def listed(field: str, spans: str = "spans") -> Column:
+    """A field of each span, comma-joined in the order of the spans."""
+    return F.array_join(F.transform(spans, lambda x: x[field].cast("string")), ",")
+
+
 def count_of(kind: str, spans: str = "spans") -> Column:
     """How many of the spans are of a kind."""
     number = KINDS.index(kind)
