@@ -49,7 +49,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     hashes = F.struct("h1", "h2")
     clash = d.groupBy("doc_id").agg(F.min(hashes).alias("m"), F.max(hashes).alias("_last")).where("m <> _last")
     clash = work.store(clash.select(F.col("doc_id").alias("_doc_id"), "m"), "clash")  # most often empty, and then broadcast
-    after = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("doc_id", "h1", "h2"), 2)
+    after = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("doc_id", "h1", "h2"), 3)  # below the ids of rows without one
     own = F.when(F.col("m").isNull() | (hashes == F.col("m")), F.col("doc_id")).otherwise(after)
     d = d.join(clash, F.col("doc_id") == F.col("_doc_id"), "left").select(own.alias("_id"), *COLUMNS)
     unnamed = docs.where("doc_id is null").select(*COLUMNS)

@@ -23,7 +23,8 @@ the choice of centres, and a bucket of many documents that are alike but not
 enough is never written out as pairs.
 
 Defined results: a text without words (or null) has no shingles and is its own
-component; a row without ``doc_id`` takes part only through rows of equal words;
+component; a row without ``doc_id`` links like any other but names no component
+(within, it gets an id after all others by its text; ids are below ``UNNAMED``);
 rows that share a ``doc_id`` share a component; an empty table gives no rows;
 other columns are not read.
 """
@@ -45,6 +46,8 @@ SHINGLE = 5
 ROWS, BANDS = 6, 42
 SLOTS = ROWS * BANDS
 THRESHOLD = 75
+#: ids from here on stand for rows without one
+UNNAMED = 3 << 61
 #: members that one task confirms against a centre, and bucket members that one task compares
 GROUP, BLOCK = 256, 2048
 
@@ -240,9 +243,12 @@ def _block(table: pa.Table) -> pa.Table:
 def near_duplicates(docs: DataFrame, work: Work, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, cls, component_id, kept): one row per document."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    after = F.lit(UNNAMED) + F.shiftrightunsigned(F.xxhash64(text), 3)
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), after).alias("doc_id"), text.alias("text"))
     sketch = work.store(texts.mapInArrow(_sketch, "doc_id long, cls binary, n_shingles long, bands array<long>"), "sketch")
-    classes = sketch.where("doc_id is not null and cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"))
+    classes = sketch.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"))
+    classes = work.store(classes, "classes")  # a stored table's partition of many copies can be split in the joins
     one = sketch.join(classes, "cls").where("doc_id = rep").dropDuplicates(["cls"]).select("rep", "cls", "n_shingles", "bands")
     reps = work.store(one, "reps")
     band = reps.select("rep", F.explode("bands").alias("band"))
@@ -286,6 +292,8 @@ def near_duplicates(docs: DataFrame, work: Work, id_col: str = "doc_id", text_co
     work.drop("buckets", "inside", "pairs", "comp", "blocks", "members", "sets")
     groups = groups.withColumnRenamed("component", "component_id")
     known = classes.join(groups, F.col("rep") == F.col("node"), "left").select(F.col("cls").alias("_cls"), F.coalesce("component_id", "rep").alias("component_id"))
+    known = work.store(known, "known")
     out = sketch.select("doc_id", "n_shingles", "cls").join(known, F.col("cls") == F.col("_cls"), "left")
-    out = out.select("doc_id", "n_shingles", "cls", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = lambda c: F.when(c < UNNAMED, c)
+    out = out.select(named(F.col("doc_id")).alias("doc_id"), "n_shingles", "cls", named(F.coalesce("component_id", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

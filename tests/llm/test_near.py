@@ -63,6 +63,20 @@ def test_documents(docs, rows, work, monkeypatch, block):
     assert len({g["component_id"] for g in got}) < len(rows) - 5
 
 
+def test_rows_without_an_id_link(spark, work):
+    """The only link between two documents is a row without an id; rows without an id alone have no component."""
+    r = random.Random(11)
+    base = [f"w{r.randrange(9**9)}" for _ in range(100)]
+    other = [f"v{r.randrange(9**9)}" for _ in range(100)]
+    changed = lambda w, *at: " ".join("new" + str(i) if i in at else x for i, x in enumerate(w))
+    rows = [(5, changed(base, 0, 1, 2, 3, 4, 5, 6, 7)), (None, changed(base)), (2, changed(base, *range(92, 100))),
+            (None, changed(other)), (None, changed(other, 0)), (None, None), (7, "")]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), work).collect()
+    want = brute_docs(rows)
+    assert want[(5, 0)][1] == want[(None, 1)][1] == 2
+    assert Counter((g["doc_id"], g["n_shingles"], g["component_id"]) for g in got) == Counter((k[0], *v) for k, v in want.items())
+
+
 def test_links_beside_the_centre(spark, work):
     """A chain of variants: neighbours link, ends do not, whoever is the smallest."""
     r = random.Random(5)
