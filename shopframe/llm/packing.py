@@ -2,12 +2,13 @@
 
 Documents become token ids (then one end id) and pieces of at most ``capacity``
 ids. The plan works on the histogram of piece lengths, which has at most
-``capacity`` entries whatever the corpus: lengths are taken from the longest;
-one, two or three available lengths that fill the gap exactly are looked for by
-a scan of the histogram (no index of sums is kept), and while there is such a
-combination it is consumed under its counts. What is left is packed best-fit, also by counts. The plan is a list of patterns
-(lengths in a sequence, number of such sequences); pieces are numbered within
-their length in Spark and look their place up in it.
+``capacity`` entries whatever the corpus. The sums of one, two and three
+available lengths are indexed by value. Lengths are taken from the longest;
+while the index has a combination that fills the gap exactly, it is consumed
+under its counts, and what has run out leaves the index. What is left is packed
+best-fit, also by counts. The plan is a list of patterns (lengths in a
+sequence, number of such sequences); pieces are numbered within their length in
+Spark and look their place up in it.
 
 A null text is empty; every document, also an empty one, has its end id, so at
 least one piece. Repeated rows are packed one by one. An empty table gives no
@@ -165,29 +166,28 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Patterns and how often each is packed; every length is used as often as ``counts`` says."""
-    have = np.zeros(capacity + 1, np.int64)
-    for length, n in counts.items():
-        have[length] = n
+    have = [counts.get(length, 0) for length in range(capacity + 1)]
     out: list[tuple[tuple[int, ...], int]] = []
 
     def take(combo: tuple[int, ...]) -> None:
         need = defaultdict(int)
         for length in combo:
             need[length] += 1
-        times = min(int(have[length]) // k for length, k in need.items())
+        times = min(have[length] // k for length, k in need.items())
         for length, k in need.items():
             have[length] -= k * times
         out.append((combo, times))
 
     if have[capacity]:
         take((capacity,))
+    sums = SumIndex(have, capacity)
     for length in range(capacity - 1, 0, -1):
-        while have[length] and (found := _complement(have, length, capacity - length)):
+        while have[length] and (found := sums.complement(length)):
             take((length, *found))
     # best-fit of the rest: open bins by gap, each (pattern, times)
     bins: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
     for length in range(capacity, 0, -1):
-        n = int(have[length])
+        n = have[length]
         while n:
             gap = next((g for g in range(length, capacity) if bins.get(g)), None)
             if gap is None:
@@ -205,36 +205,74 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
     return out + [b for g in sorted(bins) for b in bins[g]]
 
 
-def _complement(have: np.ndarray, length: int, gap: int) -> tuple[int, ...] | None:
-    """One, two or three available lengths that sum to ``gap`` beside one ``length``."""
-    left = have[: gap + 1].copy()
-    if length <= gap:
-        left[length] -= 1
-    if left[gap] > 0:
-        return (gap,)
-    if (pair := _pair(left, gap)) is not None:
-        return pair
-    # every third length, with a scan for the pair that fills the rest
-    some = np.flatnonzero(left > 0)[::-1]
-    for a in some.tolist():
-        left[a] -= 1
-        pair = _pair(left[: gap - a + 1], gap - a)
-        left[a] += 1
-        if pair is not None:
-            return (a, *pair)
-    return None
-
-
-def _pair(have: np.ndarray, gap: int) -> tuple[int, int] | None:
-    """Two available lengths with sum ``gap``; the larger is as large as can be."""
-    if gap < 2:
+class SumIndex:
+    """The available lengths by the sums of one, two and three of them.
+
+    ``have`` is the caller's list of counts by length, which only fall. A sum's
+    entry lists the smaller lengths of its pairs, or the third lengths beside an
+    indexed pair; a combination leaves its entry when it is met and its counts
+    have run out. There are at most capacity^2 / 4 pairs; entries become lists
+    when their sum is first asked for.
+    """
+
+    def __init__(self, have: list[int], capacity: int):
+        self.have, self.capacity = have, capacity
+        self.lengths = np.flatnonzero(have[:capacity])
+        i, j = np.triu_indices(len(self.lengths))
+        total = self.lengths[i] + self.lengths[j]
+        fits = total < capacity
+        small, total = self.lengths[i[fits]], total[fits]
+        # by sum, then by the smaller length from the largest: entries are used up from their end
+        order = np.lexsort((-small, total))
+        self.small = small[order].astype(np.int32)
+        self.start = np.searchsorted(total[order], np.arange(capacity + 1))
+        self.pairs: dict[int, list[int]] = {}
+        self.thirds: dict[int, list[int]] = {}
+
+    def complement(self, length: int) -> tuple[int, ...] | None:
+        """One, two or three available lengths that fill the gap beside one ``length``; the largest first."""
+        have, gap = self.have, self.capacity - length
+        have[length] -= 1
+        try:
+            if have[gap] > 0:
+                return (gap,)
+            if pair := self._pair(gap, (length,)):
+                return pair
+            thirds = self._thirds(gap)
+            while thirds:
+                third = thirds[-1]
+                if have[third] > 0:
+                    have[third] -= 1
+                    pair = self._pair(gap - third, (length, third))
+                    have[third] += 1
+                    if pair:
+                        return (third, *pair)
+                thirds.pop()  # counts only fall, and no other length has this gap
+            return None
+        finally:
+            have[length] += 1
+
+    def _thirds(self, total: int) -> list[int]:
+        """The entry of the sum of three: lengths beside which the rest is a sum of two."""
+        if total not in self.thirds:
+            third = self.lengths[self.lengths < total]
+            rest = total - third
+            self.thirds[total] = third[self.start[rest + 1] > self.start[rest]].tolist()
+        return self.thirds[total]
+
+    def _pair(self, total: int, taken: tuple[int, ...]) -> tuple[int, int] | None:
+        """Two available lengths of that sum, the larger as large as can be; ``taken`` are held back for now."""
+        if total not in self.pairs:
+            self.pairs[total] = self.small[self.start[total]: self.start[total + 1]].tolist()
+        entry, have = self.pairs[total], self.have
+        for k in range(len(entry) - 1, -1, -1):
+            a = entry[k]
+            b = total - a
+            if have[b] > 0 and have[a] > (a == b):
+                return b, a
+            if a not in taken and b not in taken:
+                del entry[k]
         return None
-    a = np.arange(1, gap // 2 + 1)
-    good = (have[a] > 0) & (have[gap - a] > 0)
-    if gap % 2 == 0 and have[gap // 2] < 2:
-        good[-1] = False
-    at = np.flatnonzero(good)
-    return (int(gap - a[at[0]]), int(a[at[0]])) if len(at) else None
 
 
 def places(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:

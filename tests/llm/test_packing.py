@@ -49,6 +49,33 @@ def test_plan_uses_every_length(seed):
     assert sum(t for _, t in patterns) <= max(-(-total // cap) * 1.1, sum(v for k, v in counts.items() if 2 * k > cap) + 1, 1) + 1
 
 
+def fills(have, length, cap):
+    """All ways to fill the gap beside one ``length``, by number of lengths and then the largest first."""
+    left = Counter({k: v for k, v in have.items() if v > 0}) - Counter([length])
+    gap, some = cap - length, sorted(left, reverse=True)
+    ways = [(gap,)] + [(a, gap - a) for a in some if gap - a <= a] + [(c, *p) for c in some for p in sorted(((gap - c - b, b) for b in some if 2 * b <= gap - c), reverse=True)]
+    return [w for w in ways if min(w) > 0 and not Counter(w) - left]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_index_of_sums_finds_what_a_search_of_all_fills_finds(seed):
+    r = random.Random(seed)
+    cap = r.choice([12, 30, 48])
+    have = [0] + [r.choice([0, 0, 1, 2, 3]) for _ in range(cap)]
+    index = packing.SumIndex(have, cap)
+    for length in range(cap - 1, 0, -1):
+        while have[length]:
+            want = fills(dict(enumerate(have)), length, cap)
+            got = index.complement(length)
+            assert got == (want[0] if want else None)
+            if got is None:
+                break
+            combo = Counter((length, *got))
+            times = min(have[k] // n for k, n in combo.items())
+            for k, n in combo.items():
+                have[k] -= n * times
+
+
 @pytest.mark.parametrize("capacity", [32, 2048])
 def test_pack(docs, rows, work, model, capacity):
     got = packing.pack(docs, work, PATH, capacity, with_ids=True).collect()
