@@ -18,6 +18,7 @@ rows; other columns are not read. Columns: ``row_key`` tells repeated rows of a
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import zlib
@@ -52,16 +53,16 @@ class Tokeniser:
     other white space than ASCII's are encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, spec: str):
+        """From the JSON of a ``tokenizers`` file."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
+        self.model = Tokenizer.from_str(spec)
         self.model.encode_special_tokens = True
         self.n_bytes = np.zeros(self.model.get_vocab_size(), np.int64)
         for token, i in self.model.get_vocab(with_added_tokens=False).items():
             self.n_bytes[i] = len(token)  # one character stands for one byte
-        self.newline = len(self.model.encode("\n", add_special_tokens=False).ids)
         self.clear()
 
     def clear(self) -> None:
@@ -131,14 +132,19 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with
     """(doc_id, row_key, piece, start, length, ids_crc32[, ids]): the pieces of every document.
 
     Only the first piece of a longer document may be shorter than ``capacity``.
+    ``tokenizer`` is a file of the driver; its content is sent to the tasks.
     """
+    with open(tokenizer, encoding="utf-8") as f:
+        spec = f.read()
+    name = hashlib.sha256(spec.encode()).hexdigest()
+    sent = docs.sparkSession.sparkContext.broadcast(spec)  # a vocabulary: a few MB whatever the corpus
     schema = "doc_id long, row_key long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = worker_memory("tokenisers")
-        if tokenizer not in kept:
-            kept[tokenizer] = Tokeniser(tokenizer)
-        t = kept[tokenizer]
+        if name not in kept:
+            kept[name] = Tokeniser(sent.value)
+        t = kept[name]
         for batch in batches:
             buf, off = buffer_of(batch.column("text"))
             for lo, hi in pieces(off):

@@ -22,7 +22,8 @@ def model():
 
 
 def test_units_equal_whole_texts(model, rows):
-    t = packing.Tokeniser(PATH)
+    with open(PATH, encoding="utf-8") as f:
+        t = packing.Tokeniser(f.read())
     texts = [r[1] or "" for r in rows] + ["  lead", "trail  ", "a\n\n\nb  c", "don't I'll  'tis", "x\r\n y\t\tz", "12 3,4;;  --", "<|endoftext|>", " ", "日本 語  x", "é́ 🙂🙂 "]
     data = [x.encode() for x in texts]
     off = np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64)
