@@ -18,7 +18,7 @@ With ``Trigger.AvailableNow`` the query drains the backlog and stops.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,16 +35,22 @@ def _write(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
 
+def batch_of(file: str | Column) -> Column:
+    """The batch id of a path: its last part up to the first ending (leading dots left out)."""
+    return F.regexp_extract(F.substring_index(F.col(file) if isinstance(file, str) else file, "/", -1), r"^\.*([^.]+)", 1)
+
+
 def ingest_files(batch: DataFrame, epoch_id: int, target: str, quarantine: str, customers: DataFrame, articles: DataFrame) -> None:
     """One trigger: rows with ``_file`` and ``_time``; good files to ``target``, others to ``quarantine``.
 
     The reports have a row per file of the trigger, at most ``max_files``, and
-    are broadcast.
+    are broadcast. Ids are taken from files, not from rows.
     """
-    batch = batch.withColumn("batch_id", F.regexp_extract("_file", r"([^/.]+)[^/]*$", 1)).persist()
+    batch = batch.persist()
     try:
-        newest = batch.groupBy("batch_id").agg(F.max(F.struct("_time", "_file")).alias("_m")).select(F.col("_m._file").alias("_file"))
-        rows = batch.join(F.broadcast(newest), "_file", "left_semi")
+        files = batch.groupBy("_file").agg(F.max("_time").alias("_time")).withColumn("batch_id", batch_of("_file"))
+        newest = files.groupBy("batch_id").agg(F.max(F.struct("_time", "_file")).alias("_m")).select("batch_id", F.col("_m._file").alias("_file"))
+        rows = batch.join(F.broadcast(newest), "_file")
         report = F.broadcast(validate_files(rows, customers, articles, "_file").select("_file", "ok"))
         judged = rows.join(report, "_file").withColumn("batch_epoch", F.lit(epoch_id).cast("long")).drop("_file", "_time")
         _write(judged.where("ok").drop("ok"), target)
