@@ -38,6 +38,10 @@ TABLE_NAMES = ("region nation customer supplier part orders lineitem events docu
                "embeddings pages benchmark labels conversations").split()
 
 
+#: rows of a table that one task groups by a key
+TASK_ROWS = 500_000
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     path = os.path.join(base, f"{name}.parquet")
     r = spark.read
@@ -96,12 +100,19 @@ class Tables:
         self.base = base
         self._src: dict[str, DataFrame] = {}
         self._views: dict[str, DataFrame] = {}
+        self._rows: dict[str, int] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._src:
             self._src[name] = read_table(self.spark, self.base, name)
         return self._src[name]
 
+    def parts(self, name: str, rows: int = TASK_ROWS) -> int:
+        """Tasks for work on keys of a table, so that none gets many more than ``rows`` rows (counted from the files' footers)."""
+        if name not in self._rows:
+            self._rows[name] = self[name].count()
+        return max(1, -(-self._rows[name] // rows))
+
     def view(self, name: str, **params) -> DataFrame:
         from shopframe.plans import retail, star  # local import: plans import sources
         key = name + repr(sorted(params.items()))
