@@ -76,11 +76,15 @@ def _e24(t):
 @register("ingest_append_batch", W(["transactions"], """
 SELECT t_dat, customer_id, article_id, price, sales_channel_id FROM transactions"""))
 def _i3(t):
-    """All transactions, appended twice under one batch id: the second time replaces the first."""
+    """All transactions, appended twice under one batch id: the second time replaces the first.
+    They are joined once and cached for both."""
     path = _folder(t, "append")
-    batch = V(t, "transactions").select("t_dat", "customer_id", F.col("article_id").cast("string").alias("article_id"), "price", "sales_channel_id")
-    for _ in range(2):
-        ing.append_transactions(batch, V(t, "fashion_customers"), V(t, "articles"), path, batch_id="all")
+    batch = V(t, "transactions").select("t_dat", "customer_id", F.col("article_id").cast("string").alias("article_id"), "price", "sales_channel_id").persist()
+    try:
+        for _ in range(2):
+            ing.append_transactions(batch, V(t, "fashion_customers"), V(t, "articles"), path, batch_id="all")
+    finally:
+        batch.unpersist()
     back = T.StructType([x if x.name != "article_id" else T.StructField("article_id", T.LongType()) for x in batch.schema])
     return t.spark.read.schema(back).parquet(f"{path}/ingest_batch=all")
 

@@ -1,6 +1,5 @@
 """Orders are dealt to tasks by rows."""
 
-
 from shopframe.operators import features as f
 from shopframe.operators import survey as v
 from shopframe.sources.tables import Tables
