@@ -6,6 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from shopframe.llm.common import Work
+from shopframe.operators import rules as r
 from shopframe.session import materialize
 
 
@@ -39,3 +40,26 @@ def test_materialize_leaves_no_shuffle_files(spark):
     out = materialize(df.join(_grouped(spark, 4000).withColumnRenamed("v", "w"), "k"))
     assert not _left(spark, before) and spark.conf.get(key, "false") == was
     assert out.where("v = w").count() == 4000 and out.agg(F.sum("v")).first()[0] == sum(range(100_000))
+
+
+def test_fpgrowth_makes_its_baskets_once(spark):
+    rows = [(g, b, i) for g in ("x", None) for b in range(40) for i in ("a", "b", "c", "d") if b % (ord(i) - 95)]
+    rows += [("few", 1, "a"), ("few", 1, "b")]
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        made.add(1)
+        return x
+
+    item = F.udf(seen, "string").asNondeterministic()
+    lines = spark.createDataFrame(rows, "g string, b long, i string").withColumn("i", item("i"))
+    sets = lines.groupBy("g", "b").agg(F.sort_array(F.collect_set("i")).alias("items"))
+    got = {(x.g, tuple(x["items"])): x["count"] for x in r.frequent_itemsets(sets, 0.1, None, ["g"], method="fpgrowth", min_baskets=2).collect()}
+    assert made.value == len(rows)
+    baskets = {}
+    for g, b, i in rows:
+        baskets.setdefault((g, b), set()).add(i)
+    assert {g for g, _ in got} == {"x", None}
+    for (g, items), n in got.items():
+        assert n == sum(1 for (h, _), s in baskets.items() if h == g and s >= set(items))
+    assert (None, ("a", "b", "c", "d")) in got and len(got) == 2 * 15
