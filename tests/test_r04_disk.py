@@ -81,7 +81,9 @@ def test_training_rows_leave_the_work_table(spark):
     few = p.training_copy(df, "id", rows=5000, work=work)
     at = work.path("split").removeprefix("file:")
     assert few.count() == 2000 and os.path.isdir(at)
-    many = p.training_copy(df, "id", rows=100, work=work)
+    other = work.store(df, "other")
+    many = p.training_copy(other, "id", rows=100, work=work, spent=["other"])
+    assert not os.path.exists(work.path("other").removeprefix("file:"))
     sizes = [x["count"] for x in many.groupBy(F.spark_partition_id()).count().collect()]
     assert not os.path.exists(at) and len(sizes) == 20 and max(sizes) <= 200
     assert sorted(x.id for x in many.collect()) == list(range(2000))
